@@ -171,26 +171,31 @@ def contract_report(spark: SparkSession, actual: StructType, contract: StructTyp
 
 def conformance_counts(df: DataFrame, contract: StructType, doc: str = "document") -> DataFrame:
     """J3 over data: per top-level contract field, how many documents lack it
-    and how many carry a value that does not fit its type. One distributed
-    aggregation (partial counts per task, then a single tiny merge)."""
+    and how many carry a value that does not fit its type.
+
+    Each field is parsed on its own (a one-field schema), so a bad value in
+    one field never blanks the others. One distributed aggregation: partial
+    counts per task, then a single tiny merge."""
     raw = F.from_json(F.col(doc), MapType(StringType(), StringType()))
-    typed = F.from_json(F.col(doc), relax(contract))
-    base = df.select(raw.alias("r"), typed.alias("t"))
+    cols = [raw.alias("__raw")]
+    for i, f in enumerate(contract.fields):
+        one = StructType([StructField(f.name, relax(f.dataType), True)])
+        cols.append(F.from_json(F.col(doc), one).getField(f.name).alias(f"__t{i}"))
+    base = df.select(*cols)
     aggs = []
-    for f in contract.fields:
-        present = F.col("r").getItem(f.name).isNotNull()
-        fits = F.col("t").getField(f.name).isNotNull()
-        aggs.append(F.count_if(~present).alias(f"m{len(aggs)}"))
-        aggs.append(F.count_if(present & ~fits).alias(f"m{len(aggs)}"))
-    counts = base.agg(*aggs) if aggs else base.limit(0)
-    stack = []
     for i, f in enumerate(contract.fields):
-        stack.append(F.struct(F.lit(f.name).alias("field"),
-                              F.lit(f.dataType.simpleString()).alias("expected_type"),
-                              F.lit(not f.nullable).alias("required"),
-                              F.col(f"m{2 * i}").alias("missing_rows"),
-                              F.col(f"m{2 * i + 1}").alias("mistyped_rows")))
-    return counts.select(F.explode(F.array(*stack)).alias("s")).select("s.*")
+        present = F.col("__raw").getItem(f.name).isNotNull()
+        fits = F.col(f"__t{i}").isNotNull()
+        aggs.append(F.count_if(~present).alias(f"m{2 * i}"))
+        aggs.append(F.count_if(present & ~fits).alias(f"m{2 * i + 1}"))
+    counts = base.agg(*aggs)
+    rows = [F.struct(F.lit(f.name).alias("field"),
+                     F.lit(f.dataType.simpleString()).alias("expected_type"),
+                     F.lit(not f.nullable).alias("required"),
+                     F.col(f"m{2 * i}").alias("missing_rows"),
+                     F.col(f"m{2 * i + 1}").alias("mistyped_rows"))
+            for i, f in enumerate(contract.fields)]
+    return counts.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

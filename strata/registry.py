@@ -22,6 +22,17 @@ from strata.operators import serve as S
 from strata.operators.contract import enforce, parse_documents
 from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.latest import latest_per_key, split_null_keys
+from strata.operators.contract import conformance_counts
+from strata.operators.upsert import read_children, read_main
+from strata.plans.conform import conform
+from strata.plans.publish import publish_entity
+from strata.plans.spec import EntitySpec
+from strata.pipeline import EVENT_SPEC, run_event_streams
+from strata.session import work_dir
+from strata.sources.raw import read_raw
+from strata.sources.tables import append_table, read_table
+from pyspark.sql.types import (LongType, StringType, StructField, StructType, TimestampType,
+                               IntegerType)
 
 # Fixed parameters of the registered queries (no wall clock in a compared result).
 FIXED_STAMP = _dt.datetime(2025, 3, 11, 14, 52, 53)
@@ -314,6 +325,222 @@ ORDER BY ts DESC
 """
 
 
+
+# ------------------------------------------------------------------ contract / conform
+def _landed(spark, sf, stamp=FIXED_STAMP, where=None):
+    msgs = I.event_messages(I.table(spark, sf, "events"))
+    if where is not None:
+        msgs = msgs.where(where)
+    return land_events(event_columns(msgs), F.lit(stamp))
+
+
+def q_bad_document_quarantine(spark, sf):
+    """Broken, incomplete and mistyped documents are routed to
+    quarantine with a reason; the rest is conformed."""
+    docs = I.event_document(I.table(spark, sf, "events"))
+    k = F.pmod(F.col("sequenceNumber"), F.lit(11))
+    doc = (F.when(k == 0, F.substring("doc", 1, 25))
+            .when(k == 5, F.regexp_replace("doc", '"PublicationDate":"[^"]*",', ""))
+            .when(k == 7, F.regexp_replace("doc", '"value":[^,}]*', '"value":"abc"'))
+            .otherwise(F.col("doc")))
+    msgs = docs.select(F.encode(doc, "UTF-8").alias("body"), "partition", "sequenceNumber")
+    landed = land_events(event_columns(msgs), F.lit(FIXED_STAMP))
+    good, bad = conform(spark, landed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP))
+    return (good.select(F.col("MetaData.SourceSequenceNumber").alias("sequenceNumber"),
+                        F.lit("conformed").alias("route"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("sequenceNumber", F.lit("quarantine").alias("route"), "reason")))
+
+
+SQL_BAD_DOCUMENT_QUARANTINE = """
+SELECT event_id AS sequenceNumber,
+       CASE WHEN event_id % 11 IN (0, 5, 7) THEN 'quarantine' ELSE 'conformed' END AS route,
+       CASE WHEN event_id % 11 IN (0, 7) THEN 'malformed or mistyped document'
+            WHEN event_id % 11 = 5 THEN 'required field missing: PublicationDate' END AS reason
+FROM events
+"""
+
+
+def q_dedupe_replayed_events(spark, sf):
+    """Q7: every event landed once, a third landed again a day later (some of
+    those inside the same batch); the conformed table holds each event once,
+    with its first landing."""
+    work = work_dir(spark, "dedupe")
+    conformed_path = f"{work}/conformed"
+    day2 = FIXED_STAMP + _dt.timedelta(days=1)
+    first = _landed(spark, sf)
+    again = _landed(spark, sf, day2, F.pmod(F.col("sequenceNumber"), F.lit(3)) == 0)
+    batch1 = first.unionByName(again.where(F.pmod(F.col("sequenceNumber"), F.lit(2)) == 0))
+    for batch in (batch1, again):
+        good, _ = conform(spark, batch, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP),
+                          conformed_path=conformed_path)
+        append_table(good, conformed_path)
+    flat = FL.flatten_structs(read_table(spark, conformed_path))
+    return flat.select("event_id", "user_id", "event_type", "value", "props",
+                       "MetaData_BronzeCreatedAt", "MetaData_SourceSequenceNumber")
+
+
+SQL_DEDUPE_REPLAYED_EVENTS = """
+SELECT event_id, user_id, event_type, value, props,
+       '2025-03-11T14:52:53' AS MetaData_BronzeCreatedAt, event_id AS MetaData_SourceSequenceNumber
+FROM events
+"""
+
+# A contract stricter than the data: value must be integral, props an object,
+# and a required channel field that no document has.
+STRICT_EVENT_CONTRACT = StructType([
+    StructField("event_id", LongType(), False),
+    StructField("ts", TimestampType(), True),
+    StructField("user_id", LongType(), False),
+    StructField("event_type", StringType(), True),
+    StructField("value", LongType(), True),
+    StructField("props", StructType([StructField("k", IntegerType(), True)]), True),
+    StructField("channel", StringType(), False),
+])
+
+
+def q_contract_conformance(spark, sf):
+    ev = I.table(spark, sf, "events")
+    docs = ev.select(F.to_json(F.struct(*ev.columns)).alias("document"))
+    return conformance_counts(docs, STRICT_EVENT_CONTRACT)
+
+
+SQL_CONTRACT_CONFORMANCE = """
+WITH n AS (SELECT count(*) AS total, count(event_id) AS ids, count(ts) AS tss,
+                  count(user_id) AS users, count(event_type) AS types, count(value) AS vals,
+                  count(props) AS props FROM events)
+SELECT 'event_id' AS field, 'bigint' AS expected_type, true AS required,
+       total - ids AS missing_rows, CAST(0 AS BIGINT) AS mistyped_rows FROM n
+UNION ALL SELECT 'ts', 'timestamp', false, total - tss, 0 FROM n
+UNION ALL SELECT 'user_id', 'bigint', true, total - users, 0 FROM n
+UNION ALL SELECT 'event_type', 'string', false, total - types, 0 FROM n
+UNION ALL SELECT 'value', 'bigint', false, total - vals, vals FROM n
+UNION ALL SELECT 'props', 'struct<k:int>', false, total - props, props FROM n
+UNION ALL SELECT 'channel', 'string', true, total, 0 FROM n
+"""
+
+
+# ------------------------------------------------------------------ serving upsert
+_MAIN_COLS = ("user_id", "event_id", "event_type", "value", "props",
+              "MetaData_PublicationDate", "MetaData_ChangeType")
+
+SQL_LATEST_MAIN = """
+SELECT user_id, event_id, event_type, value, props,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS MetaData_PublicationDate,
+       event_type AS MetaData_ChangeType
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+
+def q_upsert_main(spark, sf):
+    """Conformed events published in four batches, out of order;
+    the main table equals the global latest per user."""
+    work = work_dir(spark, "upsert")
+    good, _ = conform(spark, _landed(spark, sf), I.EVENT_CONTRACT, I.EVENT_PAYLOAD,
+                      F.lit(FIXED_STAMP))
+    append_table(good, f"{work}/conformed")
+    conformed = read_table(spark, f"{work}/conformed")
+    cut = F.pmod(F.xxhash64(F.col("event_id")), F.lit(4))
+    for b in (2, 0, 3, 1):
+        publish_entity(spark, conformed.where(cut == b), EVENT_SPEC, f"{work}/serving",
+                       stamp=F.lit(FIXED_STAMP))
+    return read_main(spark, f"{work}/serving/{EVENT_SPEC.name}").select(*_MAIN_COLS)
+
+
+def _orders_batch(spark, sf, published: str, changed: bool):
+    nested = I.nested_orders(spark, sf)
+    if changed:
+        k = F.pmod(F.col("o_orderkey"), F.lit(9))
+        arr = F.col("lineitems")
+        nested = nested.where(F.pmod(F.col("o_orderkey"), F.lit(3)) == 0).withColumn(
+            "lineitems",
+            F.when(k == 0, F.array_compact(F.array(F.lit(None).cast(nested.schema["lineitems"]
+                                                                    .dataType.elementType))))
+             .when(k == 3, F.reverse(arr))
+             .otherwise(F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0)))))
+    meta = F.struct(F.lit(published).alias("PublicationDate"))
+    return nested.select(meta.alias("MetaData"), *nested.columns)
+
+
+ORDER_SPEC = EntitySpec(name="Orders", key="o_orderkey", buckets=8, ties=())
+
+
+def q_replace_children(spark, sf):
+    """All orders published, then a third of them again
+    with emptied, reversed or shortened line arrays -- the newer batch
+    arriving FIRST. Child rows of a parent are replaced as a whole, and the
+    older batch cannot bring old lines back."""
+    root = f"{work_dir(spark, 'children')}/serving"
+    publish_entity(spark, _orders_batch(spark, sf, "2025-02-01T00:00:00", True), ORDER_SPEC, root,
+                   stamp=F.lit(FIXED_STAMP))
+    publish_entity(spark, _orders_batch(spark, sf, "2025-01-01T00:00:00", False), ORDER_SPEC, root,
+                   stamp=F.lit(FIXED_STAMP))
+    return read_children(spark, f"{root}/Orders_lineitems").drop(FL.UID_COL)
+
+
+SQL_REPLACE_CHILDREN = f"""
+WITH l AS (
+  SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS pos,
+         count(*) OVER (PARTITION BY l_orderkey) AS n, {_LINE_COLS}
+  FROM lineitem)
+SELECT l_orderkey AS Orders_o_orderkey,
+       CAST(CASE WHEN l_orderkey % 9 = 3 THEN n - 1 - pos ELSE pos END AS INTEGER) AS MetaData_Position,
+       {_LINE_COLS}
+FROM l
+WHERE NOT (l_orderkey % 9 = 0) AND NOT (l_orderkey % 9 = 6 AND pos = n - 1)
+"""
+
+
+# ------------------------------------------------------------------ streams and monitors
+def q_stream_raw_to_serving(spark, sf):
+    """Hub files -> raw -> conformed -> serving as three
+    availableNow streams; the serving main table is the latest per user."""
+    run = run_event_streams(spark, sf)
+    return read_main(spark, f"{run.serving}/{EVENT_SPEC.name}").select(*_MAIN_COLS)
+
+
+def q_raw_rows_per_folder(spark, sf):
+    """A3 layout: raw rows per ``event_type=/ingest_date=`` folder."""
+    run = run_event_streams(spark, sf)
+    raw = read_raw(spark, run.raw)
+    return raw.groupBy(F.concat(F.lit("event_type="), "event_type", F.lit("/ingest_date="),
+                                F.col("ingest_date").cast("string")).alias("folder")) \
+              .agg(F.count("*").alias("rows"))
+
+
+SQL_RAW_ROWS_PER_FOLDER = """
+SELECT 'event_type=' || lower(event_type) || '/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR)
+         AS folder, count(*) AS rows
+FROM events GROUP BY 1
+"""
+
+
+def q_files_per_folder(spark, sf):
+    """Files per raw folder from a file listing (contents never read)."""
+    run = run_event_streams(spark, sf)
+    files = M.list_files(spark, run.raw, glob="*.parquet")
+    return M.files_per_folder(files, root=run.raw)
+
+
+def q_layer_reconciliation(spark, sf):
+    """E3 + E5: rows per landing day in the raw, conformed and serving layers."""
+    run = run_event_streams(spark, sf)
+    raw = read_raw(spark, run.raw)
+    conformed = read_table(spark, run.conformed)
+    serving = read_main(spark, f"{run.serving}/{EVENT_SPEC.name}")
+    return M.layer_reconciliation(raw, "BronzeCreatedAt", conformed, "MetaData.BronzeCreatedAt",
+                                  serving, "MetaData_BronzeCreatedAt")
+
+
+SQL_LAYER_RECONCILIATION = """
+WITH r AS (SELECT CAST(ts AS DATE) AS day, count(*) AS raw_rows FROM events GROUP BY 1),
+     s AS (SELECT CAST(ts AS DATE) AS day, count(*) AS serving_rows FROM (
+             SELECT ts FROM events QUALIFY row_number() OVER
+               (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) GROUP BY 1)
+SELECT r.day, r.raw_rows, r.raw_rows AS conformed_rows, coalesce(s.serving_rows, 0) AS serving_rows
+FROM r LEFT JOIN s ON r.day = s.day ORDER BY 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": q_latest_per_key,
     "latest_props": q_latest_props,
@@ -334,6 +561,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_imports": q_total_imports,
     "import_timeline": q_import_timeline,
     "import_detail": q_import_detail,
+    "bad_document_quarantine": q_bad_document_quarantine,
+    "dedupe_replayed_events": q_dedupe_replayed_events,
+    "contract_conformance": q_contract_conformance,
+    "upsert_main": q_upsert_main,
+    "replace_children": q_replace_children,
+    "stream_raw_to_serving": q_stream_raw_to_serving,
+    "raw_rows_per_folder": q_raw_rows_per_folder,
+    "files_per_folder": q_files_per_folder,
+    "layer_reconciliation": q_layer_reconciliation,
 }
 
 ORACLES: dict[str, str] = {
@@ -356,4 +592,12 @@ ORACLES: dict[str, str] = {
     "total_imports": SQL_TOTAL_IMPORTS,
     "import_timeline": SQL_IMPORT_TIMELINE,
     "import_detail": SQL_IMPORT_DETAIL,
+    "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
+    "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,
+    "contract_conformance": SQL_CONTRACT_CONFORMANCE,
+    "upsert_main": SQL_LATEST_MAIN,
+    "replace_children": SQL_REPLACE_CHILDREN,
+    "stream_raw_to_serving": SQL_LATEST_MAIN,
+    "raw_rows_per_folder": SQL_RAW_ROWS_PER_FOLDER,
+    "layer_reconciliation": SQL_LAYER_RECONCILIATION,
 }

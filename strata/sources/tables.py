@@ -27,7 +27,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name == "_SUCCESS" or not name.startswith(("_", ".")):
+        if name == "_SUCCESS" or "=" in name or not name.startswith(("_", ".")):
             return True
     return False
 
