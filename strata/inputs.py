@@ -24,8 +24,19 @@ LINE_FIELDS = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
+def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than the cluster's parallelism (one small
+    file, one row group) that many partitions, so per-row JSON work is not
+    left to one task. A large input already has more splits than cores and
+    is returned as it is: no shuffle is added at scale."""
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def nest_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,

@@ -132,3 +132,39 @@ def child_frames(df: DataFrame, key: str, table: str, tombstones: bool = False,
 
 def child_table_name(table: str, array_col: str) -> str:
     return f"{table}{SEP}{array_col}"
+
+
+def nested_child_frames(df: DataFrame, key: str, table: str) -> dict[str, DataFrame]:
+    """Q11 option: child frames for every array and, recursively, for arrays
+    inside array elements (``{table}_{A}_{B}``). A grandchild row carries the
+    root key, the position of its parent element (``{A}_Position``) and its
+    own position; struct elements are expanded one level at each step."""
+    out: dict[str, DataFrame] = {}
+
+    def walk(frame: DataFrame, carry: list[str], name: str) -> None:
+        for a in array_columns(frame):
+            if a in carry:
+                continue
+            pos_name = f"{a}{SEP}Position"
+            keep = [_top(c) for c in carry]
+            etype = frame.schema[a].dataType.elementType
+            exploded = frame.select(*keep, F.posexplode(_top(a)).alias(POSITION_COL, "__elem"))
+            if isinstance(etype, StructType):
+                elem = [F.col("__elem").getField(f.name).alias(f.name) for f in etype.fields]
+                names = [f.name for f in etype.fields]
+            else:
+                elem = [F.col("__elem").alias(a)]
+                names = [a]
+            child_name = f"{name}{SEP}{a}"
+            _check_unique(carry + [POSITION_COL] + names, f"child table {child_name}")
+            child = exploded.select(*[_top(c) for c in carry], F.col(POSITION_COL), *elem)
+            out[child_name] = child.select(
+                *[_top(c) for c in child.columns if not isinstance(child.schema[c].dataType, ArrayType)
+                  or c in carry])
+            deeper = child.withColumnRenamed(POSITION_COL, pos_name)
+            walk(deeper, carry + [pos_name], child_name)
+
+    root = df.select(_top(key).alias(f"{table}{SEP}{key}"),
+                     *[_top(c) for c in array_columns(df)])
+    walk(root, [f"{table}{SEP}{key}"], table)
+    return out

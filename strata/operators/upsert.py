@@ -60,11 +60,16 @@ def read_buckets(spark: SparkSession, table: BucketedTable, buckets: list[int] |
 
 
 def _write_partitioned(df: DataFrame, table: BucketedTable, path: str, mode_dynamic: bool) -> None:
+    """Write rows under ``_bucket=`` folders. The ``rebalance`` hint lets AQE
+    split a bucket that is far above the advisory partition size over several
+    writers (a parent with a huge share of the child rows) and merge small
+    ones, so files stay near the target size whatever the key skew."""
     if table.files_per_bucket > 1 and table.spread_col:
         spread = F.pmod(F.xxhash64(F.col(table.spread_col)), F.lit(table.files_per_bucket))
-        df = df.repartition(F.col(BUCKET_COL), spread)
+        df = df.withColumn("__spread", spread).hint("rebalance", BUCKET_COL, "__spread") \
+               .drop("__spread")
     else:
-        df = df.repartition(F.col(BUCKET_COL))
+        df = df.hint("rebalance", BUCKET_COL)
     w = df.write.mode("overwrite").partitionBy(BUCKET_COL)
     if mode_dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -90,19 +95,21 @@ def staged_complete(spark: SparkSession, staging: str) -> bool:
 
 
 def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
-                   table: BucketedTable, staging: str, reuse_staged: bool = False) -> None:
+                   table: BucketedTable, staging: str, reuse_staged: bool = False,
+                   buckets: list[int] | None = None) -> None:
     """Shared core of K1 and K2: in the touched buckets, drop every row whose
     key is in ``batch_keys`` and add ``batch``.
 
     ``batch_keys`` is the key set of the batch (one column named ``table.key``);
     for children it comes from the parents, not from the exploded rows, so an
-    empty or NULL array still deletes the old children (Q8)."""
+    empty or NULL array still deletes the old children (Q8). ``buckets``, when
+    given, is a superset of the batch's buckets (saves one pass over the keys)."""
     if reuse_staged and staged_complete(spark, staging):
         recommit_staged(spark, table, staging)
         return
     keys = batch_keys.select(table.key).distinct()
     rows = batch.withColumn(BUCKET_COL, table.bucket_of())
-    buckets = touched_buckets(keys, table)
+    buckets = touched_buckets(keys, table) if buckets is None else buckets
     if not buckets:
         return
     current = read_buckets(spark, table, buckets)
@@ -115,16 +122,19 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
 
 
 def upsert_main(spark: SparkSession, main_rows: DataFrame, table: BucketedTable,
-                staging: str, reuse_staged: bool = False) -> None:
+                staging: str, reuse_staged: bool = False,
+                buckets: list[int] | None = None) -> None:
     """K1: update-all / insert-all of one row per key."""
-    replace_by_key(spark, main_rows, main_rows.select(table.key), table, staging, reuse_staged)
+    replace_by_key(spark, main_rows, main_rows.select(table.key), table, staging, reuse_staged,
+                   buckets)
 
 
 def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: DataFrame,
-                     table: BucketedTable, staging: str, reuse_staged: bool = False) -> None:
+                     table: BucketedTable, staging: str, reuse_staged: bool = False,
+                     buckets: list[int] | None = None) -> None:
     """K2: all child rows of every parent in ``parent_keys`` are replaced by
     ``child_rows`` (which include one tombstone per parent)."""
-    replace_by_key(spark, child_rows, parent_keys, table, staging, reuse_staged)
+    replace_by_key(spark, child_rows, parent_keys, table, staging, reuse_staged, buckets)
 
 
 def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> DataFrame | None:

@@ -48,15 +48,17 @@ def rank_batch(batch: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame
 
 
 def guard_newer(spark: SparkSession, ranked: DataFrame, spec: EntitySpec, root: str,
-                keys: DataFrame | None = None) -> DataFrame:
+                keys: DataFrame | None = None, buckets: list[int] | None = None) -> DataFrame:
     """Q3: drop batch rows whose order tuple is below the stored row's; equal
     tuples pass, so a replay passes. The stored side is read for the touched
     buckets only (``keys``: the batch keys, cheaper to scan than ``ranked``)."""
     if spec.guard == "none":
         return ranked
     table = main_table(spec, root)
-    keys = ranked.select(spec.key) if keys is None else keys
-    stored = read_buckets(spark, table, touched_buckets(keys, table))
+    if buckets is None:
+        keys = ranked.select(spec.key) if keys is None else keys
+        buckets = touched_buckets(keys, table)
+    stored = read_buckets(spark, table, buckets)
     if stored is None:
         return ranked
     names = [n for n in spec.present_order_names(ranked) if n in stored.columns]
@@ -82,8 +84,11 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
     stamp = F.current_timestamp() if stamp is None else stamp
 
     ranked, rejects = rank_batch(batch, spec)
-    survivors = guard_newer(spark, ranked, spec, root,
-                            keys=batch.select(spec.key).where(F.col(spec.key).isNotNull()))
+    # buckets of the batch keys: one pass over the key column, reused by every
+    # table of the entity (children share the key and, by default, the bucket count)
+    main_t = main_table(spec, root)
+    buckets = touched_buckets(batch.select(spec.key).where(F.col(spec.key).isNotNull()), main_t)
+    survivors = guard_newer(spark, ranked, spec, root, buckets=buckets)
     if spec.delete_when:
         survivors = survivors.withColumn(DELETED_COL, F.coalesce(F.expr(spec.delete_when), F.lit(False)))
     else:
@@ -101,12 +106,13 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
             src = staged.withColumn(a, F.when(F.col(DELETED_COL), F.lit(None)).otherwise(F.col(a)))
         children = explode_child(src, spec.key, a, spec.name, tombstones=True, uid_parts=uid_parts)
         parents = staged.select(F.col(spec.key).alias(table.key))
+        same = table.buckets == main_t.buckets
         replace_children(spark, children, parents, table, f"{staging}/{a}",
-                         reuse_staged=batch_id is not None)
+                         reuse_staged=batch_id is not None, buckets=buckets if same else None)
 
     main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)
-    upsert_main(spark, main, main_table(spec, root), f"{staging}/main",
-                reuse_staged=batch_id is not None)
+    upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=batch_id is not None,
+                buckets=buckets)
 
     n_rejects = 0
     if rejects.take(1):

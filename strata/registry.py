@@ -24,7 +24,9 @@ from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.contract import conformance_counts
 from strata.operators.upsert import read_children, read_main
-from strata.plans.conform import conform
+from strata.plans.conform import conform, conform_documents
+from strata.operators.contract import infer_contract
+from strata.sources.raw import json_documents
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.pipeline import EVENT_SPEC, run_event_streams
@@ -419,6 +421,45 @@ UNION ALL SELECT 'channel', 'string', true, total, 0 FROM n
 """
 
 
+def q_json_document_folder(spark, sf):
+    """Stamped documents kept as a folder of JSON text
+    (every 17th line cut short); the contract is inferred from the folder, the
+    documents are read under it with their source file and conformed; broken
+    lines go to quarantine."""
+    work = work_dir(spark, "json-docs")
+    landed = _landed(spark, sf)
+    text = landed.select(F.when(F.pmod("sequenceNumber", F.lit(17)) == 0,
+                                F.substring("document", 1, 30))
+                         .otherwise(F.col("document")).alias("value"))
+    text.write.text(f"{work}/docs")
+    contract = infer_contract(spark, f"{work}/docs", multi_line=False)
+    parsed = json_documents(spark, f"{work}/docs", contract, multi_line=False)
+    good, bad = conform_documents(parsed, contract, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP))
+    cols = ["MetaData_BronzeCreatedAt", "MetaData_ChangeType", "MetaData_PublicationDate",
+            "event_id", "user_id", "event_type", "value", "props"]
+    ok = FL.flatten_structs(good).select(*cols, F.lit("conformed").alias("route"),
+                                         F.lit(None).cast("string").alias("reason"))
+    types = dict((f.name, f.dataType) for f in ok.schema.fields)
+    rejected = bad.select(*[F.lit(None).cast(types[c]).alias(c) for c in cols],
+                          F.lit("quarantine").alias("route"), F.col("_reject_reason").alias("reason"))
+    return ok.unionByName(rejected)
+
+
+SQL_JSON_DOCUMENT_FOLDER = """
+SELECT CASE WHEN b THEN NULL ELSE '2025-03-11T14:52:53' END AS MetaData_BronzeCreatedAt,
+       CASE WHEN b THEN NULL ELSE event_type END AS MetaData_ChangeType,
+       CASE WHEN b THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS MetaData_PublicationDate,
+       CASE WHEN b THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN b THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN b THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN b THEN NULL ELSE value END AS value,
+       CASE WHEN b THEN NULL ELSE props END AS props,
+       CASE WHEN b THEN 'quarantine' ELSE 'conformed' END AS route,
+       CASE WHEN b THEN 'malformed or mistyped document' END AS reason
+FROM (SELECT *, event_id % 17 = 0 AS b FROM events)
+"""
+
+
 # ------------------------------------------------------------------ serving upsert
 _MAIN_COLS = ("user_id", "event_id", "event_type", "value", "props",
               "MetaData_PublicationDate", "MetaData_ChangeType")
@@ -564,6 +605,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bad_document_quarantine": q_bad_document_quarantine,
     "dedupe_replayed_events": q_dedupe_replayed_events,
     "contract_conformance": q_contract_conformance,
+    "json_document_folder": q_json_document_folder,
     "upsert_main": q_upsert_main,
     "replace_children": q_replace_children,
     "stream_raw_to_serving": q_stream_raw_to_serving,
@@ -595,6 +637,7 @@ ORACLES: dict[str, str] = {
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
     "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,
     "contract_conformance": SQL_CONTRACT_CONFORMANCE,
+    "json_document_folder": SQL_JSON_DOCUMENT_FOLDER,
     "upsert_main": SQL_LATEST_MAIN,
     "replace_children": SQL_REPLACE_CHILDREN,
     "stream_raw_to_serving": SQL_LATEST_MAIN,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
-from strata.operators.contract import CORRUPT, relax
+from strata.operators.contract import parse_documents
 
 RAW_PARTITIONS = ("event_type", "ingest_date")
 RAW_SCHEMA = StructType([
@@ -57,25 +57,24 @@ def raw_stream(spark: SparkSession, root: str, event_type: str | None = None,
     return df
 
 
-def _json_reader(reader, contract: StructType, multi_line: bool):
-    schema = StructType(relax(contract).fields + [StructField(CORRUPT, StringType(), True)])
-    return (reader.schema(schema).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
-
-
 def json_documents(spark: SparkSession, path: str, contract: StructType,
                    multi_line: bool = True, stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """A folder (or glob) of JSON documents under a pinned
-    contract, batch or stream. A broken document becomes a row with
-    ``_corrupt_record`` set (quarantined by ``enforce``); ``source_file`` is
-    the file each row came from, selected here so it survives to the sink."""
-    if stream:
-        r = _json_reader(spark.readStream, contract, multi_line)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    else:
-        r = _json_reader(spark.read, contract, multi_line)
-    df = r.json(path)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns],
-                     F.col("_metadata.file_path").alias("source_file"))
+    contract, batch or stream.
+
+    Files are read as text -- a whole file per document when ``multi_line``
+    (the one-document-per-file layout), else one document per line -- and
+    parsed by ``parse_documents``, the same path as the raw zone: a broken
+    document becomes a row with ``_corrupt_record`` set (quarantined by
+    ``enforce``), and ``source_file`` is the file each row came from, taken
+    here so it survives to the sink."""
+    r = spark.readStream if stream else spark.read
+    r = r.format("text").option("wholetext", multi_line)
+    if stream and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    text = r.load(path).select(F.col("value").alias("__doc"),
+                               F.col("_metadata.file_path").alias("source_file"))
+    if not multi_line:
+        text = text.where(F.trim(F.col("__doc")) != "")
+    return parse_documents(text, contract, doc="__doc", keep=["source_file"])

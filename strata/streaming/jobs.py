@@ -18,6 +18,7 @@ from pyspark.sql.types import StructField, StructType, TimestampType, LongType
 
 from strata.operators.contract import relax
 from strata.operators.envelope import META, land_events
+from strata.operators.monitor import observe_rows
 from strata.plans.conform import (SILVER_STAMP, SOURCE_PARTITION, SOURCE_SEQUENCE, conform)
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
@@ -64,7 +65,9 @@ def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
     """Raw job: hub events (``decoded_body``, ``partition``, ``sequenceNumber``)
     are stamped and appended to the raw zone."""
     def fn(batch, batch_id):
-        write_raw(land_events(batch, stamp), raw_root)
+        landed, obs = observe_rows(land_events(batch, stamp), f"raw-{batch_id}")
+        write_raw(landed, raw_root)
+        log.info("raw batch %s: %s events landed", batch_id, obs.get.get("rows"))
     return _start(events, _skip_empty(fn, "raw"), checkpoint, trigger or {}, name)
 
 
@@ -91,7 +94,9 @@ def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contrac
         batch = batch.persist()
         try:
             good, bad = conform(spark, batch, contract, payload, stamp, conformed_path)
+            good, obs = observe_rows(good, f"conform-{batch_id}")   # E7: counted while written
             append_table(good, conformed_path)
+            log.info("conform batch %s: %s rows conformed", batch_id, obs.get.get("rows"))
             if bad.take(1):
                 append_table(bad.withColumn("batch_id", F.lit(batch_id)), quarantine)
         finally:

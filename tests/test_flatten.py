@@ -63,3 +63,14 @@ def test_drop_arrays_and_tombstones(spark):
     assert rows == [(1, 0), (1, 1), (2, None), (3, None)]
     ids = [r[UID_COL] for r in tomb.collect()]
     assert len(set(ids)) == 4 and all(len(i) == 64 for i in ids)
+
+
+def test_nested_child_frames_recurse(spark):
+    from strata.operators.flatten import nested_child_frames
+    df = spark.createDataFrame([("K", [("a", [1, 2]), ("b", [])]), ("L", None)],
+                               "id string, A array<struct<n:string, B:array<int>>>")
+    frames = nested_child_frames(df, "id", "T")
+    assert sorted(frames) == ["T_A", "T_A_B"]
+    assert frames["T_A"].columns == ["T_id", POSITION_COL, "n"]
+    assert sorted(tuple(r) for r in frames["T_A_B"].collect()) == [("K", 0, 0, 1), ("K", 0, 1, 2)]
+    assert frames["T_A_B"].columns == ["T_id", "A_Position", POSITION_COL, "B"]
