@@ -35,8 +35,12 @@ def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` for inputs whose per-row work (JSON) runs
+    before any shuffle (joins and aggregations get their parallelism from
+    their own exchange, so they do not need it)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark, df) if spread else df
 
 
 def nest_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
@@ -84,6 +88,7 @@ def _initcap_word(c):
 def event_document(events: DataFrame) -> DataFrame:
     """One JSON document per event (envelope + ``Event`` payload), with the hub
     identity: partition = event_id mod 4, sequenceNumber = event_id."""
+    events = spread_small_scan(events.sparkSession, events)
     doc = F.to_json(F.struct(
         F.col("event_type").alias("ChangeType"),
         F.lit(EVENT_MODEL).alias("Model"),

@@ -96,18 +96,22 @@ def staged_complete(spark: SparkSession, staging: str) -> bool:
 
 def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
                    table: BucketedTable, staging: str, reuse_staged: bool = False,
-                   buckets: list[int] | None = None) -> None:
+                   buckets: list[int] | None = None, keys_unique: bool = False) -> None:
     """Shared core of K1 and K2: in the touched buckets, drop every row whose
     key is in ``batch_keys`` and add ``batch``.
 
     ``batch_keys`` is the key set of the batch (one column named ``table.key``);
     for children it comes from the parents, not from the exploded rows, so an
     empty or NULL array still deletes the old children (Q8). ``buckets``, when
-    given, is a superset of the batch's buckets (saves one pass over the keys)."""
+    given, is a superset of the batch's buckets (saves one pass over the keys).
+    ``keys_unique`` skips the ``distinct`` (and its shuffle) when the caller
+    knows each key occurs once, as after ``latest_per_key``."""
     if reuse_staged and staged_complete(spark, staging):
         recommit_staged(spark, table, staging)
         return
-    keys = batch_keys.select(table.key).distinct()
+    keys = batch_keys.select(table.key)
+    if not keys_unique:
+        keys = keys.distinct()
     rows = batch.withColumn(BUCKET_COL, table.bucket_of())
     buckets = touched_buckets(keys, table) if buckets is None else buckets
     if not buckets:
@@ -125,16 +129,18 @@ def upsert_main(spark: SparkSession, main_rows: DataFrame, table: BucketedTable,
                 staging: str, reuse_staged: bool = False,
                 buckets: list[int] | None = None) -> None:
     """K1: update-all / insert-all of one row per key."""
+    # one row per key by contract, so the key set needs no distinct
     replace_by_key(spark, main_rows, main_rows.select(table.key), table, staging, reuse_staged,
-                   buckets)
+                   buckets, keys_unique=True)
 
 
 def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: DataFrame,
                      table: BucketedTable, staging: str, reuse_staged: bool = False,
-                     buckets: list[int] | None = None) -> None:
+                     buckets: list[int] | None = None, parents_unique: bool = False) -> None:
     """K2: all child rows of every parent in ``parent_keys`` are replaced by
     ``child_rows`` (which include one tombstone per parent)."""
-    replace_by_key(spark, child_rows, parent_keys, table, staging, reuse_staged, buckets)
+    replace_by_key(spark, child_rows, parent_keys, table, staging, reuse_staged, buckets,
+                   keys_unique=parents_unique)
 
 
 def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> DataFrame | None:
@@ -142,7 +148,8 @@ def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> Dat
         return None
     df = read_table(spark, path)
     if DELETED_COL in df.columns and not keep_deleted:
-        df = df.where(~F.coalesce(F.col(DELETED_COL), F.lit(False)))
+        # IS NULL OR = false: a form the Parquet scan accepts as a pushed filter
+        df = df.where(F.col(DELETED_COL).isNull() | (F.col(DELETED_COL) == F.lit(False)))
     return df.drop(BUCKET_COL, DELETED_COL) if not keep_deleted else df
 
 

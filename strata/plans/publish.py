@@ -87,7 +87,11 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
     # buckets of the batch keys: one pass over the key column, reused by every
     # table of the entity (children share the key and, by default, the bucket count)
     main_t = main_table(spec, root)
-    buckets = touched_buckets(batch.select(spec.key).where(F.col(spec.key).isNotNull()), main_t)
+    # one pass over the key column: the touched buckets, and -1 when any key is NULL
+    marks = (batch.select(F.when(F.col(spec.key).isNull(), F.lit(-1))
+                           .otherwise(main_t.bucket_of()).alias("b")).distinct().collect())
+    buckets = sorted(r["b"] for r in marks if r["b"] >= 0)
+    has_null_keys = any(r["b"] < 0 for r in marks)
     survivors = guard_newer(spark, ranked, spec, root, buckets=buckets)
     if spec.delete_when:
         survivors = survivors.withColumn(DELETED_COL, F.coalesce(F.expr(spec.delete_when), F.lit(False)))
@@ -108,14 +112,15 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
         parents = staged.select(F.col(spec.key).alias(table.key))
         same = table.buckets == main_t.buckets
         replace_children(spark, children, parents, table, f"{staging}/{a}",
-                         reuse_staged=batch_id is not None, buckets=buckets if same else None)
+                         reuse_staged=batch_id is not None, buckets=buckets if same else None,
+                         parents_unique=True)
 
     main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)
     upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=batch_id is not None,
                 buckets=buckets)
 
     n_rejects = 0
-    if rejects.take(1):
+    if has_null_keys:
         q = rejects.select(F.to_json(F.struct(*[F.col(c) for c in rejects.columns
                                                 if c != "_reject_reason"])).alias("row"),
                            F.col("_reject_reason"), F.lit(run).alias("batch"))

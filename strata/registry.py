@@ -401,7 +401,7 @@ STRICT_EVENT_CONTRACT = StructType([
 
 
 def q_contract_conformance(spark, sf):
-    ev = I.table(spark, sf, "events")
+    ev = I.table(spark, sf, "events", spread=True)
     docs = ev.select(F.to_json(F.struct(*ev.columns)).alias("document"))
     return conformance_counts(docs, STRICT_EVENT_CONTRACT)
 

@@ -46,11 +46,18 @@ def read_raw(spark: SparkSession, root: str, event_type: str | None = None,
 
 
 def raw_stream(spark: SparkSession, root: str, event_type: str | None = None,
-               max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """A4/A6 for the raw zone: new raw files as micro-batches."""
+               max_files_per_trigger: int | None = None, fmt: str = "parquet",
+               archive_dir: str | None = None) -> DataFrame:
+    """A4/A6 for the raw zone: new raw files as micro-batches.
+
+    A file source lists its folder on every trigger; with ``archive_dir``
+    processed files are moved there (Spark's ``cleanSource``), so the listed
+    folder holds only the files not yet conformed."""
     r = spark.readStream.format(fmt).schema(RAW_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.load(root)
     if event_type is not None:
         df = df.where(F.col("event_type") == event_type)
