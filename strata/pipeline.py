@@ -22,7 +22,7 @@ from strata.streaming.jobs import (conformed_schema, run_conform, run_raw, run_s
                                    trigger_options)
 
 EVENT_SPEC = EntitySpec(name="Events", key="user_id", payload=I.EVENT_PAYLOAD, buckets=8)
-HUB_FILES = 16
+HUB_FILES = 8
 # files per micro-batch: several batches per layer, without one batch per tiny file
 CONFORM_FILES = 400
 SERVING_FILES = 8
@@ -57,7 +57,7 @@ def run_event_streams(spark: SparkSession, sf_dir: str, reuse: bool = True,
     msgs.repartition(HUB_FILES, "partition", "sequenceNumber").write.mode("overwrite").parquet(run.hub)
 
     once = trigger_options(available_now=True)
-    src = event_stream(file_events(spark, run.hub, msgs.schema, max_files_per_trigger=8))
+    src = event_stream(file_events(spark, run.hub, msgs.schema, max_files_per_trigger=4))
     q = run_raw(src, run.raw, f"{root}/_chk/raw", once, stamp=landing_stamp(), name=None)
     q.awaitTermination(timeout_s)
     q = run_conform(spark, run.raw, run.conformed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD,

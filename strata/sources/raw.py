@@ -29,8 +29,14 @@ RAW_SCHEMA = StructType([
 
 
 def write_raw(landed: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """A3: append landed rows under ``event_type=.../ingest_date=...``."""
-    landed.select(*[f.name for f in RAW_SCHEMA.fields]) \
+    """A3: append landed rows under ``event_type=.../ingest_date=...``.
+
+    The ``rebalance`` hint groups rows by folder before the write, so a batch
+    makes about one file per folder and size step instead of one per writer
+    task and folder (the small files every later listing and read would pay
+    for); AQE still splits a folder that is far above the advisory size, so a
+    type holding most of the events is written by several tasks."""
+    landed.select(*[f.name for f in RAW_SCHEMA.fields]).hint("rebalance", *RAW_PARTITIONS) \
           .write.mode("append").format(fmt).partitionBy(*RAW_PARTITIONS).save(root)
 
 
