@@ -28,30 +28,57 @@ _AGGS = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.coun
          "count_distinct": F.count_distinct}
 
 
-def relate(main: DataFrame, child: DataFrame, key: str, parent_key: str) -> DataFrame:
+def relate(main: DataFrame, child: DataFrame, key: str, parent_key: str,
+           collision_prefix: str = "child_") -> DataFrame:
     """Main LEFT JOIN child on ``main.key = child.parent_key``.
 
     Written as (child ⋈ main) ∪ (main without children) so that a parent with
     a huge share of the child rows sits on the side AQE may split (the
     streamed side of an inner join); the parents-without-children side joins
     against the distinct child keys (partially aggregated before the shuffle).
+    A child column named like a main column (a child field called like the
+    key) is renamed ``collision_prefix + name``.
     """
     child_cols = [c for c in child.columns if c != parent_key]
+    taken = {c.lower() for c in main.columns}
+    out_name = {c: (collision_prefix + c if c.lower() in taken else c) for c in child_cols}
     m, c = main.alias("__m"), child.alias("__c")
     q = lambda side, name: F.col(f"{side}.`{name}`")
     matched = c.join(m, q("__c", parent_key) == q("__m", key), "inner") \
                .select(*[q("__m", x).alias(x) for x in main.columns],
-                       *[q("__c", x).alias(x) for x in child_cols],
+                       *[q("__c", x).alias(out_name[x]) for x in child_cols],
                        q("__c", parent_key).alias(parent_key))
     keys = child.select(F.col(parent_key).alias("__pk")).distinct()
     lonely = main.join(keys, F.col(key) == F.col("__pk"), "left_anti")
     ctypes = {f.name: f.dataType for f in child.schema.fields}
     lonely = lonely.select(*[F.col(x) for x in main.columns],
-                           *[F.lit(None).cast(ctypes[x]).alias(x) for x in child_cols],
+                           *[F.lit(None).cast(ctypes[x]).alias(out_name[x]) for x in child_cols],
                            F.lit(None).cast(ctypes[parent_key]).alias(parent_key))
     return matched.unionByName(lonely)
 
 
+def serving_model(spark, root: str, main_name: str, key: str, children: Iterable[str],
+                  register: bool = True) -> dict[str, DataFrame]:
+    """D4 + A14: the serving model -- the main table and every child table
+    ``{main}_{array}`` registered as views, and one relationship frame per
+    child (``relate``: main LEFT JOIN child on the prefixed key)."""
+    from strata.operators.upsert import read_children, read_main
+    main = read_main(spark, f"{root.rstrip('/')}/{main_name}")
+    out: dict[str, DataFrame] = {}
+    if main is None:
+        return out
+    if register:
+        main.createOrReplaceTempView(main_name)
+    for name in children:
+        child = read_children(spark, f"{root.rstrip('/')}/{name}")
+        if child is None:
+            continue
+        if register:
+            child.createOrReplaceTempView(name)
+        out[name] = relate(main, child, key, f"{main_name}_{key}", collision_prefix=f"{name}_")
+    return out
+
+
 def default_measures(df: DataFrame, measures: Mapping[str, str] | Iterable[str],
                      by: Iterable[str] = ()) -> DataFrame:
     """The model's default aggregate per column (``{col: 'sum'}`` or a list

@@ -27,6 +27,10 @@ from strata.sources.tables import append_table, table_stream
 
 log = logging.getLogger("strata.streaming")
 
+# Default intake per micro-batch of the file-stream jobs: a backfill becomes a
+# series of bounded batches instead of one batch holding the whole history.
+DEFAULT_MAX_FILES = 1000
+
 
 def trigger_options(processing_time: str | None = None, available_now: bool = False) -> dict:
     """L3/L4: a fixed interval, a bounded catch-up (tests, replays) or as fast
@@ -84,10 +88,11 @@ def conformed_schema(contract: StructType, payload: str) -> StructType:
 
 def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contract: StructType,
                 payload: str, checkpoint: str | None, event_type: str | None = None,
-                trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                stamp: Column | None = None, name: str | None = "conform") -> StreamingQuery:
+                trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
+                stamp: Column | None = None, name: str | None = "conform",
+                archive_dir: str | None = None) -> StreamingQuery:
     """Conform job: raw files -> contract -> conformed table (+ quarantine)."""
-    src = raw_stream(spark, raw_root, event_type, max_files_per_trigger)
+    src = raw_stream(spark, raw_root, event_type, max_files_per_trigger, archive_dir=archive_dir)
     quarantine = conformed_path.rstrip("/") + "_quarantine"
 
     def fn(batch, batch_id):
@@ -106,7 +111,7 @@ def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contrac
 
 def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, serving_root: str,
                 spec: EntitySpec, checkpoint: str | None, trigger: dict | None = None,
-                max_files_per_trigger: int | None = None, stamp: Column | None = None,
+                max_files_per_trigger: int | None = DEFAULT_MAX_FILES, stamp: Column | None = None,
                 name: str | None = "serving") -> StreamingQuery:
     """Serving job: conformed table stream -> ``publish_entity`` per batch."""
     src = table_stream(spark, conformed_path, schema, max_files_per_trigger=max_files_per_trigger)

@@ -53,3 +53,23 @@ def test_report_queries(spark):
     m = S.default_measures(spark.createDataFrame([(1.0, 2, "x")], "IssuePrice double, LegNo bigint, s string"),
                            S.INSTRUMENT_DEFAULT_SUMS)
     assert m.columns == ["sum_IssuePrice", "sum_LegNo"]
+
+
+def test_serving_model_relates_every_child(spark, work):
+    from pyspark.sql import functions as F
+
+    from strata.plans.publish import publish_entity
+    from strata.plans.spec import EntitySpec
+    spec = EntitySpec(name="Instrument", key="GainID", buckets=2, ties=())
+    df = spark.createDataFrame(
+        [(("2025-01-01",), "A", [("EUR",)], [("X", "1")]), (("2025-01-01",), "B", [], None)],
+        "MetaData struct<PublicationDate:string>, GainID string, QuoteCurrency array<struct<Currency:string>>, "
+        "InstrumentIdentifiers array<struct<GainID:string, ID_Value:string>>")
+    publish_entity(spark, df, spec, work, stamp=F.current_timestamp())
+    model = S.serving_model(spark, work, "Instrument", "GainID",
+                            ["Instrument_QuoteCurrency", "Instrument_InstrumentIdentifiers"])
+    assert sorted(model) == ["Instrument_InstrumentIdentifiers", "Instrument_QuoteCurrency"]
+    q = sorted((r.GainID, r.Currency) for r in model["Instrument_QuoteCurrency"].collect())
+    assert q == [("A", "EUR"), ("B", None)]
+    ids = spark.sql("SELECT Instrument_GainID, GainID, ID_Value FROM Instrument_InstrumentIdentifiers").collect()
+    assert [tuple(r) for r in ids] == [("A", "X", "1")]
