@@ -118,10 +118,13 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
         return
     current = read_buckets(spark, table, buckets)
     if current is None:
-        new_content = rows
-    else:
-        kept = current.join(keys, on=table.key, how="left_anti")
-        new_content = kept.unionByName(rows, allowMissingColumns=True)
+        # First commit: nothing is read while the target is written, and a
+        # half-done first commit holds batch rows only, which a replay deletes
+        # by key and writes again -- so no staged copy is needed.
+        _write_partitioned(rows, table, table.path, mode_dynamic=True)
+        return
+    kept = current.join(keys, on=table.key, how="left_anti")
+    new_content = kept.unionByName(rows, allowMissingColumns=True)
     commit_buckets(spark, new_content, table, staging)
 
 
