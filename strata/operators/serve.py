@@ -109,17 +109,24 @@ def import_timeline(main: DataFrame, stamp: str = "MetaData_GoldCreatedAt",
     return main.groupBy(stamp).agg(F.count(stamp).alias(count_alias)).orderBy(stamp)
 
 
-def import_detail(main: DataFrame, today, filters: Mapping[str, Iterable] | None = None,
+def import_detail(main: DataFrame, today=None, filters: Mapping[str, Iterable] | None = None,
                   columns: Iterable[str] = DETAIL_COLUMNS,
                   stamp: str = "MetaData_GoldCreatedAt") -> DataFrame:
-    """B19 + C5 + C6 + G3: rows stamped on ``today`` (half-open range, so the
-    filter reaches the scan), categorical filters (no values = no filter),
+    """B19 + C5 + C6 + G3: rows stamped on ``today`` (the current date when
+    not given, as the report's relative filter), as a half-open range so the
+    filter reaches the scan; categorical filters (no values = no filter);
     newest first."""
-    today = _dt.date.fromisoformat(today) if isinstance(today, str) else today
-    lo = _dt.datetime.combine(today, _dt.time())
-    hi = lo + _dt.timedelta(days=1)
     dtype = main.schema[stamp].dataType
-    df = main.where((F.col(stamp) >= F.lit(lo).cast(dtype)) & (F.col(stamp) < F.lit(hi).cast(dtype)))
+    if today is None:
+        # current_date() is folded to a literal at planning: still pushable
+        lo_c = F.current_date().cast(dtype)
+        hi_c = F.date_add(F.current_date(), 1).cast(dtype)
+    else:
+        today = _dt.date.fromisoformat(today) if isinstance(today, str) else today
+        lo = _dt.datetime.combine(today, _dt.time())
+        lo_c = F.lit(lo).cast(dtype)
+        hi_c = F.lit(lo + _dt.timedelta(days=1)).cast(dtype)
+    df = main.where((F.col(stamp) >= lo_c) & (F.col(stamp) < hi_c))
     for c, values in (filters or {}).items():
         values = list(values or [])
         if values:
