@@ -39,8 +39,6 @@ def stamp_document(doc, stamp, key: str = STAMP_KEY) -> Column:
     ``stamp`` is a string column: use ``format_stamp(ts)`` for timestamps.
     """
     text = _c(stamp)
-    if isinstance(stamp, str):
-        text = F.col(stamp)
     # string -> JSON string value (escaped by to_json), as a variant
     value = F.variant_get(F.parse_json(F.to_json(F.array(text))), "$[0]", "variant")
     kept = F.map_filter(F.from_json(_c(doc), "map<string,variant>"),

@@ -13,28 +13,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from strata import inputs as I
 from strata.functions.docs import json_key, raw_document_path
 from strata.operators import flatten as FL
 from strata.operators import monitor as M
 from strata.operators import serve as S
-from strata.operators.contract import enforce, parse_documents
+from strata.operators.contract import (conformance_counts, enforce, infer_contract,
+                                       parse_documents)
 from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.latest import latest_per_key, split_null_keys
-from strata.operators.contract import conformance_counts
 from strata.operators.upsert import read_children, read_main
+from strata.pipeline import EVENT_SPEC, run_event_streams
 from strata.plans.conform import conform, conform_documents
-from strata.operators.contract import infer_contract
-from strata.sources.raw import json_documents
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
-from strata.pipeline import EVENT_SPEC, run_event_streams
 from strata.session import work_dir
-from strata.sources.raw import read_raw
+from strata.sources.raw import json_documents, read_raw
 from strata.sources.tables import append_table, read_table, register_view
-from pyspark.sql.types import (LongType, StringType, StructField, StructType, TimestampType,
-                               IntegerType)
 
 # Fixed parameters of the registered queries (no wall clock in a compared result).
 FIXED_STAMP = _dt.datetime(2025, 3, 11, 14, 52, 53)

@@ -2,9 +2,7 @@
 from the checkpoint."""
 
 import pytest
-from pyspark.sql import functions as F
 
-import strata.plans.publish as publish_mod
 import strata.streaming.jobs as jobs
 from strata import inputs as I
 from strata.operators.latest import latest_per_key
