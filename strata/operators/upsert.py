@@ -23,12 +23,63 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import IntegerType, StructField, StructType
+
 from strata.functions.ids import key_bucket
+from strata.operators.contract import load_contract, save_contract
 from strata.operators.flatten import POSITION_COL, UID_COL
 from strata.sources.tables import path_exists, read_table, table_exists
 
 BUCKET_COL = "_bucket"
 DELETED_COL = "MetaData_Deleted"
+SCHEMA_DIR = "_schema"   # hidden from the Parquet reader (leading underscore, no '=')
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The table's schema as last committed (data columns + ``_bucket``)."""
+    loc = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    return load_contract(spark, loc) if path_exists(spark, loc) else None
+
+
+def merge_schemas(old: StructType | None, new: StructType) -> StructType:
+    """Top-level union by name: existing columns keep their place and type,
+    new columns are appended; a changed type is refused (no type evolution)."""
+    if old is None:
+        return new
+    fields = list(old.fields)
+    have = {f.name.lower(): f for f in old.fields}
+    for f in new.fields:
+        o = have.get(f.name.lower())
+        if o is None:
+            fields.append(StructField(f.name, f.dataType, True, f.metadata))
+        elif o.dataType != f.dataType:
+            raise ValueError(f"column {f.name}: type {f.dataType.simpleString()} does not match "
+                             f"the table's {o.dataType.simpleString()}")
+    return StructType(fields)
+
+
+def remember_schema(spark: SparkSession, path: str, written: StructType,
+                    old: StructType | None = None) -> None:
+    """Store the merged schema when a commit added columns (a tiny write)."""
+    data = StructType([f for f in written.fields if f.name != BUCKET_COL])
+    merged = merge_schemas(old, data)
+    merged = StructType([f for f in merged.fields if f.name != BUCKET_COL]
+                        + [StructField(BUCKET_COL, IntegerType(), True)])
+    if old is None or merged != old:
+        save_contract(spark, merged, f"{path.rstrip('/')}/{SCHEMA_DIR}")
+
+
+def read_serving(spark: SparkSession, path: str) -> DataFrame | None:
+    """Read a serving table under its stored schema: no footer scan for
+    schema inference, however many files the table has; columns added
+    later read as NULL in older files. Tables without a stored schema fall
+    back to merging the footers."""
+    if not table_exists(spark, path):
+        return None
+    schema = stored_schema(spark, path)
+    if schema is None:
+        return read_table(spark, path, merge_schema=True)
+    return spark.read.schema(schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -51,9 +102,9 @@ def touched_buckets(batch: DataFrame, table: BucketedTable) -> list[int]:
 
 def read_buckets(spark: SparkSession, table: BucketedTable, buckets: list[int] | None = None
                  ) -> DataFrame | None:
-    if not table_exists(spark, table.path):
+    df = read_serving(spark, table.path)
+    if df is None:
         return None
-    df = read_table(spark, table.path)
     if buckets is not None:
         df = df.where(F.col(BUCKET_COL).isin(buckets))
     return df
@@ -80,6 +131,8 @@ def commit_buckets(spark: SparkSession, new_content: DataFrame, table: BucketedT
                    staging: str) -> None:
     """Stage the full new content of the touched buckets, then swap it in."""
     _write_partitioned(new_content, table, staging, mode_dynamic=False)
+    # the schema first: a stored superset only reads as NULLs, never hides data
+    remember_schema(spark, table.path, new_content.schema, stored_schema(spark, table.path))
     recommit_staged(spark, table, staging)
 
 
@@ -121,6 +174,7 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
         # First commit: nothing is read while the target is written, and a
         # half-done first commit holds batch rows only, which a replay deletes
         # by key and writes again -- so no staged copy is needed.
+        remember_schema(spark, table.path, rows.schema, stored_schema(spark, table.path))
         _write_partitioned(rows, table, table.path, mode_dynamic=True)
         return
     kept = current.join(keys, on=table.key, how="left_anti")
@@ -147,9 +201,9 @@ def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: Da
 
 
 def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> DataFrame | None:
-    if not table_exists(spark, path):
+    df = read_serving(spark, path)
+    if df is None:
         return None
-    df = read_table(spark, path)
     if DELETED_COL in df.columns and not keep_deleted:
         # IS NULL OR = false: a form the Parquet scan accepts as a pushed filter
         df = df.where(F.col(DELETED_COL).isNull() | (F.col(DELETED_COL) == F.lit(False)))
@@ -157,9 +211,10 @@ def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> Dat
 
 
 def read_children(spark: SparkSession, path: str) -> DataFrame | None:
-    if not table_exists(spark, path):
+    df = read_serving(spark, path)
+    if df is None:
         return None
-    return read_table(spark, path).where(F.col(POSITION_COL).isNotNull()).drop(BUCKET_COL)
+    return df.where(F.col(POSITION_COL).isNotNull()).drop(BUCKET_COL)
 
 
 __all__ = ["BucketedTable", "BUCKET_COL", "DELETED_COL", "UID_COL", "upsert_main",

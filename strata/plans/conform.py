@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from strata.operators.contract import CORRUPT, REASON, enforce, parse_documents
-from strata.operators.envelope import split_envelope
+from strata.operators.contract import CORRUPT, REASON, enforce, parse_documents, relax
+from strata.operators.envelope import META, split_envelope
 from strata.sources.tables import read_table, table_exists
 
 IDENTITY = ("partition", "sequenceNumber")
@@ -48,8 +48,10 @@ def drop_seen(spark: SparkSession, raw: DataFrame, conformed_path: str | None) -
     for r in ranges:
         c = (sp == F.lit(r["partition"])) & sq.between(r["lo"], r["hi"])
         cond = c if cond is None else (cond | c)
-    seen = (read_table(spark, conformed_path).select(sp.alias("partition"), sq.alias("sequenceNumber"))
-            .where(cond).distinct())
+    identity = StructType([StructField(META, StructType([
+        StructField(SOURCE_PARTITION, LongType()), StructField(SOURCE_SEQUENCE, LongType())]))])
+    seen = (read_table(spark, conformed_path, schema=identity)
+            .select(sp.alias("partition"), sq.alias("sequenceNumber")).where(cond).distinct())
     return raw.join(seen, list(IDENTITY), "left_anti")
 
 
@@ -90,3 +92,14 @@ def conform_documents(parsed: DataFrame, contract: StructType, payload: str,
     lineage = [c for c in ("source_file",) if c in good.columns]
     good = good.drop(*lineage).withColumn(SILVER_STAMP, stamp.cast("timestamp"))
     return split_envelope(good, payload), bad
+
+
+def conformed_schema(contract: StructType, payload: str) -> StructType:
+    """Schema of the conformed table built from the contract."""
+    rel = relax(contract)
+    env = [f for f in rel.fields if f.name != payload]
+    meta = StructType(env + [StructField(SILVER_STAMP, TimestampType()),
+                             StructField(SOURCE_PARTITION, LongType()),
+                             StructField(SOURCE_SEQUENCE, LongType())])
+    pay = rel[payload].dataType
+    return StructType([StructField(META, meta)] + list(pay.fields))

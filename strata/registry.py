@@ -27,7 +27,7 @@ from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.upsert import read_children, read_main
 from strata.pipeline import EVENT_SPEC, run_event_streams
-from strata.plans.conform import conform, conform_documents
+from strata.plans.conform import conform, conform_documents, conformed_schema
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
@@ -40,6 +40,9 @@ DUP_DAY = "2024-01-15"
 DETAIL_DAY = "2024-01-30"
 DETAIL_TYPES = ("click", "view")
 
+# the conformed event table's schema, known from the contract (no footer scans)
+CONFORMED_EVENTS = conformed_schema(I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
+
 _LINE_ORDER = ", ".join(I.LINE_FIELDS)
 _LINE_COLS = ", ".join(I.LINE_FIELDS)
 
@@ -374,7 +377,7 @@ def q_dedupe_replayed_events(spark, sf):
         good, _ = conform(spark, batch, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP),
                           conformed_path=conformed_path)
         append_table(good, conformed_path)
-    flat = FL.flatten_structs(read_table(spark, conformed_path))
+    flat = FL.flatten_structs(read_table(spark, conformed_path, schema=CONFORMED_EVENTS))
     return flat.select("event_id", "user_id", "event_type", "value", "props",
                        "MetaData_BronzeCreatedAt", "MetaData_SourceSequenceNumber")
 
@@ -478,7 +481,7 @@ def q_upsert_main(spark, sf):
     good, _ = conform(spark, _landed(spark, sf), I.EVENT_CONTRACT, I.EVENT_PAYLOAD,
                       F.lit(FIXED_STAMP))
     append_table(good, f"{work}/conformed")
-    conformed = read_table(spark, f"{work}/conformed")
+    conformed = read_table(spark, f"{work}/conformed", schema=CONFORMED_EVENTS)
     cut = F.pmod(F.xxhash64(F.col("event_id")), F.lit(4))
     for b in (2, 0, 3, 1):
         publish_entity(spark, conformed.where(cut == b), EVENT_SPEC, f"{work}/serving",
@@ -565,7 +568,7 @@ def q_layer_reconciliation(spark, sf):
     """E3 + E5: rows per landing day in the raw, conformed and serving layers."""
     run = run_event_streams(spark, sf)
     raw = read_raw(spark, run.raw)
-    conformed = read_table(spark, run.conformed)
+    conformed = read_table(spark, run.conformed, schema=CONFORMED_EVENTS)
     serving = read_main(spark, f"{run.serving}/{EVENT_SPEC.name}")
     return M.layer_reconciliation(raw, "BronzeCreatedAt", conformed, "MetaData.BronzeCreatedAt",
                                   serving, "MetaData_BronzeCreatedAt")
@@ -584,7 +587,7 @@ def q_conformed_rows_per_day_sql(spark, sf):
     """A14 + E3 in SQL: the conformed table registered as a view, rows per
     landing day of the nested text stamp."""
     run = run_event_streams(spark, sf)
-    register_view(read_table(spark, run.conformed), "ConformedEvents")
+    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "ConformedEvents")
     return spark.sql("""
         SELECT CAST(MetaData.BronzeCreatedAt AS DATE) AS BronzeCreatedDate, COUNT(*) AS RecordCount
         FROM ConformedEvents
@@ -608,7 +611,7 @@ def q_conformed_duplicates_on_day_sql(spark, sf):
     """A14 + E4 + C3 in SQL: records per business key on one landing day of
     the conformed table (keys above one were updated that day)."""
     run = run_event_streams(spark, sf)
-    register_view(read_table(spark, run.conformed), "ConformedEvents")
+    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "ConformedEvents")
     return spark.sql(f"""
         SELECT user_id, COUNT(*) AS RecordCount
         FROM ConformedEvents

@@ -42,8 +42,11 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | None = None, merge_schema: bool = True) -> DataFrame:
-    """Batch read of a table folder (partition columns discovered)."""
+               schema: StructType | None = None, merge_schema: bool = False) -> DataFrame:
+    """Batch read of a table folder (partition columns discovered).
+
+    Pass ``schema`` when it is known: no file footer is read to infer it.
+    ``merge_schema`` reads every footer (for folders whose files differ)."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)

@@ -14,12 +14,11 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType, TimestampType, LongType
+from pyspark.sql.types import StructType
 
-from strata.operators.contract import relax
-from strata.operators.envelope import META, land_events
+from strata.operators.envelope import land_events
 from strata.operators.monitor import observe_rows
-from strata.plans.conform import (SILVER_STAMP, SOURCE_PARTITION, SOURCE_SEQUENCE, conform)
+from strata.plans.conform import conform, conformed_schema  # noqa: F401 (re-exported)
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.sources.raw import raw_stream, write_raw
@@ -75,17 +74,6 @@ def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
     return _start(events, _skip_empty(fn, "raw"), checkpoint, trigger or {}, name)
 
 
-def conformed_schema(contract: StructType, payload: str) -> StructType:
-    """Schema of the conformed table built from the contract."""
-    rel = relax(contract)
-    env = [f for f in rel.fields if f.name != payload]
-    meta = StructType(env + [StructField(SILVER_STAMP, TimestampType()),
-                             StructField(SOURCE_PARTITION, LongType()),
-                             StructField(SOURCE_SEQUENCE, LongType())])
-    pay = rel[payload].dataType
-    return StructType([StructField(META, meta)] + list(pay.fields))
-
-
 def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contract: StructType,
                 payload: str, checkpoint: str | None, event_type: str | None = None,
                 trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
