@@ -18,6 +18,7 @@ in place); ``read_children`` hides them.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,19 +27,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.functions.ids import key_bucket
-from strata.operators.contract import load_contract, save_contract
+
 from strata.operators.flatten import POSITION_COL, UID_COL
-from strata.sources.tables import path_exists, read_table, table_exists
+from strata.sources.tables import (path_exists, read_small_text, read_table, table_exists,
+                                   write_small_text)
 
 BUCKET_COL = "_bucket"
 DELETED_COL = "MetaData_Deleted"
-SCHEMA_DIR = "_schema"   # hidden from the Parquet reader (leading underscore, no '=')
+SCHEMA_FILE = "_schema.json"   # hidden from the Parquet reader (leading underscore)
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
     """The table's schema as last committed (data columns + ``_bucket``)."""
-    loc = f"{path.rstrip('/')}/{SCHEMA_DIR}"
-    return load_contract(spark, loc) if path_exists(spark, loc) else None
+    text = read_small_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return StructType.fromJson(json.loads(text)) if text else None
 
 
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
@@ -66,7 +68,7 @@ def remember_schema(spark: SparkSession, path: str, written: StructType,
     merged = StructType([f for f in merged.fields if f.name != BUCKET_COL]
                         + [StructField(BUCKET_COL, IntegerType(), True)])
     if old is None or merged != old:
-        save_contract(spark, merged, f"{path.rstrip('/')}/{SCHEMA_DIR}")
+        write_small_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", merged.json())
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame | None:

@@ -18,6 +18,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """Read a small metadata file (a schema) on any Hadoop file system;
+    None when absent."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file: to a temporary name, then renamed over
+    the target, so a reader sees the old or the new file, never a torn one."""
+    p, fs = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{jvm.java.util.UUID.randomUUID().toString()}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: the folder exists and holds data or a commit marker."""
     if not path_exists(spark, path):
