@@ -21,6 +21,7 @@ from strata.operators.monitor import observe_rows
 from strata.plans.conform import conform, conformed_schema  # noqa: F401 (re-exported)
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
+from strata.session import work_dir
 from strata.sources.raw import raw_stream, write_raw
 from strata.sources.tables import append_table, table_stream
 
@@ -43,11 +44,15 @@ def trigger_options(processing_time: str | None = None, available_now: bool = Fa
 
 def _start(df: DataFrame, handler, checkpoint: str | None, trigger: dict,
            name: str | None) -> StreamingQuery:
+    """Start a foreachBatch query. Without a checkpoint (L10, a one-off run)
+    a fresh one is taken under the shared checkpoint folder, never a
+    machine-local temporary folder."""
     w = df.writeStream.foreachBatch(handler)
     if name:
         w = w.queryName(name)                       # L5
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)  # L2
+    if not checkpoint:
+        checkpoint = work_dir(df.sparkSession, f"checkpoint-{name or 'stream'}")
+    w = w.option("checkpointLocation", checkpoint)  # L2
     if trigger:
         w = w.trigger(**trigger)
     return w.start()                                # L6 (caller awaits)

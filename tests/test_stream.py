@@ -52,3 +52,19 @@ def test_failed_batch_is_replayed(spark, work, monkeypatch):
     main = read_main(spark, f"{work}/serving/{EVENT_SPEC.name}")
     assert sorted((r.user_id, r.event_id) for r in main.collect()) == expected_latest(spark)
     assert main.count() == main.select("user_id").distinct().count()
+
+
+def test_one_off_run_without_checkpoint(spark, work):
+    """A run without a checkpoint keeps its progress under the shared folder."""
+    from strata.sources.events import event_stream, file_events
+    from strata.sources.raw import read_raw
+    from strata.streaming.jobs import run_raw
+    msgs = I.event_messages(I.table(spark, SF, "events"))
+    msgs.write.parquet(f"{work}/hub")
+    src = event_stream(file_events(spark, f"{work}/hub", msgs.schema))
+    q = run_raw(src, f"{work}/raw", None, trigger_options(available_now=True), name=None)
+    q.awaitTermination(120)
+    assert read_raw(spark, f"{work}/raw").count() == msgs.count()
+    import glob
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    assert glob.glob(f"{root}/strata/checkpoint-stream-*/commits")
