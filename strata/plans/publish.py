@@ -4,9 +4,11 @@ null keys -> quarantine (C1) ; flatten (B9) ; latest per key in the batch (F1) ;
 guard against stored newer rows (Q3) ; children replaced per parent (B14, K2) ;
 main upserted (B10, B3, K1).
 
-The ranked + guarded batch is written once to the staging folder; every
-child table and the main table read that copy, so the batch is computed once
-and the guard's read of the main table can never see a half-written swap.
+When the entity has arrays, the ranked + guarded batch is written once to the
+staging folder and every child table and the main table read that copy, so the
+batch is computed once and the guard's read of the main table can never see a
+half-written swap. Without arrays the main table's own staged commit is the
+only reader and the only materialisation needed.
 """
 
 from __future__ import annotations
@@ -97,10 +99,15 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
         survivors = survivors.withColumn(DELETED_COL, F.coalesce(F.expr(spec.delete_when), F.lit(False)))
     else:
         survivors = survivors.withColumn(DELETED_COL, F.lit(False))
-    # one materialisation of the batch for all tables (cuts lineage)
-    survivors.write.mode("overwrite").parquet(f"{staging}/survivors")
-    staged = spark.read.parquet(f"{staging}/survivors")
-    arrays = array_columns(staged)
+    arrays = array_columns(survivors)
+    if arrays:
+        # one materialisation of the batch for every table of the entity (cuts lineage)
+        survivors.write.mode("overwrite").parquet(f"{staging}/survivors")
+        staged = spark.read.parquet(f"{staging}/survivors")
+    else:
+        # the main table alone reads the batch once; its own staged commit
+        # materialises it before the target is touched
+        staged = survivors
     uid_parts = tuple(c for c in spec.order if c in staged.columns)
 
     for a in arrays:
