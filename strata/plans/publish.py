@@ -24,9 +24,10 @@ from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, read_buckets,
                                      replace_children, touched_buckets, upsert_main)
 from strata.plans.spec import EntitySpec
-from strata.sources.tables import append_table
+from strata.sources.tables import append_table, remove_path
 
 STAGING = "_staging"
+QUERY_ID_PROPERTY = "sql.streaming.queryId"   # set by Spark while a micro-batch runs
 QUARANTINE = "_quarantine"
 
 
@@ -81,7 +82,14 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
                    stamp: Column | None = None, batch_id: int | None = None) -> dict:
     """Publish one batch of conformed rows (MetaData struct + payload fields)."""
     root = root.rstrip("/")
-    run = str(batch_id) if batch_id is not None else uuid.uuid4().hex
+    if batch_id is not None:
+        # the streaming query's id survives restarts from the same checkpoint and
+        # changes with a new one, so a staged copy is only ever reused by a
+        # replay of the very same batch
+        query = spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
+        run = f"{query}-{batch_id}"
+    else:
+        run = uuid.uuid4().hex
     staging = f"{root}/{STAGING}/{spec.name}/{run}"
     stamp = F.current_timestamp() if stamp is None else stamp
 
@@ -126,14 +134,14 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
     upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=batch_id is not None,
                 buckets=buckets)
 
-    n_rejects = 0
     if has_null_keys:
         q = rejects.select(F.to_json(F.struct(*[F.col(c) for c in rejects.columns
                                                 if c != "_reject_reason"])).alias("row"),
                            F.col("_reject_reason"), F.lit(run).alias("batch"))
         append_table(q, f"{root}/{QUARANTINE}/{spec.name}")
-        n_rejects = None
-    return {"staging": staging, "arrays": arrays, "rejects": n_rejects}
+    # every table is committed: the staged copies are no longer needed
+    remove_path(spark, staging)
+    return {"arrays": arrays, "null_keys": has_null_keys}
 
 
 def serving_tables(spec: EntitySpec, root: str, arrays: list[str]) -> dict[str, str]:

@@ -54,6 +54,13 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote (staging copies); absent is fine."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: the folder exists and holds data or a commit marker."""
     if not path_exists(spark, path):
