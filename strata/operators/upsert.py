@@ -162,6 +162,8 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
     ``keys_unique`` skips the ``distinct`` (and its shuffle) when the caller
     knows each key occurs once, as after ``latest_per_key``."""
     if reuse_staged and staged_complete(spark, staging):
+        remember_schema(spark, table.path, spark.read.parquet(staging).schema,
+                        stored_schema(spark, table.path))
         recommit_staged(spark, table, staging)
         return
     keys = batch_keys.select(table.key)
