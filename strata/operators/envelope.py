@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.functions.docs import (STAMP_KEY, decode_body, document_type,
-                                   format_stamp, stamp_document)
+from strata.functions.docs import (STAMP_KEY, decode_body, format_stamp, object_map,
+                                   object_type, stamp_object, unique_keys)
 
 EVENT_COLUMNS = ("decoded_body", "partition", "sequenceNumber")
 RAW_COLUMNS = ("partition", "sequenceNumber", STAMP_KEY, "event_type",
@@ -36,15 +36,22 @@ def land_events(df: DataFrame, stamp: Column | None = None) -> DataFrame:
     """
     stamp = F.current_timestamp() if stamp is None else stamp
     body = F.col("decoded_body")
-    stamped = stamp_document(body, format_stamp(F.col(STAMP_KEY)))
-    return (df.select(F.col("partition").cast("bigint").alias("partition"),
-                      F.col("sequenceNumber").cast("bigint").alias("sequenceNumber"),
-                      body, stamp.cast("timestamp").alias(STAMP_KEY))
-              .select("partition", "sequenceNumber", STAMP_KEY,
-                      document_type(body).alias("event_type"),
-                      F.to_date(F.col(STAMP_KEY)).alias("ingest_date"),
-                      F.coalesce(stamped, body).alias("document"),
-                      stamped.isNotNull().alias("stamped")))
+    # each body is parsed once; type and stamped text both come from that map
+    # (Catalyst keeps a non-cheap column used twice in its own projection)
+    parsed = (df.select(F.col("partition").cast("bigint").alias("partition"),
+                        F.col("sequenceNumber").cast("bigint").alias("sequenceNumber"),
+                        body, stamp.cast("timestamp").alias(STAMP_KEY),
+                        object_map(body).alias("__raw"))
+                .select("partition", "sequenceNumber", "decoded_body", STAMP_KEY,
+                        unique_keys(F.col("__raw")).alias("__obj")))
+    stamped = parsed.select("partition", "sequenceNumber", "decoded_body", STAMP_KEY,
+                            object_type(F.col("__obj")).alias("event_type"),
+                            stamp_object(F.col("__obj"), format_stamp(F.col(STAMP_KEY)))
+                            .alias("__stamped"))
+    return stamped.select("partition", "sequenceNumber", STAMP_KEY, "event_type",
+                          F.to_date(F.col(STAMP_KEY)).alias("ingest_date"),
+                          F.coalesce(F.col("__stamped"), body).alias("document"),
+                          F.col("__stamped").isNotNull().alias("stamped"))
 
 
 def payload_fields(df: DataFrame, payload: str) -> list[str]:

@@ -66,3 +66,15 @@ def test_broken_bodies(spark):
     assert out[5].event_type == "bond"
     assert doc5["BronzeCreatedAt"] == "2025-03-11T14:52:53" and doc5["n"] == {"q": [1, 2]}
     assert list(doc5) == ["Type", "n", "BronzeCreatedAt"]
+
+
+def test_repeated_keys_do_not_fail_the_batch(spark):
+    bodies = ['{"a":1,"Type":"Bond","a":2}', '{"Type":"X","Type":"Equity"}', '{"Type":"Bond"}']
+    df = spark.createDataFrame([(b, 0, i) for i, b in enumerate(bodies)],
+                               "decoded_body string, partition int, sequenceNumber int")
+    out = {r.sequenceNumber: r for r in land_events(df, F.lit(STAMP)).collect()}
+    # first position, last value -- as a JSON loader reads repeated keys
+    assert list(json.loads(out[0].document).items()) == [("a", 2), ("Type", "Bond"),
+                                                          ("BronzeCreatedAt", "2025-03-11T14:52:53")]
+    assert out[0].event_type == "bond" and out[1].event_type == "equity"
+    assert out[2].event_type == "bond" and all(r.stamped for r in out.values())
