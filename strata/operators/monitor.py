@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from strata.functions.docs import parse_stamp
 from strata.functions.paths import folder_of
 
 
@@ -15,6 +16,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def day_of(df: DataFrame, stamp) -> Column:
+    """Calendar day of a stamp column. Text stamps are parsed leniently
+    (unpadded dates count, garbage is NULL) instead of a cast that fails the
+    query on one bad value under ANSI mode."""
+    dtype = df.select(_c(stamp).alias("s")).schema["s"].dataType
+    if isinstance(dtype, DateType):
+        return _c(stamp)
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return F.to_date(_c(stamp))
+    return F.to_date(parse_stamp(_c(stamp)))
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per file (path, length, modificationTime); the content
     column is never selected, so no file is read."""
@@ -37,7 +50,7 @@ def total_files(files: DataFrame) -> DataFrame:
 def rows_per_day(df: DataFrame, stamp, day_alias: str = "BronzeCreatedDate",
                  count_alias: str = "RecordCount") -> DataFrame:
     """E3/E5 + G1: rows per calendar day of a stamp (string or timestamp)."""
-    return (df.groupBy(F.to_date(_c(stamp)).alias(day_alias))
+    return (df.groupBy(day_of(df, stamp).alias(day_alias))
               .agg(F.count("*").alias(count_alias)).orderBy(day_alias))
 
 
@@ -53,7 +66,7 @@ def on_day(df: DataFrame, stamp: str, day) -> DataFrame:
         return df.where((_c(stamp) >= F.lit(lo).cast(dtype)) & (_c(stamp) < F.lit(hi).cast(dtype)))
     if isinstance(dtype, DateType):
         return df.where(_c(stamp) == F.lit(day))
-    return df.where(F.to_date(_c(stamp)) == F.lit(day))
+    return df.where(day_of(df, stamp) == F.lit(day))
 
 
 def duplicates_on_day(df: DataFrame, key: str, stamp: str, day,
@@ -67,7 +80,7 @@ def layer_reconciliation(raw: DataFrame, raw_stamp, conformed: DataFrame, confor
     """E3 + E5 side by side: rows per day in each layer (days missing in a
     layer count 0). Each side is reduced to one row per day before the join."""
     def per_day(df, stamp, name):
-        return df.groupBy(F.to_date(_c(stamp)).alias(day_alias)).agg(F.count("*").alias(name))
+        return df.groupBy(day_of(df, stamp).alias(day_alias)).agg(F.count("*").alias(name))
     r = per_day(raw, raw_stamp, "raw_rows")
     c = per_day(conformed, conformed_stamp, "conformed_rows")
     s = per_day(serving, serving_stamp, "serving_rows")

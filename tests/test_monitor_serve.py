@@ -73,3 +73,11 @@ def test_serving_model_relates_every_child(spark, work):
     assert q == [("A", "EUR"), ("B", None)]
     ids = spark.sql("SELECT Instrument_GainID, GainID, ID_Value FROM Instrument_InstrumentIdentifiers").collect()
     assert [tuple(r) for r in ids] == [("A", "X", "1")]
+
+
+def test_bad_text_stamps_do_not_fail_monitors(spark):
+    df = spark.createDataFrame([("k", "2025-03-04T10:00:00"), ("k", "garbage"), ("j", None)],
+                               "GainID string, BronzeCreatedAt string")
+    got = {r.BronzeCreatedDate: r.RecordCount for r in M.rows_per_day(df, "BronzeCreatedAt").collect()}
+    assert got == {dt.date(2025, 3, 4): 1, None: 2}
+    assert M.duplicates_on_day(df, "GainID", "BronzeCreatedAt", "2025-03-04").count() == 1
