@@ -57,6 +57,17 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "o_orderkey", "l_orderkey", LINE_FIELDS, "lineitems")
 
 
+ORDER_FIELDS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer + ``orders`` array<struct<order fields, lineitems array<struct>>>:
+    two levels of arrays (orders sorted by key, lines as in ``nested_orders``)."""
+    orders = nested_orders(spark, sf_dir)
+    return nest_children(table(spark, sf_dir, "customer"), orders, "c_custkey", "o_custkey",
+                         ORDER_FIELDS + ("lineitems",), "orders")
+
+
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders + ``customer`` struct, itself holding ``nation`` holding ``region``."""
     region = table(spark, sf_dir, "region")
