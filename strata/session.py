@@ -14,6 +14,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partitions are sized by bytes, not by a fixed count: scans split at
+    # 128 MB, shuffles start wide (``shuffle_partitions``) and AQE merges them
+    # towards 128 MB and splits skewed ones (also in rebalanced writes)
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
