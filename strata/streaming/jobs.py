@@ -110,7 +110,13 @@ def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, se
     src = table_stream(spark, conformed_path, schema, max_files_per_trigger=max_files_per_trigger)
 
     def fn(batch, batch_id):
-        publish_entity(spark, batch, spec, serving_root, stamp=stamp, batch_id=batch_id)
+        # several passes read the batch (buckets, ranking, quarantine): keep it
+        # (memory, spilling to disk) rather than re-reading the source files
+        batch = batch.persist()
+        try:
+            publish_entity(spark, batch, spec, serving_root, stamp=stamp, batch_id=batch_id)
+        finally:
+            batch.unpersist()
     return _start(src, _skip_empty(fn, "serving"), checkpoint, trigger or {}, name)
 
 
