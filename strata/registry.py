@@ -137,7 +137,9 @@ def q_decode_and_stamp(spark, sf):
         "partition", "sequenceNumber", "event_type", "ingest_date", "stamped",
         json_key("document", "$.Type").alias("doc_type"),
         json_key("document", "$.BronzeCreatedAt").alias("doc_stamp"),
-        F.size(F.map_keys(F.from_json("document", "map<string,string>"))).alias("doc_keys"),
+        # explicit NULL for a non-object: size(NULL) is -1 when ANSI mode is off
+        F.when(F.col("stamped"), F.size(F.map_keys(F.from_json("document", "map<string,string>"))))
+         .alias("doc_keys"),
         raw_document_path("/raw", "event_type", "BronzeCreatedAt", "partition",
                           "sequenceNumber").alias("raw_path"))
 
