@@ -81,3 +81,15 @@ def test_bad_text_stamps_do_not_fail_monitors(spark):
     got = {r.BronzeCreatedDate: r.RecordCount for r in M.rows_per_day(df, "BronzeCreatedAt").collect()}
     assert got == {dt.date(2025, 3, 4): 1, None: 2}
     assert M.duplicates_on_day(df, "GainID", "BronzeCreatedAt", "2025-03-04").count() == 1
+
+
+def test_import_detail_defaults_to_today(spark):
+    from pyspark.sql import functions as F
+    main = spark.range(3).select(F.col("id").cast("string").alias("GainID"),
+                                 F.lit("s").alias("ShortName"),
+                                 F.when(F.col("id") < 2, F.current_timestamp())
+                                  .otherwise(F.current_timestamp() - F.expr("INTERVAL 2 DAYS"))
+                                  .alias("MetaData_GoldCreatedAt"))
+    assert sorted(r.GainID for r in S.import_detail(main).collect()) == ["0", "1"]
+    plan = S.import_detail(main)._jdf.queryExecution().optimizedPlan().toString()
+    assert "current_date" not in plan       # folded to a literal before execution
