@@ -23,10 +23,14 @@ SILVER_STAMP = "SilverCreatedAt"
 
 def first_landing(raw: DataFrame) -> DataFrame:
     """Q7 within a batch: one row per event identity, the earliest landing.
-    ``row_number() = 1`` keeps the partial limit before the shuffle."""
+    ``row_number() = 1`` keeps the partial limit before the shuffle; rows
+    without an identity are all kept."""
     w = Window.partitionBy(*IDENTITY).orderBy(F.col("BronzeCreatedAt").asc_nulls_last(),
                                              F.col("document").asc_nulls_last())
-    return raw.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    no_identity = F.col(IDENTITY[0]).isNull() | F.col(IDENTITY[1]).isNull()
+    # rows without an identity are never copies of each other: all of them stay
+    return (raw.withColumn("__r", F.row_number().over(w))
+               .where((F.col("__r") == 1) | no_identity).drop("__r"))
 
 
 def drop_seen(spark: SparkSession, raw: DataFrame, conformed_path: str | None) -> DataFrame:

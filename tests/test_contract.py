@@ -68,3 +68,17 @@ def test_contract_files_and_inference(spark, work):
                           "value string").coalesce(1).write.text(folder)
     inferred = infer_contract(spark, folder, multi_line=False)
     assert inferred.fieldNames() == ["a", "b", "d"]
+
+
+def test_first_landing_keeps_rows_without_identity(spark):
+    import datetime as dt
+
+    from strata.plans.conform import first_landing
+    t1, t2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2)
+    raw = spark.createDataFrame(
+        [(0, 1, t2, "d"), (0, 1, t1, "d"), (None, None, t1, "x"), (None, None, t1, "y"), (0, None, t1, "z")],
+        "partition bigint, sequenceNumber bigint, BronzeCreatedAt timestamp, document string")
+    out = [(r.partition, r.sequenceNumber, r.BronzeCreatedAt, r.document)
+           for r in first_landing(raw).collect()]
+    assert len(out) == 4 and (0, 1, t1, "d") in out and (0, 1, t2, "d") not in out
+    assert {d for *_, d in out} == {"d", "x", "y", "z"}
