@@ -23,7 +23,9 @@ def _c(c) -> Column:
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence,
                    ties: Sequence = ()) -> DataFrame:
     """Keep, per key, the row with the greatest ``order`` tuple (NULLs lose),
-    then the greatest ``ties`` tuple. Deterministic when ``ties`` break every tie."""
+    then the greatest ``ties`` tuple. Deterministic when ``ties`` break every tie.
+    Rows with a NULL key form one group like any key: route them away first
+    with ``split_null_keys`` (``publish_entity`` does)."""
     keys = [key] if isinstance(key, str) else list(key)
     sort = [_c(o).desc_nulls_last() for o in list(order) + list(ties)]
     w = Window.partitionBy(*keys).orderBy(*sort)

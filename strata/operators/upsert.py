@@ -153,7 +153,9 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
                    table: BucketedTable, staging: str, reuse_staged: bool = False,
                    buckets: list[int] | None = None, keys_unique: bool = False) -> None:
     """Shared core of K1 and K2: in the touched buckets, drop every row whose
-    key is in ``batch_keys`` and add ``batch``.
+    key is in ``batch_keys`` and add ``batch``. Keys must be non-NULL (a NULL
+    never matches, so its rows would pile up); ``publish_entity`` quarantines
+    NULL keys before it gets here.
 
     ``batch_keys`` is the key set of the batch (one column named ``table.key``);
     for children it comes from the parents, not from the exploded rows, so an
