@@ -81,6 +81,9 @@ def guard_newer(spark: SparkSession, ranked: DataFrame, spec: EntitySpec, root:
 def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root: str,
                    stamp: Column | None = None, batch_id: int | None = None) -> dict:
     """Publish one batch of conformed rows (MetaData struct + payload fields)."""
+    if spec.key not in batch.columns:
+        raise ValueError(f"business key {spec.key!r} is not a top-level column of the batch "
+                         f"(columns: {batch.columns})")
     root = root.rstrip("/")
     if batch_id is not None:
         # the streaming query's id survives restarts from the same checkpoint and
