@@ -82,3 +82,18 @@ def test_first_landing_keeps_rows_without_identity(spark):
            for r in first_landing(raw).collect()]
     assert len(out) == 4 and (0, 1, t1, "d") in out and (0, 1, t2, "d") not in out
     assert {d for *_, d in out} == {"d", "x", "y", "z"}
+
+
+def test_conformed_schema_matches_what_conform_writes(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from strata import inputs as I
+    from strata.operators.contract import relax
+    from strata.operators.envelope import event_columns, land_events
+    from strata.plans.conform import conform, conformed_schema
+    msgs = I.event_messages(I.table(spark, "/root/testdata/sf0.001", "events"))
+    landed = land_events(event_columns(msgs), F.lit(dt.datetime(2025, 3, 11)))
+    good, _ = conform(spark, landed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
+    assert relax(good.schema) == relax(conformed_schema(I.EVENT_CONTRACT, I.EVENT_PAYLOAD))
