@@ -93,3 +93,9 @@ def test_import_detail_defaults_to_today(spark):
     assert sorted(r.GainID for r in S.import_detail(main).collect()) == ["0", "1"]
     plan = S.import_detail(main)._jdf.queryExecution().optimizedPlan().toString()
     assert "current_date" not in plan       # folded to a literal before execution
+
+
+def test_observed_row_count_comes_with_the_write(spark):
+    df, obs = M.observe_rows(spark.range(1234), "probe")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 1234
