@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.registry import ORACLES, QUERIES
 from tools.check_oracles import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -26,14 +27,15 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle_or_a_reason():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"files_per_folder"}
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLES) == {"files_per_folder"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    sql = E.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert len(rows) > 0
         return
