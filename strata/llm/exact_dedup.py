@@ -34,6 +34,8 @@ from strata.llm.common import ids_and_bytes, materialise
 FAN_IN = 16
 DIGESTED = "doc_id long, digest binary, n_bytes long, crc long, run int"
 RUN = "run int, digest binary, n_bytes long, crc long, best_id long, n long"
+RUN_SCHEMA = pa.schema([("run", pa.int32()), ("digest", pa.binary()), ("n_bytes", pa.int64()),
+                        ("crc", pa.int64()), ("best_id", pa.int64()), ("n", pa.int64())])
 
 
 def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +67,7 @@ class _Merge:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t = pa.Table.from_batches([batch])
+            t = pa.Table.from_batches([batch]).cast(RUN_SCHEMA)
             if held is not None:
                 t = pa.concat_tables([held, t])
             t = self.collapse(t.combine_chunks())
@@ -87,10 +89,9 @@ class _Merge:
         best = self.pick.reduceat(ids, at)
         n = np.add.reduceat(t["n"].to_numpy(), at)
         kept = t.take(pa.array(at))
-        return pa.table({"run": kept["run"], "digest": kept["digest"], "n_bytes": kept["n_bytes"],
-                         "crc": kept["crc"],
-                         "best_id": pa.array(best, mask=best == self.null),
-                         "n": pa.array(n, pa.int64())})
+        return pa.table([kept["run"], kept["digest"], kept["n_bytes"], kept["crc"],
+                         pa.array(best, mask=best == self.null), pa.array(n, pa.int64())],
+                        schema=RUN_SCHEMA)
 
 
 def merge_runs(runs: DataFrame, partitions: int | None, largest: bool) -> DataFrame:
@@ -136,6 +137,8 @@ def exact_dedup(docs: DataFrame, keep: str = "largest", fan_in: int = FAN_IN) ->
 
 
 def keep_one(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` without the rows that a verdict table (doc_id, kept) drops."""
-    dropped = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")
+    """``docs`` (all columns) without the documents of which a verdict table
+    (doc_id, kept) keeps no row. An id that has a kept row stays."""
+    dropped = (verdicts.groupBy(F.col("doc_id").alias("__dropped")).agg(F.max("kept").alias("__kept"))
+               .filter(~F.col("__kept")))
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("__dropped")), "left_anti")
