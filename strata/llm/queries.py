@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, quality_fm
+from strata.llm import byte_bpe, decontaminate, exact_dedup, minhash, quality_fm
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,11 +61,16 @@ def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_fm": op8_quality_fm,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES = {
