@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, minhash, quality_fm
+from strata.llm import byte_bpe, decontaminate, exact_dedup, minhash, pii, quality_fm
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,6 +56,10 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
@@ -69,6 +73,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op7_pii": op7_pii,
     "op8_quality_fm": op8_quality_fm,
     "op10_near_dedup": op10_near_dedup,
 }
