@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, language_id, minhash, pii, quality_fm
+from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, minhash, pii, quality_fm
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,6 +70,10 @@ def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_pii": op7_pii,
     "op8_quality_fm": op8_quality_fm,
+    "op9_html_extract": op9_html_extract,
     "op10_near_dedup": op10_near_dedup,
 }
 
