@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, minhash, pii, quality_fm
+from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, minhash, pii, quality_fm
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +29,42 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def _words(text: str) -> str:
+    return rf"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _bigrams(words: str) -> str:
+    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
+
+
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''"))
+                           for name, texts in license_scan.TEMPLATES.items() for text in texts)
+OP4_SQL = rf"""
+WITH t AS (SELECT name, {_bigrams("w")} AS b FROM (SELECT name, {_words("text")} AS w FROM (VALUES {_TEMPLATE_ROWS}) v(name, text))),
+d AS (SELECT doc_id, coalesce(text, '') AS x, string_split(coalesce(text, ''), chr(10)) AS lines,
+             regexp_split_to_array(coalesce(text, ''), '
+[ 	]*
+') AS paragraphs FROM documents),
+units AS (SELECT doc_id, unnest(list_concat([x], CASE WHEN len(paragraphs) > 1 THEN paragraphs ELSE [] END,
+                                            CASE WHEN len(lines) > 1 THEN lines ELSE [] END)) AS u FROM d),
+numbered AS (SELECT doc_id, row_number() OVER () AS unit, {_words("u")} AS w FROM units),
+sized AS (SELECT doc_id, unit, {_bigrams("w")} AS b FROM numbered WHERE len(w) > 1),
+dice AS (SELECT doc_id, unit, name, 2.0::DOUBLE * len(list_intersect(s.b, t.b)) / (len(s.b) + len(t.b)) AS dice
+         FROM sized s JOIN t ON len(t.b) BETWEEN len(s.b) * 0.6 AND len(s.b) * 1.6),
+best AS (SELECT doc_id, unit, name, dice FROM dice WHERE dice >= {license_scan.THRESHOLD}
+         QUALIFY row_number() OVER (PARTITION BY unit ORDER BY dice DESC, name) = 1),
+found AS (SELECT doc_id, count(*) AS n_units, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
+                 (array_agg(name ORDER BY dice DESC, name))[1] AS best, max(dice) AS best_dice FROM best GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(licenses, '') AS licenses, coalesce(best, '') AS best,
+       coalesce(best_dice, 0.0::DOUBLE) AS best_dice
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"),
@@ -81,6 +117,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_language_id": op3_language_id,
+    "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op7_pii": op7_pii,
@@ -91,5 +128,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_license_scan": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
 }
