@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, minhash, pii, quality_fm
+from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, minhash, pii, quality_fm, suffix_dedup
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -24,6 +24,32 @@ FROM d
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+# Bytes are handled as hexadecimal digits, two a byte.
+OP2_SQL = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+starts AS (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS p FROM d),
+windows AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS w FROM starts),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS r FROM windows),
+gone AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM ranked WHERE r > 1),
+numbered AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 100 THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY doc_id ORDER BY p) AS span FROM gone),
+spans AS (SELECT doc_id, span, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, span),
+own AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS s, list(b ORDER BY a) AS e
+        FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, n_spans, n_removed, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k
+         FROM (SELECT doc_id, n_spans, n_removed, x, unnest(list_concat([0], e)) AS a,
+                      unnest(list_concat(s, [CAST(len(x) // 2 AS BIGINT)])) AS b FROM own JOIN d USING (doc_id))
+         GROUP BY doc_id, n_spans, n_removed)
+SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(docs))
@@ -47,7 +73,8 @@ OP4_SQL = rf"""
 WITH t AS (SELECT name, {_bigrams("w")} AS b FROM (SELECT name, {_words("text")} AS w FROM (VALUES {_TEMPLATE_ROWS}) v(name, text))),
 d AS (SELECT doc_id, coalesce(text, '') AS x, string_split(coalesce(text, ''), chr(10)) AS lines,
              regexp_split_to_array(coalesce(text, ''), '
-[ 	]*
+[ 	
+]*
 ') AS paragraphs FROM documents),
 units AS (SELECT doc_id, unnest(list_concat([x], CASE WHEN len(paragraphs) > 1 THEN paragraphs ELSE [] END,
                                             CASE WHEN len(lines) > 1 THEN lines ELSE [] END)) AS u FROM d),
@@ -116,6 +143,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language_id": op3_language_id,
     "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
@@ -128,6 +156,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_suffix_dedup": OP2_SQL,
     "op4_license_scan": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
 }
