@@ -46,7 +46,7 @@ from strata.llm.components import connected_components
 SYMBOLS, BITS = 6, 16
 MISSED = 1e-6
 SEED = 41
-BLOCK = 1_000_000
+BLOCK = 100_000
 BATCH_BYTES = 4_000_000
 REMEMBERED = 500_000
 SIGNED = "doc_id long, n_shingles long, digest binary, sig binary"
