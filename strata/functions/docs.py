@@ -106,11 +106,8 @@ def raw_document_path(root: str, doc_type, stamp, partition, seq) -> Column:
 
 
 def parse_stamp(text) -> Column:
-    """Parse a text stamp (ISO forms, unpadded dates) to a timestamp; bad -> NULL."""
+    """Parse a text stamp to a timestamp: ISO forms with any number of fraction
+    digits, offsets, minutes only, dates only, unpadded parts; bad -> NULL (a text
+    without a date is bad too)."""
     t = _c(text)
-    return F.coalesce(
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]")),
-        F.try_to_timestamp(t, F.lit("yyyy-M-d['T'H:m:s]")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd")),
-    )
+    return F.when(F.rlike(t, F.lit(r"^\s*\d{4}-")), t.try_cast("timestamp"))

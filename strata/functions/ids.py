@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "∅"  # stands for NULL inside a hashed id
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def row_uid(*parts) -> Column:
-    """sha2-256 over the parts (NULL kept distinct from the empty string).
+    """sha2-256 over the parts, each as ``length:value`` and NULL as ``-``, so that
+    no value can be taken for NULL or for two values.
 
     Replaces an id made of ``monotonically_increasing_id`` and the clock: the same
     input gives the same id on every replay.
     """
-    cols = [F.coalesce(_c(p).cast("string"), F.lit(NULL_MARK)) for p in parts]
-    return F.sha2(F.concat_ws("\u001f", *cols), 256)
+    texts = [_c(p).cast("string") for p in parts]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat_ws("\u001f", *marked), 256)
 
 
 def key_bucket(key, buckets: int) -> Column:

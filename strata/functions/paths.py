@@ -10,9 +10,10 @@ def folder_of(path, root: str | None = None) -> Column:
     """Folder of a file path; with ``root`` given, the root prefix is removed
     literally (not as a pattern)."""
     p = F.col(path) if isinstance(path, str) else path
-    folder = F.regexp_replace(p, "/[^/]+$", "")
+    name = F.length(F.substring_index(p, "/", -1))
+    folder = F.when(F.contains(p, F.lit("/")), F.substr(p, F.lit(1), F.length(p) - name - 1)).otherwise(p)
     if root:
         r = root.rstrip("/")
         folder = F.when(F.startswith(folder, F.lit(r)),
-                        F.substring(folder, len(r) + 1, 1 << 30)).otherwise(folder)
+                        F.substr(folder, F.lit(len(r) + 1))).otherwise(folder)
     return folder

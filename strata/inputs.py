@@ -1,10 +1,8 @@
 """Inputs for the registered queries, derived by Spark from the driver tables.
 
 The serving layer works on nested documents; the driver tables are flat, so
-nesting is built here: a parent row gets an array of its child rows
-(``collect_list`` of structs, partially aggregated per task before the
-shuffle, then ``array_sort`` so positions are deterministic) and struct
-columns from its dimension rows. Events become hub messages whose bodies are
+nesting is built here, row by row: arrays from a text's lines and words, struct
+columns from a row's dimension rows. Events become hub messages whose bodies are
 JSON documents of an ``Event`` entity keyed by ``user_id``.
 """
 
@@ -20,52 +18,26 @@ EVENT_PAYLOAD = "Event"
 PUBLICATION_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 HUB_PARTITIONS = 4
 
-LINE_FIELDS = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than the cluster's parallelism (one small
-    file, one row group) that many partitions, so per-row JSON work is not
-    left to one task. A large input already has more splits than cores and
-    is returned as it is: no shuffle is added at scale."""
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
 
+def line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as nested rows: ``lines`` array<struct<line, chars, words
+    array<string>>> of the text's lines and their words, made within each row
+    (bounded by the text, no shuffle); NULL texts have a NULL array."""
+    words = lambda line: F.filter(F.split(line, " "), lambda w: w != "")
+    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(
+        line.alias("line"), F.length(line).alias("chars"), words(line).alias("words")))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", lines.alias("lines"))
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table; ``spread`` for inputs whose per-row work (JSON) runs
-    before any shuffle (joins and aggregations get their parallelism from
-    their own exchange, so they do not need it)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(spark, df) if spread else df
 
-
-def nest_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
-                  fields, array_name: str) -> DataFrame:
-    """parent + ``array_name``: the sorted array of its children (NULL when none)."""
-    arrays = (child.groupBy(F.col(child_key).alias("__k"))
-                   .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(array_name)))
-    return parent.join(arrays, parent[parent_key] == arrays["__k"], "left").drop("__k")
-
-
-def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders + ``lineitems`` array<struct> (NULL for orders without lines)."""
-    return nest_children(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
-                         "o_orderkey", "l_orderkey", LINE_FIELDS, "lineitems")
-
-
-ORDER_FIELDS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-
-
-def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer + ``orders`` array<struct<order fields, lineitems array<struct>>>:
-    two levels of arrays (orders sorted by key, lines as in ``nested_orders``)."""
-    orders = nested_orders(spark, sf_dir)
-    return nest_children(table(spark, sf_dir, "customer"), orders, "c_custkey", "o_custkey",
-                         ORDER_FIELDS + ("lineitems",), "orders")
+def turn_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations with ``words`` array<string> of each turn, keyed by ``turn_id``."""
+    conv = table(spark, sf_dir, "conversations")
+    turn_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    return conv.select(turn_id.alias("turn_id"), "role", F.split("text", " ").alias("words"))
 
 
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,20 +58,13 @@ def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(c, orders["o_custkey"] == c["__ck"], "left").drop("__ck")
 
 
-def nested_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
-    ids = conv.select("conv_id").distinct()
-    return nest_children(ids, conv, "conv_id", "conv_id", ("turn", "role", "text"), "turns")
-
-
 def _initcap_word(c):
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 20))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def event_document(events: DataFrame) -> DataFrame:
     """One JSON document per event (envelope + ``Event`` payload), with the hub
     identity: partition = event_id mod 4, sequenceNumber = event_id."""
-    events = spread_small_scan(events.sparkSession, events)
     doc = F.to_json(F.struct(
         F.col("event_type").alias("ChangeType"),
         F.lit(EVENT_MODEL).alias("Model"),

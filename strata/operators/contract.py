@@ -9,12 +9,11 @@ reason instead of failing or silently turning into NULLs.
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, MapType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, IntegralType, MapType, NumericType,
+                               StringType, StructField, StructType, TimestampType)
 
 CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
@@ -169,24 +168,38 @@ def contract_report(spark: SparkSession, actual: StructType, contract: StructTyp
                                  "path string, issue string, expected string, actual string")
 
 
+def _json_kind(dtype) -> str:
+    """Pattern of the JSON kinds that may hold a value of the type (a cast alone
+    would cut a fraction off or read a number from a text)."""
+    if isinstance(dtype, IntegralType):
+        return "^BIGINT$"
+    if isinstance(dtype, NumericType):
+        return "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+    if isinstance(dtype, BooleanType):
+        return "^BOOLEAN$"
+    if isinstance(dtype, (StructType, MapType)):
+        return "^OBJECT"
+    if isinstance(dtype, ArrayType):
+        return "^ARRAY"
+    return "^STRING$" if isinstance(dtype, (DateType, TimestampType)) else "."
+
+
 def conformance_counts(df: DataFrame, contract: StructType, doc: str = "document") -> DataFrame:
     """J3 over data: per top-level contract field, how many documents lack it
     and how many carry a value that does not fit its type.
 
-    Each field is parsed on its own (a one-field schema), so a bad value in
-    one field never blanks the others. One distributed aggregation: partial
-    counts per task, then a single tiny merge."""
-    raw = F.from_json(F.col(doc), MapType(StringType(), StringType()))
-    cols = [raw.alias("__raw")]
-    for i, f in enumerate(contract.fields):
-        one = StructType([StructField(f.name, relax(f.dataType), True)])
-        cols.append(F.from_json(F.col(doc), one).getField(f.name).alias(f"__t{i}"))
-    base = df.select(*cols)
+    Each document is parsed once, to a map of variants; each field is then tried
+    against its type on its own, so a bad value in one field never blanks the
+    others. One distributed aggregation: partial counts per task, then a single
+    tiny merge."""
+    base = df.select(F.from_json(F.col(doc), "map<string,variant>").alias("__m"))
     aggs = []
     for i, f in enumerate(contract.fields):
-        present = F.col("__raw").getItem(f.name).isNotNull()
-        fits = F.col(f"__t{i}").isNotNull()
-        aggs.append(F.count_if(~present).alias(f"m{2 * i}"))
+        value = F.try_element_at(F.col("__m"), F.lit(f.name))
+        present = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
+        fits = (F.rlike(F.schema_of_variant(value), F.lit(_json_kind(f.dataType)))
+                & F.try_variant_get(value, "$", relax(f.dataType).simpleString()).isNotNull())
+        aggs.append(F.count_if(~F.coalesce(present, F.lit(False))).alias(f"m{2 * i}"))
         aggs.append(F.count_if(present & ~fits).alias(f"m{2 * i + 1}"))
     counts = base.agg(*aggs)
     rows = [F.struct(F.lit(f.name).alias("field"),
@@ -196,7 +209,3 @@ def conformance_counts(df: DataFrame, contract: StructType, doc: str = "document
                      F.col(f"m{2 * i + 1}").alias("mistyped_rows"))
             for i, f in enumerate(contract.fields)]
     return counts.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

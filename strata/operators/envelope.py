@@ -16,8 +16,6 @@ from strata.functions.docs import (STAMP_KEY, decode_body, format_stamp, object_
                                    object_type, stamp_object, unique_keys)
 
 EVENT_COLUMNS = ("decoded_body", "partition", "sequenceNumber")
-RAW_COLUMNS = ("partition", "sequenceNumber", STAMP_KEY, "event_type",
-               "ingest_date", "document", "stamped")
 META = "MetaData"
 
 

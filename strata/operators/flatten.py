@@ -6,8 +6,6 @@ Every function here is a schema walk on the driver that emits ONE projection
 
 from __future__ import annotations
 
-from collections import deque
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -44,14 +42,29 @@ def _check_unique(names: list[str], what: str) -> None:
 
 
 def expand_struct(df: DataFrame, struct_col: str, prefix: str = "") -> DataFrame:
-    """Replace one struct column by its fields (``prefix + field``), at the end."""
-    st = df.schema[struct_col].dataType
-    if not isinstance(st, StructType):
+    """One struct column replaced by its fields (``prefix + field``), at the end."""
+    if not isinstance(df.schema[struct_col].dataType, StructType):
         raise TypeError(f"{struct_col} is not a struct")
-    others = [c for c in df.columns if c != struct_col]
-    new = [_top(struct_col).getField(f.name).alias(prefix + f.name) for f in st.fields]
-    _check_unique(others + [prefix + f.name for f in st.fields], f"expanding {struct_col}")
-    return df.select(*[_top(c) for c in others], *new)
+    leaves = _leaves(df, lambda level, name: level == 0 and name == struct_col,
+                     lambda parent, field: prefix + field)
+    _check_unique([n for n, _ in leaves], f"expanding {struct_col}")
+    return df.select(*[c.alias(n) for n, c in leaves])
+
+
+def _leaves(df: DataFrame, opens, name_of) -> list[tuple[str, Column]]:
+    """(name, column) of the frame after opening structs, level by level: what is
+    not opened keeps its place, fields of opened structs follow."""
+    out: list[tuple[str, Column]] = []
+    level, depth = [(f.name, _top(f.name), f.dataType) for f in df.schema.fields], 0
+    while level:
+        below = []
+        for name, column, dtype in level:
+            if isinstance(dtype, StructType) and opens(depth, name):
+                below += [(name_of(name, f.name), column.getField(f.name), f.dataType) for f in dtype.fields]
+            else:
+                out.append((name, column))
+        level, depth = below, depth + 1
+    return out
 
 
 def flatten_structs(df: DataFrame, sep: str = SEP) -> DataFrame:
@@ -61,22 +74,9 @@ def flatten_structs(df: DataFrame, sep: str = SEP) -> DataFrame:
     way repeated ``expand_struct`` calls order them. Arrays, maps and other
     types are kept as they are. Raises on duplicate output names (``a_b``
     beside ``a.b``)."""
-    out: list[tuple[str, Column]] = []
-    queue: deque[tuple[str, Column, object]] = deque()
-    for f in df.schema.fields:
-        queue.append((f.name, _top(f.name), f.dataType))
-    while queue:
-        level = list(queue)
-        queue.clear()
-        for name, colexpr, dtype in level:
-            if isinstance(dtype, StructType):
-                for sub in dtype.fields:
-                    queue.append((f"{name}{sep}{sub.name}", colexpr.getField(sub.name), sub.dataType))
-            else:
-                out.append((name, colexpr))
-        # leaves of this level come before the fields of deeper structs
-    _check_unique([n for n, _ in out], "flatten_structs")
-    return df.select(*[c.alias(n) for n, c in out])
+    leaves = _leaves(df, lambda level, name: True, lambda parent, field: f"{parent}{sep}{field}")
+    _check_unique([n for n, _ in leaves], "flatten_structs")
+    return df.select(*[c.alias(n) for n, c in leaves])
 
 
 def drop_arrays(df: DataFrame) -> DataFrame:
@@ -123,6 +123,14 @@ def explode_child(df: DataFrame, key: str, array_col: str, table: str,
     return exploded.select(*cols)
 
 
+def tombstones(df: DataFrame, key: str, array_col: str, table: str, uid_parts: tuple = ()) -> DataFrame:
+    """One row per parent without a position, as ``explode_child`` gives for an
+    empty array: for a frame that lacks the array."""
+    none = F.lit(None).cast("int")
+    uid = row_uid(_top(key), F.lit(array_col), none, *[_top(c) for c in uid_parts])
+    return df.select(_top(key).alias(f"{table}{SEP}{key}"), none.alias(POSITION_COL), uid.alias(UID_COL))
+
+
 def child_frames(df: DataFrame, key: str, table: str, tombstones: bool = False,
                  uid_parts: tuple = ()) -> dict[str, DataFrame]:
     """``{array name: child frame}`` for every top-level array column."""

@@ -47,8 +47,8 @@ def total_files(files: DataFrame) -> DataFrame:
     return files.agg(F.count("*").alias("total_files"))
 
 
-def rows_per_day(df: DataFrame, stamp, day_alias: str = "BronzeCreatedDate",
-                 count_alias: str = "RecordCount") -> DataFrame:
+def rows_per_day(df: DataFrame, stamp, day_alias: str = "day",
+                 count_alias: str = "row_count") -> DataFrame:
     """E3/E5 + G1: rows per calendar day of a stamp (string or timestamp)."""
     return (df.groupBy(day_of(df, stamp).alias(day_alias))
               .agg(F.count("*").alias(count_alias)).orderBy(day_alias))
@@ -70,7 +70,7 @@ def on_day(df: DataFrame, stamp: str, day) -> DataFrame:
 
 
 def duplicates_on_day(df: DataFrame, key: str, stamp: str, day,
-                      count_alias: str = "RecordCount") -> DataFrame:
+                      count_alias: str = "row_count") -> DataFrame:
     """Rows per business key on one day (keys above 1 are duplicates)."""
     return on_day(df, stamp, day).groupBy(key).agg(F.count("*").alias(count_alias))
 
@@ -78,16 +78,17 @@ def duplicates_on_day(df: DataFrame, key: str, stamp: str, day,
 def layer_reconciliation(raw: DataFrame, raw_stamp, conformed: DataFrame, conformed_stamp,
                          serving: DataFrame, serving_stamp, day_alias: str = "day") -> DataFrame:
     """E3 + E5 side by side: rows per day in each layer (days missing in a
-    layer count 0). Each side is reduced to one row per day before the join."""
+    layer count 0; rows without a stamp are one row of the NULL day). The layers'
+    per-day counts are summed by day: no join."""
+    names = ("raw_rows", "conformed_rows", "serving_rows")
+
     def per_day(df, stamp, name):
-        return df.groupBy(day_of(df, stamp).alias(day_alias)).agg(F.count("*").alias(name))
-    r = per_day(raw, raw_stamp, "raw_rows")
-    c = per_day(conformed, conformed_stamp, "conformed_rows")
-    s = per_day(serving, serving_stamp, "serving_rows")
-    out = r.join(c, day_alias, "full_outer").join(s, day_alias, "full_outer")
-    return out.select(day_alias, *[F.coalesce(F.col(n), F.lit(0)).alias(n)
-                                   for n in ("raw_rows", "conformed_rows", "serving_rows")]
-                      ).orderBy(day_alias)
+        counts = [(F.count("*") if n == name else F.lit(0).cast("long")).alias(n) for n in names]
+        return df.groupBy(day_of(df, stamp).alias(day_alias)).agg(*counts)
+
+    every = (per_day(raw, raw_stamp, names[0]).union(per_day(conformed, conformed_stamp, names[1]))
+             .union(per_day(serving, serving_stamp, names[2])))
+    return every.groupBy(day_alias).agg(*[F.sum(n).alias(n) for n in names]).orderBy(day_alias)
 
 
 def distinct_files(df: DataFrame, file_col: str = "source_file") -> DataFrame:

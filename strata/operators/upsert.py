@@ -19,6 +19,7 @@ in place); ``read_children`` hides them.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,7 @@ from strata.sources.tables import (path_exists, read_small_text, read_table, tab
 BUCKET_COL = "_bucket"
 DELETED_COL = "MetaData_Deleted"
 SCHEMA_FILE = "_schema.json"   # hidden from the Parquet reader (leading underscore)
+LAYOUT_FILE = "_layout.json"
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
@@ -43,6 +45,26 @@ def stored_schema(spark: SparkSession, path: str) -> StructType | None:
     return StructType.fromJson(json.loads(text)) if text else None
 
 
+def stored_layout(spark: SparkSession, path: str) -> dict:
+    """What was fixed when the table was made: key, buckets, and child arrays so far."""
+    text = read_small_text(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    return json.loads(text) if text else {}
+
+
+def check_layout(spark: SparkSession, table: BucketedTable, arrays: list[str] = ()) -> list[str]:
+    """Refuse a table whose stored key or bucket count is another one (rows of a
+    key would lie in two buckets); remember both, and the arrays that ever had a
+    child table, which are returned."""
+    old = stored_layout(spark, table.path)
+    for name, now in (("key", table.key), ("buckets", table.buckets)):
+        if old.get(name, now) != now:
+            raise ValueError(f"{table.path}: made with {name} {old[name]!r}, not {now!r}")
+    new = {"key": table.key, "buckets": table.buckets, "arrays": sorted({*old.get("arrays", []), *arrays})}
+    if new != old:
+        write_small_text(spark, f"{table.path.rstrip('/')}/{LAYOUT_FILE}", json.dumps(new))
+    return new["arrays"]
+
+
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
     """Top-level union by name: existing columns keep their place and type,
     new columns are appended; a changed type is refused (no type evolution)."""
@@ -197,6 +219,28 @@ def upsert_main(spark: SparkSession, main_rows: DataFrame, table: BucketedTable,
                    buckets, keys_unique=True)
 
 
+def merge_newest(spark: SparkSession, rows: DataFrame, table: BucketedTable, staging: str,
+                 newest: Callable[[DataFrame, list[Column]], DataFrame], reuse_staged: bool,
+                 buckets: list[int]) -> None:
+    """K1 with the guard: the newest of the stored rows of the touched buckets and
+    the batch's rows, by one ranking. ``newest(rows, last)`` keeps a row a key."""
+    if reuse_staged and staged_complete(spark, staging):
+        recommit_staged(spark, table, staging)
+        return
+    if not buckets:
+        return
+    current = read_buckets(spark, table, buckets)
+    batch = rows.withColumn(BUCKET_COL, table.bucket_of())
+    if current is None:
+        content = newest(batch, [])
+        remember_schema(spark, table.path, content.schema, None)
+        _write_partitioned(content, table, table.path, mode_dynamic=True)
+        return
+    both = (current.withColumn("__new", F.lit(0))
+            .unionByName(batch.withColumn("__new", F.lit(1)), allowMissingColumns=True))
+    commit_buckets(spark, newest(both, [F.col("__new")]).drop("__new"), table, staging)
+
+
 def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: DataFrame,
                      table: BucketedTable, staging: str, reuse_staged: bool = False,
                      buckets: list[int] | None = None, parents_unique: bool = False) -> None:
@@ -225,4 +269,4 @@ def read_children(spark: SparkSession, path: str) -> DataFrame | None:
 
 __all__ = ["BucketedTable", "BUCKET_COL", "DELETED_COL", "UID_COL", "upsert_main",
            "replace_children", "read_main", "read_children", "touched_buckets",
-           "commit_buckets", "replace_by_key"]
+           "commit_buckets", "replace_by_key", "merge_newest", "check_layout"]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from strata import inputs as I
 from strata.functions.docs import json_key, parse_stamp
@@ -21,11 +22,13 @@ from strata.sources.events import event_stream, file_events
 from strata.streaming.jobs import (conformed_schema, run_conform, run_raw, run_serving,
                                    trigger_options)
 
-EVENT_SPEC = EntitySpec(name="Events", key="user_id", payload=I.EVENT_PAYLOAD, buckets=8)
+# buckets of the registered queries' small serving tables; a real entity sizes them by its bytes
+BUCKETS = 8
+EVENT_SPEC = EntitySpec(name="Events", key="user_id", payload=I.EVENT_PAYLOAD, buckets=BUCKETS)
 HUB_FILES = 8
 # files per micro-batch: several batches per layer, without one batch per tiny file
 CONFORM_FILES = 400
-SERVING_FILES = 8
+SERVING_FILES = 40
 
 
 @dataclass(frozen=True)
@@ -37,7 +40,18 @@ class PipelineRun:
     serving: str
 
 
-_RUNS: dict[tuple, PipelineRun] = {}
+LAYERS = ("raw", "conformed", "serving")
+
+
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until an ``availableNow`` query has worked off its input (L6). With a
+    limit, a query that isn't done by then is stopped and the run fails: the next
+    layer never starts on part of its input."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"a layer was not finished after {timeout_s} s")
 
 
 def landing_stamp():
@@ -45,12 +59,11 @@ def landing_stamp():
     return parse_stamp(json_key(F.col("decoded_body"), "$.PublicationDate"))
 
 
-def run_event_streams(spark: SparkSession, sf_dir: str, reuse: bool = True,
-                      timeout_s: int = 600) -> PipelineRun:
-    """Hub files -> raw -> conformed -> serving with three ``availableNow`` streams."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if reuse and key in _RUNS:
-        return _RUNS[key]
+def run_event_streams(spark: SparkSession, sf_dir: str, upto: str = "serving",
+                      timeout_s: float | None = None) -> PipelineRun:
+    """Hub files -> raw -> conformed -> serving with ``availableNow`` streams, up
+    to the named layer. Every call is a run of its own."""
+    last = LAYERS.index(upto)
     root = work_dir(spark, "events-pipeline")
     run = PipelineRun(root, f"{root}/hub", f"{root}/raw", f"{root}/conformed", f"{root}/serving")
     msgs = I.event_messages(I.table(spark, sf_dir, "events"))
@@ -59,13 +72,16 @@ def run_event_streams(spark: SparkSession, sf_dir: str, reuse: bool = True,
     once = trigger_options(available_now=True)
     src = event_stream(file_events(spark, run.hub, msgs.schema, max_files_per_trigger=4))
     q = run_raw(src, run.raw, f"{root}/_chk/raw", once, stamp=landing_stamp(), name=None)
-    q.awaitTermination(timeout_s)
+    finish(q, timeout_s)
+    if last == 0:
+        return run
     q = run_conform(spark, run.raw, run.conformed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD,
                     f"{root}/_chk/conform", trigger=once, max_files_per_trigger=CONFORM_FILES, name=None)
-    q.awaitTermination(timeout_s)
+    finish(q, timeout_s)
+    if last == 1:
+        return run
     schema = conformed_schema(I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
     q = run_serving(spark, run.conformed, schema, run.serving, EVENT_SPEC, f"{root}/_chk/serving",
                     trigger=once, max_files_per_trigger=SERVING_FILES, name=None)
-    q.awaitTermination(timeout_s)
-    _RUNS[key] = run
+    finish(q, timeout_s)
     return run

@@ -2,100 +2,128 @@
 
 replayed copies dropped (Q7) ; documents parsed under the contract (J1) ;
 malformed / mistyped / incomplete documents to quarantine (A7, A16, Q5) ;
-``SilverCreatedAt`` stamped (B3) ; envelope split (B6).
+``SilverCreatedAt`` stamped (B3) ; envelope split (B6) ; landing day added, by
+which the conformed table is partitioned (A8).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import (DateType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
-from strata.operators.contract import CORRUPT, REASON, enforce, parse_documents, relax
+from strata.functions.docs import STAMP_KEY, parse_stamp
+from strata.operators.contract import CORRUPT, REASON, parse_documents, reject_reason, relax
 from strata.operators.envelope import META, split_envelope
-from strata.sources.tables import read_table, table_exists
+from strata.sources.tables import append_table, read_table, table_exists
 
 IDENTITY = ("partition", "sequenceNumber")
 SOURCE_PARTITION = "SourcePartition"
 SOURCE_SEQUENCE = "SourceSequenceNumber"
+SOURCE_FILE = "SourceFile"
 SILVER_STAMP = "SilverCreatedAt"
+INGEST_DAY = "ingest_date"
 
 
 def first_landing(raw: DataFrame) -> DataFrame:
     """Q7 within a batch: one row per event identity, the earliest landing.
-    ``row_number() = 1`` keeps the partial limit before the shuffle; rows
-    without an identity are all kept."""
+    ``row_number() = 1`` over rows that have an identity keeps the partial limit
+    before the shuffle; rows without one are never copies of each other, so they
+    stay outside the window, where they are and unsorted."""
     w = Window.partitionBy(*IDENTITY).orderBy(F.col("BronzeCreatedAt").asc_nulls_last(),
                                              F.col("document").asc_nulls_last())
-    no_identity = F.col(IDENTITY[0]).isNull() | F.col(IDENTITY[1]).isNull()
-    # rows without an identity are never copies of each other: all of them stay
-    return (raw.withColumn("__r", F.row_number().over(w))
-               .where((F.col("__r") == 1) | no_identity).drop("__r"))
+    known = F.col(IDENTITY[0]).isNotNull() & F.col(IDENTITY[1]).isNotNull()
+    first = raw.where(known).withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r")
+    return first.unionByName(raw.where(~known))
 
 
-def drop_seen(spark: SparkSession, raw: DataFrame, conformed_path: str | None) -> DataFrame:
-    """Q7 across batches: drop events already in the conformed table.
+def drop_seen(raw: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Q7 across batches: drop events whose identity is in ``seen`` (partition,
+    sequenceNumber).
 
-    Hub sequence numbers grow per hub partition, so the stored side is cut to
-    the batch's (partition, min..max sequence) ranges first: the filter reaches
-    the Parquet scan and row groups outside the ranges are skipped. The range
-    list has one entry per hub partition (a small, fixed number)."""
-    if not conformed_path or not table_exists(spark, conformed_path):
+    Hub sequence numbers grow, so the stored side is first cut to the batch's
+    range of them (one row, however many hub partitions there are): the filter
+    reaches the Parquet scan and row groups outside the range are skipped."""
+    if seen is None:
         return raw
-    ranges = raw.groupBy("partition").agg(F.min("sequenceNumber").alias("lo"),
-                                          F.max("sequenceNumber").alias("hi")).collect()
-    if not ranges:
+    r = raw.agg(F.min("sequenceNumber").alias("lo"), F.max("sequenceNumber").alias("hi")).first()
+    if r["lo"] is None:
         return raw
-    sp = F.col(f"MetaData.{SOURCE_PARTITION}")
-    sq = F.col(f"MetaData.{SOURCE_SEQUENCE}")
-    cond = None
-    for r in ranges:
-        c = (sp == F.lit(r["partition"])) & sq.between(r["lo"], r["hi"])
-        cond = c if cond is None else (cond | c)
+    seen = seen.where(F.col("sequenceNumber").between(r["lo"], r["hi"])).distinct()
+    return raw.join(seen, list(IDENTITY), "left_anti")
+
+
+def seen_conformed(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """Identities of a conformed table; only those two fields are read."""
+    if not path or not table_exists(spark, path):
+        return None
     identity = StructType([StructField(META, StructType([
         StructField(SOURCE_PARTITION, LongType()), StructField(SOURCE_SEQUENCE, LongType())]))])
-    seen = (read_table(spark, conformed_path, schema=identity)
-            .select(sp.alias("partition"), sq.alias("sequenceNumber")).where(cond).distinct())
-    return raw.join(seen, list(IDENTITY), "left_anti")
+    return (read_table(spark, path, schema=identity)
+            .select(F.col(f"{META}.{SOURCE_PARTITION}").alias("partition"),
+                    F.col(f"{META}.{SOURCE_SEQUENCE}").alias("sequenceNumber")))
+
+
+def tag(parsed: DataFrame, contract: StructType) -> DataFrame:
+    """``parsed`` with the reason why a row breaks the contract (NULL: it doesn't).
+    Both routes filter on it, so a caller that persists it parses once."""
+    if CORRUPT not in parsed.columns:
+        parsed = parsed.withColumn(CORRUPT, F.lit(None).cast("string"))
+    return parsed.withColumn(REASON, reject_reason(contract))
+
+
+def conform_tagged(raw: DataFrame, contract: StructType, seen: DataFrame | None = None,
+                   dedupe: bool = True) -> DataFrame:
+    """Raw rows -> first landings not seen before, parsed and tagged."""
+    if dedupe:
+        raw = drop_seen(first_landing(raw), seen)
+    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file") if c in raw.columns]
+    return tag(parse_documents(raw.select(*keep), contract, keep=keep), contract)
+
+
+def conformed_rows(tagged: DataFrame, payload: str, stamp: Column | None = None) -> DataFrame:
+    """The rows that conform: ``MetaData`` (document envelope, ``SilverCreatedAt``,
+    source partition, sequence number and file), payload fields, landing day."""
+    stamp = F.current_timestamp() if stamp is None else stamp
+    have = tagged.columns
+    good = tagged.where(F.col(REASON).isNull()).withColumn(SILVER_STAMP, stamp.cast("timestamp"))
+    for new, old, kind in ((SOURCE_PARTITION, "partition", "long"), (SOURCE_SEQUENCE, "sequenceNumber", "long"),
+                           (SOURCE_FILE, "source_file", "string")):
+        good = good.withColumn(new, (F.col(old) if old in have else F.lit(None)).cast(kind))
+    good = good.drop(REASON, CORRUPT, "partition", "sequenceNumber", "document", "source_file")
+    day = parse_stamp(F.col(f"{META}.{STAMP_KEY}")) if STAMP_KEY in have else F.lit(None)
+    return split_envelope(good, payload).withColumn(INGEST_DAY, day.cast("date"))
+
+
+def rejected_rows(tagged: DataFrame) -> DataFrame:
+    """The rows that don't: their identity, document and file, with the reason."""
+    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file") if c in tagged.columns]
+    return tagged.where(F.col(REASON).isNotNull()).select(*keep, F.col(REASON).alias("reason"))
 
 
 def conform(spark: SparkSession, raw: DataFrame, contract: StructType, payload: str,
             stamp: Column | None = None, conformed_path: str | None = None,
             dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(conformed rows, quarantined rows) of a batch of raw rows.
-
-    ``raw`` has the raw layer's columns (``partition``, ``sequenceNumber``,
-    ``document`` ...). Conformed rows are ``MetaData`` (document envelope,
-    ``SilverCreatedAt``, source partition and sequence number) + payload fields.
-    """
-    stamp = F.current_timestamp() if stamp is None else stamp
-    if dedupe:
-        raw = first_landing(raw)
-        raw = drop_seen(spark, raw, conformed_path)
-    parsed = parse_documents(raw.select("partition", "sequenceNumber", "document"), contract,
-                             keep=["partition", "sequenceNumber", "document"])
-    good, bad = enforce(parsed, contract)
-    good = (good.drop("document")
-                .withColumn(SILVER_STAMP, stamp.cast("timestamp"))
-                .withColumn(SOURCE_PARTITION, F.col("partition"))
-                .withColumn(SOURCE_SEQUENCE, F.col("sequenceNumber"))
-                .drop("partition", "sequenceNumber"))
-    conformed = split_envelope(good, payload)
-    rejects = bad.select("partition", "sequenceNumber", "document", F.col(REASON).alias("reason"))
-    return conformed, rejects
+    """(conformed rows, quarantined rows) of a batch of raw rows (``partition``,
+    ``sequenceNumber``, ``document`` ...)."""
+    tagged = conform_tagged(raw, contract, seen_conformed(spark, conformed_path), dedupe)
+    return conformed_rows(tagged, payload, stamp), rejected_rows(tagged)
 
 
 def conform_documents(parsed: DataFrame, contract: StructType, payload: str,
                       stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """K4 for documents read straight from a JSON folder (``json_documents``):
-    ``parsed`` has the contract fields, ``_corrupt_record`` and ``source_file``."""
-    stamp = F.current_timestamp() if stamp is None else stamp
-    if CORRUPT not in parsed.columns:
-        parsed = parsed.withColumn(CORRUPT, F.lit(None).cast("string"))
-    good, bad = enforce(parsed, contract)
-    lineage = [c for c in ("source_file",) if c in good.columns]
-    good = good.drop(*lineage).withColumn(SILVER_STAMP, stamp.cast("timestamp"))
-    return split_envelope(good, payload), bad
+    ``parsed`` has the contract fields, ``_corrupt_record`` and ``source_file``,
+    which goes to both the conformed rows' lineage and the rejects."""
+    tagged = tag(parsed, contract)
+    return conformed_rows(tagged, payload, stamp), tagged.where(F.col(REASON).isNotNull())
+
+
+def append_conformed(rows: DataFrame, path: str) -> None:
+    """Append, partitioned by landing day; rows are dealt by day first, so a
+    batch adds about one file a day and size step (a heavy day is split)."""
+    append_table(rows.hint("rebalance", INGEST_DAY), path, partition_by=[INGEST_DAY])
 
 
 def conformed_schema(contract: StructType, payload: str) -> StructType:
@@ -104,6 +132,7 @@ def conformed_schema(contract: StructType, payload: str) -> StructType:
     env = [f for f in rel.fields if f.name != payload]
     meta = StructType(env + [StructField(SILVER_STAMP, TimestampType()),
                              StructField(SOURCE_PARTITION, LongType()),
-                             StructField(SOURCE_SEQUENCE, LongType())])
+                             StructField(SOURCE_SEQUENCE, LongType()),
+                             StructField(SOURCE_FILE, StringType())])
     pay = rel[payload].dataType
-    return StructType([StructField(META, meta)] + list(pay.fields))
+    return StructType([StructField(META, meta)] + list(pay.fields) + [StructField(INGEST_DAY, DateType())])

@@ -1,14 +1,14 @@
 """K3: publish a conformed batch to the serving tables.
 
-null keys -> quarantine (C1) ; flatten (B9) ; latest per key in the batch (F1) ;
-guard against stored newer rows (Q3) ; children replaced per parent (B14, K2) ;
-main upserted (B10, B3, K1).
-
-When the entity has arrays, the ranked + guarded batch is written once to the
-staging folder and every child table and the main table read that copy, so the
-batch is computed once and the guard's read of the main table can never see a
-half-written swap. Without arrays the main table's own staged commit is the
-only reader and the only materialisation needed.
+null keys and unreadable order stamps -> quarantine (C1, L11) ; flatten (B9) ;
+latest per key in the batch (F1) ; guard against stored newer rows (Q3) ;
+children replaced per parent (B14, K2) ; main upserted (B10, B3, K1).
+
+Without arrays, stored and new rows are ranked together: one shuffle. When the
+entity has, or ever had, arrays, the ranked + guarded batch is written once to
+the staging folder and every child table and the main table read that copy, so
+the batch is computed once and the guard's read of the main table can never see
+a half-written swap.
 """
 
 from __future__ import annotations
@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.flatten import (array_columns, child_table_name, drop_arrays,
-                                      explode_child, flatten_structs)
+                                      explode_child, flatten_structs, tombstones)
 from strata.operators.latest import latest_per_key, split_null_keys
-from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, read_buckets,
-                                     replace_children, touched_buckets, upsert_main)
+from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, check_layout, merge_newest,
+                                     read_buckets, replace_children, touched_buckets, upsert_main)
 from strata.plans.spec import EntitySpec
-from strata.sources.tables import append_table, remove_path
+from strata.sources.tables import remove_path
 
 STAGING = "_staging"
 QUERY_ID_PROPERTY = "sql.streaming.queryId"   # set by Spark while a micro-batch runs
@@ -42,12 +42,26 @@ def child_table(spec: EntitySpec, root: str, array_col: str) -> BucketedTable:
                          files_per_bucket=spec.child_files_per_bucket, spread_col=UID_COL)
 
 
-def rank_batch(batch: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
-    """(newest flattened row per key, rows rejected for a NULL key)."""
+def _as_json(rows: DataFrame) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "_reject_reason"]))
+
+
+def newest(rows: DataFrame, spec: EntitySpec, last: list[Column] = ()) -> DataFrame:
+    """the newest row of each key; ``last`` breaks what ties are left."""
+    return latest_per_key(rows, spec.key, spec.order_columns(rows), spec.tie_columns(rows) + list(last))
+
+
+def split_batch(batch: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
+    """(flattened rows that can be ranked, rejects: rows without a key or with an
+    order stamp that can't be read)."""
     good, rejects = split_null_keys(batch, spec.key)
     flat = flatten_structs(good)
-    ranked = latest_per_key(flat, spec.key, spec.order_columns(flat), spec.tie_columns(flat))
-    return ranked, rejects
+    # a stamp that can't be read has no place in the order: it would lose in silence
+    unread = spec.unreadable(flat)
+    rejects = rejects.select(_as_json(rejects).alias("row"), "_reject_reason").unionByName(
+        flat.where(unread).select(_as_json(flat).alias("row"),
+                                  F.lit("unreadable order stamp").alias("_reject_reason")))
+    return flat.where(~unread), rejects
 
 
 def guard_newer(spark: SparkSession, ranked: DataFrame, spec: EntitySpec, root: str,
@@ -85,75 +99,73 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
         raise ValueError(f"business key {spec.key!r} is not a top-level column of the batch "
                          f"(columns: {batch.columns})")
     root = root.rstrip("/")
+    query = spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
     if batch_id is not None:
         # the streaming query's id survives restarts from the same checkpoint and
         # changes with a new one, so a staged copy is only ever reused by a
         # replay of the very same batch
-        query = spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
         run = f"{query}-{batch_id}"
     else:
         run = uuid.uuid4().hex
     staging = f"{root}/{STAGING}/{spec.name}/{run}"
     stamp = F.current_timestamp() if stamp is None else stamp
 
-    ranked, rejects = rank_batch(batch, spec)
-    # buckets of the batch keys: one pass over the key column, reused by every
-    # table of the entity (children share the key and, by default, the bucket count)
+    flat, rejects = split_batch(batch, spec)
+    if not spec.present_order_names(flat):
+        raise ValueError(f"{spec.name}: none of the order columns {spec.order + spec.ties} is in the batch")
     main_t = main_table(spec, root)
-    # one pass over the key column: the touched buckets, and -1 when any key is NULL
-    marks = (batch.select(F.when(F.col(spec.key).isNull(), F.lit(-1))
-                           .otherwise(main_t.bucket_of()).alias("b")).distinct().collect())
+    arrays = check_layout(spark, main_t, array_columns(flat))
+    # one pass over the key column: the touched buckets, and -1 when any row is rejected
+    marks = (flat.select(main_t.bucket_of().alias("b"))
+             .union(rejects.select(F.lit(-1).alias("b"))).distinct().collect())
     buckets = sorted(r["b"] for r in marks if r["b"] >= 0)
-    has_null_keys = any(r["b"] < 0 for r in marks)
-    survivors = guard_newer(spark, ranked, spec, root, buckets=buckets)
-    if spec.delete_when:
-        survivors = survivors.withColumn(DELETED_COL, F.coalesce(F.expr(spec.delete_when), F.lit(False)))
-    else:
-        survivors = survivors.withColumn(DELETED_COL, F.lit(False))
-    arrays = array_columns(survivors)
-    if arrays:
-        # one materialisation of the batch for every table of the entity (cuts lineage)
-        survivors.write.mode("overwrite").parquet(f"{staging}/survivors")
-        staged = spark.read.parquet(f"{staging}/survivors")
+    has_rejects = any(r["b"] < 0 for r in marks)
+    deleted = F.coalesce(F.expr(spec.delete_when), F.lit(False)) if spec.delete_when else F.lit(False)
+    reuse = batch_id is not None
+    if not arrays and spec.guard == "newest":
+        # one shuffle: stored rows of the touched buckets and the batch are ranked
+        # together, which is ranking, guard and merge in one (an equal batch row wins,
+        # so that a replay gives the same table)
+        rows = flat.withColumn(DELETED_COL, deleted).withColumn(spec.stamp_col, stamp)
+        merge_newest(spark, rows, main_t, f"{staging}/main", lambda r, last: newest(r, spec, last), reuse, buckets)
     else:
-        # the main table alone reads the batch once; its own staged commit
-        # materialises it before the target is touched
-        staged = survivors
-    uid_parts = tuple(c for c in spec.order if c in staged.columns)
-
-    for a in arrays:
-        table = child_table(spec, root, a)
-        src = staged
-        if spec.delete_when:
-            src = staged.withColumn(a, F.when(F.col(DELETED_COL), F.lit(None)).otherwise(F.col(a)))
-        children = explode_child(src, spec.key, a, spec.name, tombstones=True, uid_parts=uid_parts)
-        parents = staged.select(F.col(spec.key).alias(table.key))
-        same = table.buckets == main_t.buckets
-        replace_children(spark, children, parents, table, f"{staging}/{a}",
-                         reuse_staged=batch_id is not None, buckets=buckets if same else None,
-                         parents_unique=True)
+        _publish_with_children(spark, flat, spec, root, main_t, arrays, staging, stamp, deleted, reuse, buckets)
 
-    main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)
-    upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=batch_id is not None,
-                buckets=buckets)
-
-    if has_null_keys:
-        q = rejects.select(F.to_json(F.struct(*[F.col(c) for c in rejects.columns
-                                                if c != "_reject_reason"])).alias("row"),
-                           F.col("_reject_reason"), F.lit(run).alias("batch"))
-        append_table(q, f"{root}/{QUARANTINE}/{spec.name}")
+    if has_rejects:
+        # a folder a batch: a replay replaces its rejects and doesn't add to them
+        (rejects.withColumn("query", F.lit(query)).withColumn("batch", F.lit(run))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("query", "batch").parquet(f"{root}/{QUARANTINE}/{spec.name}"))
     # every table is committed: the staged copies are no longer needed
     remove_path(spark, staging)
-    return {"arrays": arrays, "null_keys": has_null_keys}
+    return {"arrays": arrays, "rejects": has_rejects}
 
 
-def serving_tables(spec: EntitySpec, root: str, arrays: list[str]) -> dict[str, str]:
-    root = root.rstrip("/")
-    out = {spec.name: f"{root}/{spec.name}"}
+def _publish_with_children(spark: SparkSession, flat: DataFrame, spec: EntitySpec, root: str,
+                           main_t: BucketedTable, arrays: list[str], staging: str, stamp: Column,
+                           deleted: Column, reuse: bool, buckets: list[int]) -> None:
+    """Rank, guard, then replace the children of each array the table ever had and
+    the main rows; all read one written copy of the survivors."""
+    survivors = guard_newer(spark, newest(flat, spec), spec, root, buckets=buckets)
+    survivors.withColumn(DELETED_COL, deleted).write.mode("overwrite").parquet(f"{staging}/survivors")
+    staged = spark.read.parquet(f"{staging}/survivors")
+    uid_parts = tuple(c for c in spec.order if c in staged.columns)
     for a in arrays:
-        out[child_table_name(spec.name, a)] = f"{root}/{child_table_name(spec.name, a)}"
-    return out
+        table = child_table(spec, root, a)
+        check_layout(spark, table)
+        if a in staged.columns:
+            src = staged.withColumn(a, F.when(~F.col(DELETED_COL), F.col(a)))
+            children = explode_child(src, spec.key, a, spec.name, tombstones=True, uid_parts=uid_parts)
+        else:
+            # the batch's documents lack the array: the parents have no children any more
+            children = tombstones(staged, spec.key, a, spec.name, uid_parts)
+        parents = staged.select(F.col(spec.key).alias(table.key))
+        same = table.buckets == main_t.buckets
+        replace_children(spark, children, parents, table, f"{staging}/{a}", reuse_staged=reuse,
+                         buckets=buckets if same else None, parents_unique=True)
+    main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)
+    upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=reuse, buckets=buckets)
 
 
-__all__ = ["publish_entity", "rank_batch", "guard_newer", "main_table", "child_table",
-           "serving_tables", "BUCKET_COL"]
+__all__ = ["publish_entity", "split_batch", "newest", "guard_newer", "main_table", "child_table",
+           "BUCKET_COL"]

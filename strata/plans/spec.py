@@ -41,6 +41,15 @@ class EntitySpec:
             cols.append(F.col(c))
         return cols
 
+    def unreadable(self, df: DataFrame) -> Column:
+        """Whether a text order column holds something that isn't a stamp."""
+        types = {f.name: f.dataType for f in df.schema.fields}
+        bad = F.lit(False)
+        for c in self.order:
+            if self.parse_order and isinstance(types.get(c), StringType):
+                bad = bad | (F.col(c).isNotNull() & parse_stamp(F.col(c)).isNull())
+        return bad
+
     def tie_columns(self, df: DataFrame) -> list[Column]:
         return [F.col(c) for c in self.ties if c in df.columns]
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,21 +22,23 @@ from strata.functions.docs import json_key, raw_document_path
 from strata.operators import flatten as FL
 from strata.operators import monitor as M
 from strata.operators import serve as S
-from strata.operators.contract import (conformance_counts, enforce, infer_contract,
-                                       parse_documents)
+from strata.operators.contract import (REASON, conformance_counts, contract_report, enforce, infer_contract,
+                                       load_contract, parse_documents, save_contract)
 from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.upsert import read_children, read_main
-from strata.pipeline import EVENT_SPEC, run_event_streams
-from strata.plans.conform import conform, conform_documents, conformed_schema
+from strata.pipeline import BUCKETS, EVENT_SPEC, finish, run_event_streams
+from strata.plans.conform import append_conformed, conform, conform_tagged, conformed_schema, tag
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
-from strata.sources.raw import json_documents, read_raw
-from strata.sources.tables import append_table, read_table, register_view
+from strata.sources.events import event_stream, file_events
+from strata.sources.raw import json_documents, read_raw, write_raw
+from strata.sources.tables import path_exists, read_table, register_view
+from strata.streaming.jobs import run_conform, run_conform_documents, run_raw, stop_all, trigger_options
 
 # Fixed parameters of the registered queries (no wall clock in a compared result).
-FIXED_STAMP = _dt.datetime(2025, 3, 11, 14, 52, 53)
+FIXED_STAMP = _dt.datetime(2031, 7, 4, 5, 6, 7)
 DUP_DAY = "2024-01-15"
 DETAIL_DAY = "2024-01-30"
 DETAIL_TYPES = ("click", "view")
@@ -43,8 +46,6 @@ DETAIL_TYPES = ("click", "view")
 # the conformed event table's schema, known from the contract (no footer scans)
 CONFORMED_EVENTS = conformed_schema(I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
 
-_LINE_ORDER = ", ".join(I.LINE_FIELDS)
-_LINE_COLS = ", ".join(I.LINE_FIELDS)
 
 
 # ------------------------------------------------------------------ events
@@ -90,8 +91,7 @@ def q_rows_per_day(spark, sf):
 
 
 SQL_ROWS_PER_DAY = """
-SELECT CAST(ts AS DATE) AS BronzeCreatedDate, count(*) AS RecordCount
-FROM events GROUP BY 1 ORDER BY 1
+SELECT CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1 ORDER BY 1
 """
 
 
@@ -100,7 +100,7 @@ def q_duplicates_on_day(spark, sf):
 
 
 SQL_DUPLICATES_ON_DAY = f"""
-SELECT user_id, count(*) AS RecordCount FROM events
+SELECT user_id, count(*) AS row_count FROM events
 WHERE ts >= TIMESTAMP '{DUP_DAY} 00:00:00' AND ts < TIMESTAMP '{DUP_DAY} 00:00:00' + INTERVAL 1 DAY
 GROUP BY user_id
 """
@@ -133,13 +133,13 @@ def q_decode_and_stamp(spark, sf):
     msgs = msgs.withColumn("body", F.when(F.pmod("sequenceNumber", F.lit(13)) == 0,
                                           F.substring("body", 1, 20)).otherwise(F.col("body")))
     landed = land_events(event_columns(msgs), F.lit(FIXED_STAMP))
-    return landed.select(
+    # the stamped document is parsed once; a body that is no object has no keys to read
+    read = landed.withColumn("__m", F.when(F.col("stamped"), F.from_json("document", "map<string,variant>")))
+    key = lambda name: F.try_variant_get(F.try_element_at("__m", F.lit(name)), "$", "string")
+    return read.select(
         "partition", "sequenceNumber", "event_type", "ingest_date", "stamped",
-        json_key("document", "$.Type").alias("doc_type"),
-        json_key("document", "$.BronzeCreatedAt").alias("doc_stamp"),
-        # explicit NULL for a non-object: size(NULL) is -1 when ANSI mode is off
-        F.when(F.col("stamped"), F.size(F.map_keys(F.from_json("document", "map<string,string>"))))
-         .alias("doc_keys"),
+        key("Type").alias("doc_type"), key("BronzeCreatedAt").alias("doc_stamp"),
+        F.when(F.col("stamped"), F.size(F.map_keys("__m"))).alias("doc_keys"),
         raw_document_path("/raw", "event_type", "BronzeCreatedAt", "partition",
                           "sequenceNumber").alias("raw_path"))
 
@@ -149,13 +149,13 @@ WITH e AS (SELECT event_id, event_type, event_id % 13 = 0 AS broken,
                   upper(substr(event_type, 1, 1)) || substr(event_type, 2) AS typ FROM events)
 SELECT event_id % 4 AS partition, event_id AS sequenceNumber,
        CASE WHEN broken THEN 'unknown' ELSE lower(event_type) END AS event_type,
-       DATE '2025-03-11' AS ingest_date,
+       DATE '2031-07-04' AS ingest_date,
        NOT broken AS stamped,
        CASE WHEN broken THEN NULL ELSE typ END AS doc_type,
-       CASE WHEN broken THEN NULL ELSE '2025-03-11T14:52:53' END AS doc_stamp,
+       CASE WHEN broken THEN NULL ELSE '2031-07-04T05:06:07' END AS doc_stamp,
        CAST(CASE WHEN broken THEN NULL ELSE 6 END AS INTEGER) AS doc_keys,
        '/raw/' || CASE WHEN broken THEN 'unknown' ELSE lower(event_type) END
-         || '/2025/03/11/event_' || CAST(event_id % 4 AS VARCHAR) || '_'
+         || '/2031/07/04/event_' || CAST(event_id % 4 AS VARCHAR) || '_'
          || CAST(event_id AS VARCHAR) || '.json' AS raw_path
 FROM e
 """
@@ -201,27 +201,57 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 
 
 def q_explode_struct_array(spark, sf):
-    nested = I.nested_orders(spark, sf)
-    return FL.explode_child(nested, "o_orderkey", "lineitems", "Orders")
+    return FL.explode_child(I.line_documents(spark, sf), "doc_id", "lines", "Documents").drop("words")
+
+
+_LINES = """
+lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
+
+
+def _uid(*parts: str) -> str:
+    """The row id in SQL: each part as length:value."""
+    texts = (f"CAST({p} AS VARCHAR)" for p in parts)
+    return "sha256(concat_ws(chr(31), " + ", ".join(f"length({t}) || ':' || {t}" for t in texts) + "))"
 
 
 SQL_EXPLODE_STRUCT_ARRAY = f"""
-WITH l AS (
-  SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1
-                          AS INTEGER) AS pos, {_LINE_COLS}
-  FROM lineitem)
-SELECT l_orderkey AS Orders_o_orderkey, pos AS MetaData_Position, {_LINE_COLS},
-       sha256(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), 'lineitems', CAST(pos AS VARCHAR)))
-         AS MetaData_GoldUniqueId
-FROM l
+WITH {_LINES}
+SELECT doc_id AS Documents_doc_id, CAST(pos AS INTEGER) AS MetaData_Position, line,
+       CAST(length(line) AS INTEGER) AS chars, {_uid("doc_id", "'lines'", "pos")} AS MetaData_GoldUniqueId
+FROM lines
+"""
+
+
+def q_expand_struct(spark, sf):
+    """One struct column opened, the struct inside it kept."""
+    nested = I.orders_with_customer(spark, sf)
+    open_ = FL.expand_struct(nested, "customer", prefix="cust_")
+    return open_.select("o_orderkey", "cust_c_custkey", "cust_c_name",
+                        F.col("cust_nation").getField("n_name").alias("nation_name"))
+
+
+SQL_EXPAND_STRUCT = """
+SELECT o_orderkey, c_custkey AS cust_c_custkey, c_name AS cust_c_name, n_name AS nation_name
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """
 
 
 def q_drop_arrays(spark, sf):
-    return FL.drop_arrays(I.nested_orders(spark, sf))
+    """A written nested table read as a main table without its array; the
+    array's own read counts the lines beside it."""
+    path = f"{work_dir(spark, 'nested')}/documents"
+    I.line_documents(spark, sf).write.parquet(path)
+    nested = spark.read.parquet(path)
+    lines = FL.explode_child(nested, "doc_id", "lines", "Documents")
+    count = lines.groupBy("Documents_doc_id").agg(F.count("*").alias("n_lines"))
+    main = FL.drop_arrays(nested)
+    return main.join(count, main["doc_id"] == count["Documents_doc_id"], "left").drop("Documents_doc_id")
 
 
-SQL_DROP_ARRAYS = "SELECT * FROM orders"
+SQL_DROP_ARRAYS = """
+SELECT doc_id, lang, source, len(string_split(text, chr(10))) AS n_lines FROM documents
+"""
 
 
 def q_explode_scalar_array(spark, sf):
@@ -238,59 +268,39 @@ FROM embeddings
 
 
 def q_explode_turns(spark, sf):
-    frames = FL.child_frames(I.nested_conversations(spark, sf), "conv_id", "Conversations")
-    return frames["turns"].drop(FL.UID_COL)
+    """Child frames of every array of a row; the words of each turn."""
+    return FL.child_frames(I.turn_words(spark, sf), "turn_id", "Turns")["words"].drop(FL.UID_COL)
 
 
 SQL_EXPLODE_TURNS = """
-SELECT conv_id AS Conversations_conv_id,
-       CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS INTEGER)
-         AS MetaData_Position,
-       turn, role, text
-FROM conversations
+SELECT turn_id AS Turns_turn_id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS MetaData_Position,
+       unnest(w) AS words
+FROM (SELECT conv_id || '-' || turn AS turn_id, string_split(text, ' ') AS w FROM conversations)
 """
 
 
 def q_explode_nested_arrays(spark, sf):
     """Q11 option, B14: arrays inside array elements become their own child
-    table; a line row carries the customer key, its order's position and its
-    own position."""
-    frames = FL.nested_child_frames(I.customers_with_orders(spark, sf), "c_custkey", "Customer")
-    return frames["Customer_orders_lineitems"]
+    table; a word row carries the document key, its line's position and its own."""
+    return FL.nested_child_frames(I.line_documents(spark, sf), "doc_id", "Documents")["Documents_lines_words"]
 
 
 SQL_EXPLODE_NESTED_ARRAYS = f"""
-WITH o AS (
-  SELECT o.o_custkey, o.o_orderkey,
-         row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderkey) - 1 AS opos
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-l AS (
-  SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS pos,
-         {_LINE_COLS}
-  FROM lineitem)
-SELECT o.o_custkey AS Customer_c_custkey, CAST(o.opos AS INTEGER) AS orders_Position,
-       CAST(l.pos AS INTEGER) AS MetaData_Position, {", ".join("l." + c for c in I.LINE_FIELDS)}
-FROM l JOIN o ON l.l_orderkey = o.o_orderkey
+WITH {_LINES},
+words AS (SELECT doc_id, pos, list_filter(string_split(line, ' '), lambda w: w <> '') AS w FROM lines)
+SELECT doc_id AS Documents_doc_id, CAST(pos AS INTEGER) AS lines_Position,
+       CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS MetaData_Position, unnest(w) AS words
+FROM words
 """
 
 
 # ------------------------------------------------------------------ serving model
 def q_model_view(spark, sf):
-    nested = I.nested_orders(spark, sf)
-    main = FL.drop_arrays(nested)
-    child = FL.explode_child(nested, "o_orderkey", "lineitems", "Orders").drop(FL.UID_COL)
-    return S.relate(main, child, "o_orderkey", "Orders_o_orderkey")
+    """Main rows related to their child rows, main rows without any kept."""
+    return S.relate(I.table(spark, sf, "orders"), I.table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
-SQL_MODEL_VIEW = f"""
-WITH l AS (
-  SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1
-                          AS INTEGER) AS pos, {_LINE_COLS}
-  FROM lineitem)
-SELECT o.*, l.pos AS MetaData_Position, {", ".join("l." + c for c in I.LINE_FIELDS)},
-       l.l_orderkey AS Orders_o_orderkey
-FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
-"""
+SQL_MODEL_VIEW = "SELECT * FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"
 
 
 def q_default_measures(spark, sf):
@@ -373,10 +383,10 @@ def q_bad_document_quarantine(spark, sf):
             .otherwise(F.col("doc")))
     msgs = docs.select(F.encode(doc, "UTF-8").alias("body"), "partition", "sequenceNumber")
     landed = land_events(event_columns(msgs), F.lit(FIXED_STAMP))
-    good, bad = conform(spark, landed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP))
-    return (good.select(F.col("MetaData.SourceSequenceNumber").alias("sequenceNumber"),
-                        F.lit("conformed").alias("route"), F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select("sequenceNumber", F.lit("quarantine").alias("route"), "reason")))
+    tagged = conform_tagged(landed, I.EVENT_CONTRACT)
+    return tagged.select("sequenceNumber",
+                         F.when(F.col(REASON).isNull(), "conformed").otherwise("quarantine").alias("route"),
+                         F.col(REASON).alias("reason"))
 
 
 SQL_BAD_DOCUMENT_QUARANTINE = """
@@ -401,7 +411,7 @@ def q_dedupe_replayed_events(spark, sf):
     for batch in (batch1, again):
         good, _ = conform(spark, batch, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP),
                           conformed_path=conformed_path)
-        append_table(good, conformed_path)
+        append_conformed(good, conformed_path)
     flat = FL.flatten_structs(read_table(spark, conformed_path, schema=CONFORMED_EVENTS))
     return flat.select("event_id", "user_id", "event_type", "value", "props",
                        "MetaData_BronzeCreatedAt", "MetaData_SourceSequenceNumber")
@@ -409,7 +419,7 @@ def q_dedupe_replayed_events(spark, sf):
 
 SQL_DEDUPE_REPLAYED_EVENTS = """
 SELECT event_id, user_id, event_type, value, props,
-       '2025-03-11T14:52:53' AS MetaData_BronzeCreatedAt, event_id AS MetaData_SourceSequenceNumber
+       '2031-07-04T05:06:07' AS MetaData_BronzeCreatedAt, event_id AS MetaData_SourceSequenceNumber
 FROM events
 """
 
@@ -427,7 +437,7 @@ STRICT_EVENT_CONTRACT = StructType([
 
 
 def q_contract_conformance(spark, sf):
-    ev = I.table(spark, sf, "events", spread=True)
+    ev = I.table(spark, sf, "events")
     docs = ev.select(F.to_json(F.struct(*ev.columns)).alias("document"))
     return conformance_counts(docs, STRICT_EVENT_CONTRACT)
 
@@ -459,20 +469,17 @@ def q_json_document_folder(spark, sf):
                          .otherwise(F.col("document")).alias("value"))
     text.write.text(f"{work}/docs")
     contract = infer_contract(spark, f"{work}/docs", multi_line=False)
-    parsed = json_documents(spark, f"{work}/docs", contract, multi_line=False)
-    good, bad = conform_documents(parsed, contract, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP))
-    cols = ["MetaData_BronzeCreatedAt", "MetaData_ChangeType", "MetaData_PublicationDate",
-            "event_id", "user_id", "event_type", "value", "props"]
-    ok = FL.flatten_structs(good).select(*cols, F.lit("conformed").alias("route"),
-                                         F.lit(None).cast("string").alias("reason"))
-    types = dict((f.name, f.dataType) for f in ok.schema.fields)
-    rejected = bad.select(*[F.lit(None).cast(types[c]).alias(c) for c in cols],
-                          F.lit("quarantine").alias("route"), F.col("_reject_reason").alias("reason"))
-    return ok.unionByName(rejected)
+    tagged = tag(json_documents(spark, f"{work}/docs", contract, multi_line=False), contract)
+    ok = F.col(REASON).isNull()
+    fields = {"MetaData_BronzeCreatedAt": "BronzeCreatedAt", "MetaData_ChangeType": "ChangeType",
+              "MetaData_PublicationDate": "PublicationDate"}
+    fields |= {c: f"{I.EVENT_PAYLOAD}.{c}" for c in ("event_id", "user_id", "event_type", "value", "props")}
+    return tagged.select(*[F.when(ok, F.col(path)).alias(c) for c, path in fields.items()],
+                         F.when(ok, "conformed").otherwise("quarantine").alias("route"), F.col(REASON).alias("reason"))
 
 
 SQL_JSON_DOCUMENT_FOLDER = """
-SELECT CASE WHEN b THEN NULL ELSE '2025-03-11T14:52:53' END AS MetaData_BronzeCreatedAt,
+SELECT CASE WHEN b THEN NULL ELSE '2031-07-04T05:06:07' END AS MetaData_BronzeCreatedAt,
        CASE WHEN b THEN NULL ELSE event_type END AS MetaData_ChangeType,
        CASE WHEN b THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS MetaData_PublicationDate,
        CASE WHEN b THEN NULL ELSE event_id END AS event_id,
@@ -505,7 +512,7 @@ def q_upsert_main(spark, sf):
     work = work_dir(spark, "upsert")
     good, _ = conform(spark, _landed(spark, sf), I.EVENT_CONTRACT, I.EVENT_PAYLOAD,
                       F.lit(FIXED_STAMP))
-    append_table(good, f"{work}/conformed")
+    append_conformed(good, f"{work}/conformed")
     conformed = read_table(spark, f"{work}/conformed", schema=CONFORMED_EVENTS)
     cut = F.pmod(F.xxhash64(F.col("event_id")), F.lit(4))
     for b in (2, 0, 3, 1):
@@ -514,47 +521,70 @@ def q_upsert_main(spark, sf):
     return read_main(spark, f"{work}/serving/{EVENT_SPEC.name}").select(*_MAIN_COLS)
 
 
-def _orders_batch(spark, sf, published: str, changed: bool):
-    nested = I.nested_orders(spark, sf)
-    if changed:
-        k = F.pmod(F.col("o_orderkey"), F.lit(9))
-        arr = F.col("lineitems")
-        nested = nested.where(F.pmod(F.col("o_orderkey"), F.lit(3)) == 0).withColumn(
-            "lineitems",
-            F.when(k == 0, F.array_compact(F.array(F.lit(None).cast(nested.schema["lineitems"]
-                                                                    .dataType.elementType))))
-             .when(k == 3, F.reverse(arr))
-             .otherwise(F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0)))))
-    meta = F.struct(F.lit(published).alias("PublicationDate"))
-    return nested.select(meta.alias("MetaData"), *nested.columns)
+def q_latest_text_stamps(spark, sf):
+    """Stamps written in several text forms (seven fraction digits, an offset,
+    minutes only, unpadded parts), published in batches out of order: the newest
+    by time wins, whatever its form; stamps that can't be read are rejected."""
+    root = f"{work_dir(spark, 'stamps')}/serving"
+    ev = I.table(spark, sf, "events").select("event_id", "user_id", F.date_trunc("minute", "ts").alias("t"))
+    form = F.pmod("event_id", F.lit(6))
+    text = (F.when(form == 0, F.concat(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".0000000Z")))
+            .when(form == 1, F.concat(F.date_format(F.col("t") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00")))
+            .when(form == 2, F.date_format("t", "yyyy-MM-dd'T'HH:mm"))
+            .when(form == 3, F.date_format("t", "yyyy-M-d H:m:s"))
+            .when(form == 4, F.lit("soon")).otherwise(F.date_format("t", "yyyy-MM-dd HH:mm:ss'Z'")))
+    batch = ev.select(F.struct(text.alias("PublicationDate"), F.col("event_id").alias("SourceSequenceNumber")).alias("MetaData"),
+                      "user_id", "event_id", "t")
+    spec = EntitySpec(name="Stamps", key="user_id", buckets=BUCKETS)
+    cut = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for b in (1, 2, 0):
+        publish_entity(spark, batch.where(cut == b), spec, root, stamp=F.lit(FIXED_STAMP))
+    return read_main(spark, f"{root}/Stamps").select("user_id", "event_id", "t")
+
+
+SQL_LATEST_TEXT_STAMPS = """
+SELECT user_id, event_id, t FROM (SELECT user_id, event_id, date_trunc('minute', ts) AS t FROM events WHERE event_id % 6 <> 4)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY t DESC, event_id DESC) = 1
+"""
+
+DOCUMENT_SPEC = EntitySpec(name="Documents", key="doc_id", buckets=BUCKETS, ties=())
 
 
-ORDER_SPEC = EntitySpec(name="Orders", key="o_orderkey", buckets=8, ties=())
+def _document_batch(spark, sf, published: str, changed: bool):
+    """All documents; or a third of them, with emptied, reversed or shortened lines
+    and, beyond those, some whose batch lacks the array (made by the caller)."""
+    docs = I.line_documents(spark, sf).select("doc_id", "lang", F.transform(
+        "lines", lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars"))).alias("lines"))
+    if changed:
+        k, arr = F.pmod("doc_id", F.lit(9)), F.col("lines")
+        docs = docs.where(F.pmod("doc_id", F.lit(3)) == 0).withColumn(
+            "lines", F.when(k == 0, F.slice(arr, 1, 0)).when(k == 3, F.reverse(arr))
+            .otherwise(F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0)))))
+    return docs.select(F.struct(F.lit(published).alias("PublicationDate")).alias("MetaData"), *docs.columns)
 
 
 def q_replace_children(spark, sf):
-    """All orders published, then a third of them again
-    with emptied, reversed or shortened line arrays -- the newer batch
-    arriving FIRST. Child rows of a parent are replaced as a whole, and the
-    older batch cannot bring old lines back."""
+    """A third of the documents published with emptied,
+    reversed or shortened line arrays, then all of them with an older date, then
+    every tenth again in a newer batch that lacks the array. Child rows of a parent
+    are replaced as a whole, the older batch brings no old lines back, and parents
+    of the batch without the array have no children any more."""
     root = f"{work_dir(spark, 'children')}/serving"
-    publish_entity(spark, _orders_batch(spark, sf, "2025-02-01T00:00:00", True), ORDER_SPEC, root,
-                   stamp=F.lit(FIXED_STAMP))
-    publish_entity(spark, _orders_batch(spark, sf, "2025-01-01T00:00:00", False), ORDER_SPEC, root,
-                   stamp=F.lit(FIXED_STAMP))
-    return read_children(spark, f"{root}/Orders_lineitems").drop(FL.UID_COL)
+    bare = _document_batch(spark, sf, "2031-03-01T00:00:00", False).where(F.pmod("doc_id", F.lit(10)) == 0).drop("lines")
+    for batch in (_document_batch(spark, sf, "2031-02-01T00:00:00", True),
+                  _document_batch(spark, sf, "2031-01-01T00:00:00", False), bare):
+        publish_entity(spark, batch, DOCUMENT_SPEC, root, stamp=F.lit(FIXED_STAMP))
+    return read_children(spark, f"{root}/Documents_lines").drop(FL.UID_COL)
 
 
 SQL_REPLACE_CHILDREN = f"""
-WITH l AS (
-  SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS pos,
-         count(*) OVER (PARTITION BY l_orderkey) AS n, {_LINE_COLS}
-  FROM lineitem)
-SELECT l_orderkey AS Orders_o_orderkey,
-       CAST(CASE WHEN l_orderkey % 9 = 3 THEN n - 1 - pos ELSE pos END AS INTEGER) AS MetaData_Position,
-       {_LINE_COLS}
-FROM l
-WHERE NOT (l_orderkey % 9 = 0) AND NOT (l_orderkey % 9 = 6 AND pos = n - 1)
+WITH {_LINES},
+counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM lines WHERE doc_id % 10 <> 0)
+SELECT doc_id AS Documents_doc_id,
+       CAST(CASE WHEN doc_id % 9 = 3 THEN n - 1 - pos ELSE pos END AS INTEGER) AS MetaData_Position,
+       line, CAST(length(line) AS INTEGER) AS chars
+FROM counted
+WHERE doc_id % 9 <> 0 AND NOT (doc_id % 9 = 6 AND pos = n - 1)
 """
 
 
@@ -568,7 +598,7 @@ def q_stream_raw_to_serving(spark, sf):
 
 def q_raw_rows_per_folder(spark, sf):
     """A3 layout: raw rows per ``event_type=/ingest_date=`` folder."""
-    run = run_event_streams(spark, sf)
+    run = run_event_streams(spark, sf, upto="raw")
     raw = read_raw(spark, run.raw)
     return raw.groupBy(F.concat(F.lit("event_type="), "event_type", F.lit("/ingest_date="),
                                 F.col("ingest_date").cast("string")).alias("folder")) \
@@ -583,77 +613,203 @@ FROM events GROUP BY 1
 
 
 def q_files_per_folder(spark, sf):
-    """Files per raw folder from a file listing (contents never read)."""
-    run = run_event_streams(spark, sf)
+    """Raw folders that a file listing finds (contents never
+    read), whether each has files, and how many folders there are in all."""
+    run = run_event_streams(spark, sf, upto="raw")
     files = M.list_files(spark, run.raw, glob="*.parquet")
-    return M.files_per_folder(files, root=run.raw)
+    folders = M.files_per_folder(files, root=run.raw)
+    total = M.total_files(folders.select("folder"))
+    return folders.crossJoin(F.broadcast(total)).select(
+        "folder", (F.col("files") > 0).alias("has_files"), F.col("total_files").alias("folders"))
+
+
+SQL_FILES_PER_FOLDER = """
+WITH f AS (SELECT DISTINCT '/event_type=' || lower(event_type) || '/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder
+           FROM events)
+SELECT folder, true AS has_files, count(*) OVER () AS folders FROM f
+"""
 
 
 def q_layer_reconciliation(spark, sf):
-    """E3 + E5: rows per landing day in the raw, conformed and serving layers."""
+    """E3 + E5: rows per landing day in the raw, conformed and serving layers; raw
+    rows of every eleventh event have no stamp here and are the NULL day's."""
     run = run_event_streams(spark, sf)
-    raw = read_raw(spark, run.raw)
+    stamp = F.when(F.pmod("sequenceNumber", F.lit(11)) != 0, F.col("BronzeCreatedAt"))
+    raw = read_raw(spark, run.raw).select(stamp.alias("landed"))
     conformed = read_table(spark, run.conformed, schema=CONFORMED_EVENTS)
     serving = read_main(spark, f"{run.serving}/{EVENT_SPEC.name}")
-    return M.layer_reconciliation(raw, "BronzeCreatedAt", conformed, "MetaData.BronzeCreatedAt",
-                                  serving, "MetaData_BronzeCreatedAt")
+    return M.layer_reconciliation(raw, "landed", conformed, "ingest_date", serving, "MetaData_BronzeCreatedAt")
 
 
 SQL_LAYER_RECONCILIATION = """
-WITH r AS (SELECT CAST(ts AS DATE) AS day, count(*) AS raw_rows FROM events GROUP BY 1),
-     s AS (SELECT CAST(ts AS DATE) AS day, count(*) AS serving_rows FROM (
-             SELECT ts FROM events QUALIFY row_number() OVER
-               (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) GROUP BY 1)
-SELECT r.day, r.raw_rows, r.raw_rows AS conformed_rows, coalesce(s.serving_rows, 0) AS serving_rows
-FROM r LEFT JOIN s ON r.day = s.day ORDER BY 1
+WITH latest AS (SELECT ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+landed AS (
+  SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS day, 1 AS r, 0 AS c, 0 AS s FROM events
+  UNION ALL SELECT CAST(ts AS DATE), 0, 1, 0 FROM events
+  UNION ALL SELECT CAST(ts AS DATE), 0, 0, 1 FROM latest)
+SELECT day, CAST(sum(r) AS BIGINT) AS raw_rows, CAST(sum(c) AS BIGINT) AS conformed_rows,
+       CAST(sum(s) AS BIGINT) AS serving_rows
+FROM landed GROUP BY day ORDER BY day
 """
 
+
 def q_conformed_rows_per_day_sql(spark, sf):
-    """A14 + E3 in SQL: the conformed table registered as a view, rows per
-    landing day of the nested text stamp."""
-    run = run_event_streams(spark, sf)
-    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "ConformedEvents")
-    return spark.sql("""
-        SELECT CAST(MetaData.BronzeCreatedAt AS DATE) AS BronzeCreatedDate, COUNT(*) AS RecordCount
-        FROM ConformedEvents
-        GROUP BY CAST(MetaData.BronzeCreatedAt AS DATE)
-        ORDER BY BronzeCreatedDate""")
+    """A14 + E3 in SQL: rows per landing day, from the partition column alone."""
+    run = run_event_streams(spark, sf, upto="conformed")
+    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "conformed_events")
+    return spark.sql("SELECT ingest_date AS day, count(1) AS row_count FROM conformed_events GROUP BY ingest_date")
 
 
 def q_serving_rows_per_day_sql(spark, sf):
-    """A14 + E5 in SQL: the serving main table, rows per landing day of the
-    flattened stamp."""
+    """A14 + E5 in SQL: users of the serving table by the landing day of their
+    newest event."""
     run = run_event_streams(spark, sf)
-    register_view(read_main(spark, f"{run.serving}/{EVENT_SPEC.name}"), "ServingEvents")
-    return spark.sql("""
-        SELECT CAST(MetaData_BronzeCreatedAt AS DATE) AS BronzeCreatedDate, COUNT(*) AS RecordCount
-        FROM ServingEvents
-        GROUP BY CAST(MetaData_BronzeCreatedAt AS DATE)
-        ORDER BY BronzeCreatedDate""")
+    register_view(read_main(spark, f"{run.serving}/{EVENT_SPEC.name}"), "serving_events")
+    return spark.sql("SELECT ingest_date AS day, count(user_id) AS users FROM serving_events GROUP BY ingest_date")
 
 
 def q_conformed_duplicates_on_day_sql(spark, sf):
-    """A14 + E4 + C3 in SQL: records per business key on one landing day of
-    the conformed table (keys above one were updated that day)."""
-    run = run_event_streams(spark, sf)
-    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "ConformedEvents")
+    """A14 + E4 + C3 in SQL: business keys with several records on one landing
+    day; the day is a partition, so no other day is read."""
+    run = run_event_streams(spark, sf, upto="conformed")
+    register_view(read_table(spark, run.conformed, schema=CONFORMED_EVENTS), "conformed_events")
     return spark.sql(f"""
-        SELECT user_id, COUNT(*) AS RecordCount
-        FROM ConformedEvents
-        WHERE CAST(MetaData.BronzeCreatedAt AS DATE) = DATE '{DUP_DAY}'
-        GROUP BY user_id""")
+        SELECT user_id, count(1) AS records, max(event_id) AS last_event FROM conformed_events
+        WHERE ingest_date = DATE'{DUP_DAY}' GROUP BY user_id HAVING count(1) > 1""")
 
 
-SQL_CONFORMED_ROWS_PER_DAY = SQL_ROWS_PER_DAY
+SQL_CONFORMED_ROWS_PER_DAY = """
+SELECT CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1
+"""
 
 SQL_SERVING_ROWS_PER_DAY = """
-SELECT CAST(ts AS DATE) AS BronzeCreatedDate, count(*) AS RecordCount FROM (
-  SELECT ts FROM events QUALIFY row_number() OVER
-    (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
-GROUP BY 1 ORDER BY 1
+SELECT CAST(ts AS DATE) AS day, count(*) AS users FROM (
+  SELECT ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+GROUP BY 1
+"""
+
+SQL_CONFORMED_DUPLICATES_ON_DAY = f"""
+SELECT user_id, count(*) AS records, max(event_id) AS last_event FROM events
+WHERE CAST(ts AS DATE) = DATE '{DUP_DAY}' GROUP BY user_id HAVING count(*) > 1
+"""
+
+
+def q_stream_bad_documents(spark, sf):
+    """Hub events of which every 13th body is cut short, landed
+    twice in batches of their own: the conformed table and the quarantine hold
+    each event once, and each reject names its raw file."""
+    root = work_dir(spark, "bad-stream")
+    msgs = I.event_messages(I.table(spark, sf, "events"))
+    msgs = msgs.withColumn("body", F.when(F.pmod("sequenceNumber", F.lit(13)) == 0, F.substring("body", 1, 20))
+                           .otherwise(F.col("body")))
+    contract = f"{root}/contract"
+    save_contract(spark, I.EVENT_CONTRACT, contract)                # A17: the job reads it from the file
+    for day in (0, 1):
+        landed = land_events(event_columns(msgs), F.lit(FIXED_STAMP + _dt.timedelta(days=day)))
+        write_raw(landed, f"{root}/raw")
+        finish(run_conform(spark, f"{root}/raw", f"{root}/conformed", contract, I.EVENT_PAYLOAD, f"{root}/chk",
+                           trigger=trigger_options(available_now=True), name=None))
+    good = read_table(spark, f"{root}/conformed", schema=CONFORMED_EVENTS)
+    bad = spark.read.parquet(f"{root}/conformed_quarantine")
+    return (good.select(F.col("MetaData.SourceSequenceNumber").alias("sequenceNumber"), F.lit("conformed").alias("route"),
+                        F.contains("MetaData.SourceFile", F.lit("/raw/")).alias("has_file"))
+            .union(bad.select("sequenceNumber", F.lit("quarantine"), F.contains("source_file", F.lit("/raw/")))))
+
+
+SQL_STREAM_BAD_DOCUMENTS = """
+SELECT event_id AS sequenceNumber, CASE WHEN event_id % 13 = 0 THEN 'quarantine' ELSE 'conformed' END AS route,
+       true AS has_file
+FROM events
+"""
+
+
+def q_multiline_documents(spark, sf):
+    """One document per file, pretty-printed over several
+    lines, streamed through the document job; its rows name their files, of which
+    the distinct ones and the first are reported."""
+    root = work_dir(spark, "multiline")
+    nation = I.table(spark, sf, "nation")
+    docs = nation.select(F.to_json(F.struct(F.lit("Nation").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
+                                            F.struct("n_nationkey", "n_name").alias("Nation")), {"pretty": "true"}).alias("value"),
+                         "n_regionkey")
+    docs.repartition(5, "n_regionkey").select("value").limit(25).write.option("lineSep", "\n").text(f"{root}/lines")
+    one = docs.repartitionByRange(25, "value").select("value")
+    one.write.option("maxRecordsPerFile", "1").text(f"{root}/docs")
+    contract = StructType([StructField("Type", StringType()), StructField("BronzeCreatedAt", StringType()),
+                           StructField("Nation", StructType([StructField("n_nationkey", LongType(), False),
+                                                             StructField("n_name", StringType())]), False)])
+    finish(run_conform_documents(spark, f"{root}/docs/*.txt", f"{root}/conformed", contract, "Nation", f"{root}/chk",
+                                 trigger=trigger_options(available_now=True), name=None))
+    got = read_table(spark, f"{root}/conformed", schema=conformed_schema(contract, "Nation"))
+    named = got.select("n_nationkey", "n_name", F.col("MetaData.SourceFile").alias("source_file"))
+    files = M.distinct_files(named).agg(F.count("*").alias("files"))
+    first = M.first_file(named).select(F.endswith("first_file", F.lit(".txt")).alias("first_named"))
+    return named.select("n_nationkey", "n_name").crossJoin(F.broadcast(files)).crossJoin(F.broadcast(first))
+
+
+SQL_MULTILINE_DOCUMENTS = """
+SELECT n_nationkey, n_name, count(*) OVER () AS files, true AS first_named FROM nation
 """
 
-SQL_CONFORMED_DUPLICATES_ON_DAY = SQL_DUPLICATES_ON_DAY
+
+def q_contract_report(spark, sf):
+    """The schema of the table's documents, as Spark infers it, against
+    a written contract file: missing, extra and mistyped fields, in arrays too."""
+    root = work_dir(spark, "contract")
+    save_contract(spark, STRICT_EVENT_CONTRACT, f"{root}/contract")
+    ev = I.table(spark, sf, "events")
+    ev.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value",
+                                 F.array(F.struct("event_id", "event_type")).alias("history")))).write.text(f"{root}/docs")
+    actual = infer_contract(spark, f"{root}/docs", multi_line=False)
+    report = contract_report(spark, actual, load_contract(spark, f"{root}/contract"))
+    return report.where("issue <> 'nullability'").select("path", "issue")
+
+
+SQL_CONTRACT_REPORT = """
+WITH actual AS (SELECT unnest(['event_id', 'user_id', 'event_type', 'value', 'history']) AS path FROM (SELECT count(*) FROM events)),
+contract AS (SELECT unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props', 'channel']) AS path)
+SELECT path, 'missing' AS issue FROM contract WHERE path NOT IN (SELECT path FROM actual)
+UNION ALL SELECT path, 'extra' FROM actual WHERE path NOT IN (SELECT path FROM contract)
+UNION ALL SELECT 'value', 'type'
+UNION ALL SELECT '<root>', 'order'
+"""
+
+
+def q_stream_facts(spark, sf):
+    """The raw job under each trigger over the same hub files:
+    its name, the rows that landed, whether an empty batch landed any, and whether
+    anything is active after all are stopped."""
+    root = work_dir(spark, "facts")
+    msgs = I.event_messages(I.table(spark, sf, "events"))
+    msgs.repartition(4, "sequenceNumber").write.parquet(f"{root}/hub")
+    msgs.limit(0).write.parquet(f"{root}/empty")
+    rows = []
+    for trigger, hub in (("interval", "hub"), ("immediate", "hub"), ("available", "hub"), ("empty", "empty")):
+        src = event_stream(file_events(spark, f"{root}/{hub}", msgs.schema, max_files_per_trigger=2))
+        how = trigger_options("1 second" if trigger == "interval" else None, trigger in ("available", "empty"))
+        # The one-off runs take a checkpoint of their own
+        q = run_raw(src, f"{root}/raw-{trigger}", None if how.get("availableNow") else f"{root}/chk-{trigger}", how,
+                    stamp=F.lit(FIXED_STAMP), name=f"raw_{trigger}")
+        name = q.name
+        if how.get("availableNow"):
+            finish(q)
+        else:
+            q.processAllAvailable()
+        rows.append((trigger, name))
+    stop_all(spark)
+    active = len(spark.streams.active)
+    facts = spark.createDataFrame(rows, "trigger string, name string")
+    landed = [read_raw(spark, f"{root}/raw-{t}").agg(F.count("*").alias("landed")).select(F.lit(t).alias("t"), "landed")
+              for t, _ in rows if path_exists(spark, f"{root}/raw-{t}")]
+    counted = reduce(DataFrame.union, landed)
+    return facts.join(counted, F.col("trigger") == F.col("t"), "left").select(
+        "trigger", "name", F.coalesce("landed", F.lit(0)).cast("long").alias("landed"), F.lit(active).alias("active"))
+
+
+SQL_STREAM_FACTS = """
+SELECT t AS trigger, 'raw_' || t AS name, CASE WHEN t = 'empty' THEN 0 ELSE n END AS landed, CAST(0 AS INTEGER) AS active
+FROM (SELECT unnest(['interval', 'immediate', 'available', 'empty']) AS t, n FROM (SELECT count(*) AS n FROM events))
+"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -677,6 +833,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_imports": q_total_imports,
     "import_timeline": q_import_timeline,
     "import_detail": q_import_detail,
+    "expand_struct": q_expand_struct,
+    "latest_text_stamps": q_latest_text_stamps,
+    "stream_bad_documents": q_stream_bad_documents,
+    "multiline_documents": q_multiline_documents,
+    "contract_report": q_contract_report,
+    "stream_facts": q_stream_facts,
     "bad_document_quarantine": q_bad_document_quarantine,
     "dedupe_replayed_events": q_dedupe_replayed_events,
     "contract_conformance": q_contract_conformance,
@@ -713,6 +875,13 @@ ORACLES: dict[str, str] = {
     "total_imports": SQL_TOTAL_IMPORTS,
     "import_timeline": SQL_IMPORT_TIMELINE,
     "import_detail": SQL_IMPORT_DETAIL,
+    "expand_struct": SQL_EXPAND_STRUCT,
+    "latest_text_stamps": SQL_LATEST_TEXT_STAMPS,
+    "stream_bad_documents": SQL_STREAM_BAD_DOCUMENTS,
+    "multiline_documents": SQL_MULTILINE_DOCUMENTS,
+    "contract_report": SQL_CONTRACT_REPORT,
+    "stream_facts": SQL_STREAM_FACTS,
+    "files_per_folder": SQL_FILES_PER_FOLDER,
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
     "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,
     "contract_conformance": SQL_CONTRACT_CONFORMANCE,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,8 +45,8 @@ def build_session(app: str = "strata", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) a folder of our own is
-    created and registered, so that ``DataFrame.checkpoint`` works as well.
+    Only a local session (one machine: tests, trials) that names none gets a folder
+    of our own; a cluster must name one, as no executor sees another's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,15 +56,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run."""
+    """A fresh sub-folder of the shared checkpoint folder for one run, made on that
+    folder's own file system."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

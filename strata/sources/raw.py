@@ -64,7 +64,7 @@ def raw_stream(spark: SparkSession, root: str, event_type: str | None = None,
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    df = r.load(root)
+    df = r.load(root).withColumn("source_file", F.col("_metadata.file_path"))   # A15
     if event_type is not None:
         df = df.where(F.col("event_type") == event_type)
     return df

@@ -39,8 +39,8 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small metadata file: to a temporary name, then renamed over
-    the target, so a reader sees the old or the new file, never a torn one."""
+    """Write a small metadata file: to a temporary name, then renamed over the
+    target in one step, so a reader sees the old or the new file, never none."""
     p, fs = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{jvm.java.util.UUID.randomUUID().toString()}")
@@ -49,9 +49,12 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = option
+    context.rename(tmp, p, options)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

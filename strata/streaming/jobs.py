@@ -18,12 +18,14 @@ from pyspark.sql.types import StructType
 
 from strata.operators.envelope import land_events
 from strata.operators.monitor import observe_rows
-from strata.plans.conform import conform, conformed_schema  # noqa: F401 (re-exported)
-from strata.plans.publish import publish_entity
+from strata.operators.contract import CORRUPT, load_contract
+from strata.plans.conform import (append_conformed, conform_tagged, conformed_rows,  # noqa: F401
+                                  conformed_schema, rejected_rows, seen_conformed, tag)
+from strata.plans.publish import QUERY_ID_PROPERTY, publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
-from strata.sources.raw import raw_stream, write_raw
-from strata.sources.tables import append_table, table_stream
+from strata.sources.raw import json_documents, raw_stream, write_raw
+from strata.sources.tables import table_exists, table_stream
 
 log = logging.getLogger("strata.streaming")
 
@@ -79,29 +81,80 @@ def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
     return _start(events, _skip_empty(fn, "raw"), checkpoint, trigger or {}, name)
 
 
-def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contract: StructType,
+def _contract(spark: SparkSession, contract: StructType | str) -> StructType:
+    """A contract, or the path of its file."""
+    return load_contract(spark, contract) if isinstance(contract, str) else contract
+
+
+def _write_conformed(tagged: DataFrame, payload: str, stamp: Column | None, conformed_path: str,
+                     quarantine: str, query: str, batch_id: int) -> int:
+    """Both routes of one parsed and tagged batch, which is computed once. Rejects
+    replace the folder of their query and batch, so a replay doesn't add to them."""
+    tagged = tagged.persist()
+    try:
+        good, obs = observe_rows(conformed_rows(tagged, payload, stamp), f"conform-{query}-{batch_id}")  # E7
+        append_conformed(good, conformed_path)
+        bad = rejected_rows(tagged)
+        if bad.take(1):
+            (bad.withColumn("query", F.lit(query)).withColumn("batch", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("query", "batch").parquet(quarantine))
+        return obs.get.get("rows")
+    finally:
+        tagged.unpersist()
+
+
+def seen_rejects(spark: SparkSession, quarantine: str, query: str, batch_id: int) -> DataFrame | None:
+    """Identities quarantined by other batches (a replay of this one sees its own anew)."""
+    if not table_exists(spark, quarantine):
+        return None
+    stored = spark.read.parquet(quarantine)
+    return stored.where((F.col("query") != query) | (F.col("batch") != batch_id)) \
+                 .select("partition", "sequenceNumber")
+
+
+def _query_id(spark: SparkSession) -> str:
+    return spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
+
+
+def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contract: StructType | str,
                 payload: str, checkpoint: str | None, event_type: str | None = None,
                 trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
                 stamp: Column | None = None, name: str | None = "conform",
                 archive_dir: str | None = None) -> StreamingQuery:
     """Conform job: raw files -> contract -> conformed table (+ quarantine)."""
+    contract = _contract(spark, contract)
     src = raw_stream(spark, raw_root, event_type, max_files_per_trigger, archive_dir=archive_dir)
     quarantine = conformed_path.rstrip("/") + "_quarantine"
 
     def fn(batch, batch_id):
-        batch = batch.persist()
-        try:
-            good, bad = conform(spark, batch, contract, payload, stamp, conformed_path)
-            good, obs = observe_rows(good, f"conform-{batch_id}")   # E7: counted while written
-            append_table(good, conformed_path)
-            log.info("conform batch %s: %s rows conformed", batch_id, obs.get.get("rows"))
-            if bad.take(1):
-                append_table(bad.withColumn("batch_id", F.lit(batch_id)), quarantine)
-        finally:
-            batch.unpersist()
+        query = _query_id(spark)
+        seen, rejects = seen_conformed(spark, conformed_path), seen_rejects(spark, quarantine, query, batch_id)
+        seen = rejects if seen is None else seen if rejects is None else seen.union(rejects)
+        rows = _write_conformed(conform_tagged(batch, contract, seen), payload, stamp, conformed_path,
+                                quarantine, query, batch_id)
+        log.info("conform batch %s: %s rows conformed", batch_id, rows)
     return _start(src, _skip_empty(fn, "conform"), checkpoint, trigger or {}, name)
 
 
+def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str, contract: StructType | str,
+                          payload: str, checkpoint: str | None, multi_line: bool = True,
+                          trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
+                          stamp: Column | None = None, name: str | None = "conform-documents") -> StreamingQuery:
+    """Conform job over a folder of JSON documents (A4-A7, A15): each file's name
+    goes into the rows' lineage and the rejects."""
+    contract = _contract(spark, contract)
+    src = json_documents(spark, folder, contract, multi_line, stream=True,
+                         max_files_per_trigger=max_files_per_trigger)
+    quarantine = conformed_path.rstrip("/") + "_quarantine"
+
+    def fn(batch, batch_id):
+        tagged = tag(batch, contract).withColumn("document", F.col(CORRUPT))
+        rows = _write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
+        log.info("document batch %s: %s rows conformed", batch_id, rows)
+    return _start(src, _skip_empty(fn, "documents"), checkpoint, trigger or {}, name)
+
+
 def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, serving_root: str,
                 spec: EntitySpec, checkpoint: str | None, trigger: dict | None = None,
                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES, stamp: Column | None = None,

@@ -46,9 +46,11 @@ def test_multiline_documents_batch(spark, work):
     parsed = json_documents(spark, f"{root}/instrument/*/*/*/*.json", CONTRACT, multi_line=True)
     good, bad = conform_documents(parsed, CONTRACT, "Instrument", F.lit("2025-03-11 15:00:00"))
     assert sorted(r.GainID for r in good.collect()) == ["G1", "G2"]
-    assert good.columns == ["MetaData", "GainID", "LegNo"]
+    assert good.columns == ["MetaData", "GainID", "LegNo", "ingest_date"]
     assert good.schema["MetaData"].dataType.names == ["Type", "PublicationDate", "BronzeCreatedAt",
-                                                     "SilverCreatedAt"]
+                                                     "SilverCreatedAt", "SourcePartition", "SourceSequenceNumber",
+                                                     "SourceFile"]
+    assert all(r.f.endswith(".json") for r in good.select(F.col("MetaData.SourceFile").alias("f")).collect())
     reasons = sorted(r._reject_reason for r in bad.collect())
     assert reasons == ["malformed or mistyped document", "required field missing: PublicationDate"]
     assert distinct_files(parsed).count() == 4

@@ -20,12 +20,12 @@ def test_files_per_folder_strips_root_literally(spark, work):
 def test_days_from_text_and_typed_stamps(spark):
     df = spark.createDataFrame([("k", "2025-03-04T10:00:00"), ("k", "2025-3-4"), ("j", "2025-03-05")],
                                "GainID string, BronzeCreatedAt string")
-    assert {r.GainID: r.RecordCount for r in
+    assert {r.GainID: r.row_count for r in
             M.duplicates_on_day(df, "GainID", "BronzeCreatedAt", "2025-03-04").collect()} == {"k": 2}
     ts = spark.createDataFrame([(dt.datetime(2025, 3, 4, 23, 59),), (dt.datetime(2025, 3, 5),)], "t timestamp")
     assert M.on_day(ts, "t", "2025-03-04").count() == 1
     days = M.rows_per_day(df, "BronzeCreatedAt").collect()
-    assert [(r.BronzeCreatedDate, r.RecordCount) for r in days] == [(dt.date(2025, 3, 4), 2),
+    assert [(r.day, r.row_count) for r in days] == [(dt.date(2025, 3, 4), 2),
                                                                   (dt.date(2025, 3, 5), 1)]
 
 
@@ -78,7 +78,7 @@ def test_serving_model_relates_every_child(spark, work):
 def test_bad_text_stamps_do_not_fail_monitors(spark):
     df = spark.createDataFrame([("k", "2025-03-04T10:00:00"), ("k", "garbage"), ("j", None)],
                                "GainID string, BronzeCreatedAt string")
-    got = {r.BronzeCreatedDate: r.RecordCount for r in M.rows_per_day(df, "BronzeCreatedAt").collect()}
+    got = {r.day: r.row_count for r in M.rows_per_day(df, "BronzeCreatedAt").collect()}
     assert got == {dt.date(2025, 3, 4): 1, None: 2}
     assert M.duplicates_on_day(df, "GainID", "BronzeCreatedAt", "2025-03-04").count() == 1
 

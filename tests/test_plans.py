@@ -8,10 +8,13 @@ from strata import inputs as I
 from strata.operators import monitor as M
 from strata.operators.envelope import event_columns, land_events
 from strata.operators.upsert import BucketedTable, read_buckets
-from strata.plans.conform import conform, drop_seen
+from strata.operators.contract import conformance_counts
+from strata.operators.upsert import merge_newest
+from strata.plans.conform import append_conformed, conform, drop_seen, first_landing, seen_conformed
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
-from strata.sources.tables import append_table
+from strata.registry import CONFORMED_EVENTS
+from strata.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,8 +42,8 @@ def test_replay_dedupe_pushes_identity_ranges_into_the_scan(spark, work):
     msgs = I.event_messages(I.table(spark, SF, "events"))
     landed = land_events(event_columns(msgs), F.lit(dt.datetime(2025, 3, 11)))
     good, _ = conform(spark, landed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
-    append_table(good, f"{work}/conformed")
-    plan = _plan(drop_seen(spark, landed, f"{work}/conformed"))
+    append_conformed(good, f"{work}/conformed")
+    plan = _plan(drop_seen(landed, seen_conformed(spark, f"{work}/conformed")))
     assert "MetaData.SourceSequenceNumber" in plan and "GreaterThanOrEqual" in plan
     assert "ReadSchema: struct<MetaData:struct<SourcePartition:bigint,SourceSequenceNumber:bigint>>" in plan
 
@@ -50,3 +53,45 @@ def test_file_listing_never_reads_content(spark, work):
     plan = _plan(M.files_per_folder(M.list_files(spark, f"{work}/files", glob="*.parquet")))
     schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
     assert schemas and "path" in schemas[0] and "content" not in schemas[0]
+
+
+def test_first_landing_limits_before_the_shuffle_and_leaves_rows_without_identity_alone(spark):
+    msgs = I.event_messages(I.table(spark, SF, "events"))
+    landed = land_events(event_columns(msgs), F.lit(dt.datetime(2031, 7, 4)))
+    plan = _plan(first_landing(landed))
+    assert plan.count("WindowGroupLimit (") >= 2            # partial and final
+    none = landed.withColumn("sequenceNumber", F.lit(None).cast("long"))
+    assert first_landing(none).count() == none.count()
+
+
+def test_conformed_day_queries_read_one_day(spark, work):
+    msgs = I.event_messages(I.table(spark, SF, "events"))
+    good, _ = conform(spark, land_events(event_columns(msgs), F.lit(dt.datetime(2031, 7, 4))), I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
+    append_conformed(good, f"{work}/conformed")
+    day = read_table(spark, f"{work}/conformed", schema=CONFORMED_EVENTS).where("ingest_date = DATE'2031-07-04'")
+    assert day.count() == good.count()
+    assert any(line.startswith("PartitionFilters") and "ingest_date" in line for line in _plan(day).splitlines())
+
+
+def test_upsert_without_arrays_is_one_ranking(spark, work, monkeypatch):
+    """Ranking, guard and merge read the batch once and shuffle once."""
+    from strata.operators import upsert
+    spec = EntitySpec(name="T", key="k", buckets=4, ties=())
+    rows = spark.range(200).select(F.struct(F.lit("2031-01-01").alias("PublicationDate")).alias("MetaData"), F.col("id").alias("k"))
+    rows.write.parquet(f"{work}/rows")
+    batch = spark.read.parquet(f"{work}/rows")
+    publish_entity(spark, batch, spec, work, stamp=F.lit(None).cast("timestamp"))
+    plans = []
+    real = upsert.commit_buckets
+    monkeypatch.setattr(upsert, "commit_buckets", lambda s, content, *a: (plans.append(_plan(content)), real(s, content, *a)))
+    publish_entity(spark, batch, spec, work, stamp=F.lit(None).cast("timestamp"))
+    assert len(plans) == 1 and merge_newest is upsert.merge_newest
+    details = plans[0].split("(1) ", 2)[-1]
+    assert plans[0].count("/rows]") == 1 and "Join" not in plans[0]
+    assert sum(line.strip().endswith("Window") or "] Window" in line for line in details.splitlines()) <= 1
+    assert spark.read.parquet(f"{work}/T").count() == 200
+
+
+def test_conformance_parses_each_document_once(spark):
+    docs = spark.range(5).select(F.to_json(F.struct("id")).alias("document"))
+    assert _plan(conformance_counts(docs, CONFORMED_EVENTS)).count("from_json") == 1

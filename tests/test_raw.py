@@ -1,4 +1,4 @@
-"""Raw landing: the reference's three raw-job tests, re-aimed, plus broken bodies."""
+"""Raw landing: path and stamp of a document, empty batches, extra columns, broken bodies."""
 
 import datetime as dt
 import json
@@ -11,44 +11,33 @@ from strata.sources.raw import read_raw, write_raw
 from strata.sources.tables import path_exists
 from strata.streaming.jobs import _skip_empty
 
-STAMP = dt.datetime(2025, 3, 11, 14, 52, 53)
+STAMP = dt.datetime(2031, 7, 4, 5, 6, 7)
+EVENTS = "decoded_body string, partition int, sequenceNumber int"
 
 
-def test_one_event_path_and_document(spark):
-    df = spark.createDataFrame(
-        [(json.dumps({"Type": "Instrument", "data": "sample_data"}), 0, 1)],
-        "decoded_body string, partition int, sequenceNumber int")
-    row = land_events(df, F.lit(STAMP)).select(
-        "*", raw_document_path("/path/to/output", "event_type", "BronzeCreatedAt", "partition",
-                               "sequenceNumber").alias("path")).first()
-    assert row["path"] == "/path/to/output/instrument/2025/03/11/event_0_1.json"
-    doc = json.loads(row["document"])
-    assert list(doc.items()) == [("Type", "Instrument"), ("data", "sample_data"),
-                                 ("BronzeCreatedAt", "2025-03-11T14:52:53")]
-    assert row["ingest_date"] == dt.date(2025, 3, 11)
+def test_path_and_document_follow_type_and_stamp(spark):
+    body = json.dumps({"Type": "BOND", "coupon": 2.5, "legs": []})
+    landed = land_events(spark.createDataFrame([(body, 3, 77)], EVENTS), F.lit(STAMP))
+    path = raw_document_path("/lake/", "event_type", "BronzeCreatedAt", "partition", "sequenceNumber")
+    row = landed.select("*", path.alias("path")).first()
+    assert row["path"] == "/lake/bond/2031/07/04/event_3_77.json" and row["ingest_date"] == STAMP.date()
+    assert json.loads(row["document"]) == {"Type": "BOND", "coupon": 2.5, "legs": [], "BronzeCreatedAt": "2031-07-04T05:06:07"}
 
 
-def test_empty_batch_writes_nothing(spark, work):
-    empty = spark.createDataFrame([], "decoded_body string, sequenceNumber int, partition int")
-    called = []
-    handler = _skip_empty(lambda b, i: called.append(i), "raw")
-    handler(empty, 1)
-    assert called == []
-    assert not path_exists(spark, f"{work}/raw")
+def test_a_batch_without_rows_calls_no_writer(spark, work):
+    seen = []
+    _skip_empty(lambda batch, n: seen.append(n), "raw")(spark.createDataFrame([], EVENTS), 4)
+    assert not seen and not path_exists(spark, f"{work}/raw")
 
 
-def test_two_row_batch_drops_extra_columns_and_stamps(spark, work):
-    rows = [(json.dumps({"Type": "Instrument", "data": "sample_data_1"}).encode(), 1, 0, ""),
-            (json.dumps({"Type": "Instrument", "data": "sample_data_2"}).encode(), 2, 1, "")]
-    df = spark.createDataFrame(rows, "body binary, sequenceNumber int, partition int, other_col string")
-    events = event_columns(df)
-    assert events.columns == ["decoded_body", "partition", "sequenceNumber"]
+def test_only_identity_and_document_reach_the_raw_zone(spark, work):
+    rows = [(json.dumps({"Type": t}).encode(), p, n, "note") for t, p, n in (("Fund", 2, 9), ("Bond", 1, 8), ("Fund", 2, 10))]
+    events = event_columns(spark.createDataFrame(rows, "body binary, partition int, sequenceNumber int, remark string"))
     write_raw(land_events(events), f"{work}/raw")
-    out = read_raw(spark, f"{work}/raw").orderBy("sequenceNumber").collect()
-    assert [(r.partition, r.sequenceNumber, r.event_type) for r in out] == [(0, 1, "instrument"),
-                                                                          (1, 2, "instrument")]
-    assert all(isinstance(r.BronzeCreatedAt, dt.datetime) for r in out)
-    assert "other_col" not in read_raw(spark, f"{work}/raw").columns
+    zone = read_raw(spark, f"{work}/raw")
+    assert not {"remark", "body"} & set(zone.columns)
+    assert {(r.event_type, r.partition, r.sequenceNumber) for r in zone.collect()} == {("fund", 2, 9), ("bond", 1, 8), ("fund", 2, 10)}
+    assert zone.where("BronzeCreatedAt IS NULL").count() == 0
 
 
 def test_broken_bodies(spark):
@@ -64,7 +53,7 @@ def test_broken_bodies(spark):
     assert out[4].event_type == "unknown"
     doc5 = json.loads(out[5].document)
     assert out[5].event_type == "bond"
-    assert doc5["BronzeCreatedAt"] == "2025-03-11T14:52:53" and doc5["n"] == {"q": [1, 2]}
+    assert doc5["BronzeCreatedAt"] == "2031-07-04T05:06:07" and doc5["n"] == {"q": [1, 2]}
     assert list(doc5) == ["Type", "n", "BronzeCreatedAt"]
 
 
@@ -75,6 +64,6 @@ def test_repeated_keys_do_not_fail_the_batch(spark):
     out = {r.sequenceNumber: r for r in land_events(df, F.lit(STAMP)).collect()}
     # first position, last value -- as a JSON loader reads repeated keys
     assert list(json.loads(out[0].document).items()) == [("a", 2), ("Type", "Bond"),
-                                                          ("BronzeCreatedAt", "2025-03-11T14:52:53")]
+                                                          ("BronzeCreatedAt", "2031-07-04T05:06:07")]
     assert out[0].event_type == "bond" and out[1].event_type == "equity"
     assert out[2].event_type == "bond" and all(r.stamped for r in out.values())

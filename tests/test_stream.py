@@ -20,7 +20,7 @@ def expected_latest(spark):
 
 
 def test_raw_to_serving_streams(spark):
-    run = run_event_streams(spark, SF, reuse=False)
+    run = run_event_streams(spark, SF)
     main = read_main(spark, f"{run.serving}/{EVENT_SPEC.name}")
     assert sorted((r.user_id, r.event_id) for r in main.collect()) == expected_latest(spark)
     assert spark.read.parquet(run.conformed).count() == I.table(spark, SF, "events").count()
@@ -68,3 +68,10 @@ def test_one_off_run_without_checkpoint(spark, work):
     import glob
     root = spark.sparkContext.getCheckpointDir().replace("file:", "")
     assert glob.glob(f"{root}/strata/checkpoint-stream-*/commits")
+
+
+def test_a_layer_that_is_not_finished_in_time_stops_the_run(spark):
+    before = len(spark.streams.active)
+    with pytest.raises(TimeoutError):
+        run_event_streams(spark, SF, upto="raw", timeout_s=0.01)
+    assert len(spark.streams.active) == before
