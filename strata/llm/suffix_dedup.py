@@ -303,7 +303,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     data: Column = F.coalesce(docs["text"].cast("binary"), F.lit(b""))
     doc_id = docs["doc_id"].cast("long")
     return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NO_ID)).alias("id"),
-                       F.xxhash64(data).alias("tag"), data.alias("data"))
+                       F.hash(data).cast("long").alias("tag"), data.alias("data"))
 
 
 def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -330,17 +330,17 @@ def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     cuts = (wanted.groupBy(F.col("id").alias("ci"), F.col("tag").alias("ct"))
             .agg(F.collect_list(F.struct("h", "start", "n", "hot")).alias("all_cuts")))
     cuts = materialise(cuts, "cuts")
-    # both joins with the texts deal them alike, so Spark shuffles them once
+    # both joins deal the texts alike (same columns, same keys), so Spark shuffles them once
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartition(parts, "id", "tag")
-    holding = dealt.join(cuts, (F.col("id") == F.col("ci")) & (F.col("tag") == F.col("ct")), "left")
+    holding = dealt.join(cuts, (F.col("id") == F.col("ci")) & (F.col("tag") == F.col("ct")))
     cold = F.transform(F.filter("all_cuts", lambda s: ~s["hot"]), lambda s: F.struct(s["h"], s["start"], s["n"]))
     hot = F.transform(F.filter("all_cuts", lambda s: s["hot"]), lambda s: F.struct(s["h"], s["start"], s["n"]))
-    sorted_ = (holding.select("id", "tag", "data", cold.alias("cuts")).mapInArrow(cut_segments, CUT)
+    sorted_ = (holding.select("doc_id", "id", "tag", "data", cold.alias("cuts")).mapInArrow(cut_segments, CUT)
                .repartition(parts, "h").sortWithinPartitions("h", "id", "tag", "start").mapInArrow(search_shards, RANGES))
     ranges = copies.select("id", "tag", "start", "end").union(sorted_)
     if shard.filter("hot").limit(1).count():
-        windows = (holding.select("id", "tag", "data", hot.alias("cuts")).mapInArrow(cut_segments, CUT)
+        windows = (holding.select("doc_id", "id", "tag", "data", hot.alias("cuts")).mapInArrow(cut_segments, CUT)
                    .mapInArrow(cut_windows, WINDOWS))
         windows = materialise(windows, "windows")
         least = windows.groupBy(F.col("wd").alias("lw")).agg(F.min(F.struct("id", "tag", "start")).alias("l"))
