@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from strata.llm.common import ids_and_bytes, no_cycle_collection, slices
 
 WIDEST = 128
-REMEMBERED = 500_000
-BATCH_BYTES = 4_000_000
+REMEMBERED = 200_000
+BATCH_BYTES = 2_000_000
 TREE_CELLS = 1 << 16            # pieces merged at a time, times their width
 POSITION_BITS = 32              # of a key of one long piece: rank, then position
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -47,8 +47,8 @@ SYMBOLS, BITS = 6, 16
 MISSED = 1e-6
 SEED = 41
 BLOCK = 100_000
-BATCH_BYTES = 4_000_000
-REMEMBERED = 500_000
+BATCH_BYTES = 2_000_000
+REMEMBERED = 100_000
 SIGNED = "doc_id long, n_shingles long, digest binary, sig binary"
 KEYS = "key long, cid long"
 LINKS = "a long, b long"
