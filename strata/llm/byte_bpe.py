@@ -11,8 +11,8 @@ Pieces of up to ``WIDEST`` bytes are merged many at a time: their trees are
 rows of one array and every step works on the rows that still have a pair.
 Longer pieces use the same tree one by one (n merges of log n steps), so a
 piece of a hundred thousand letters is no trouble. Pieces repeat, so each
-Python worker remembers those it has merged, up to ``REMEMBERED``; the memory
-is emptied when full and only saves time.
+task remembers those it has merged, up to ``REMEMBERED``; the memory is emptied
+when full and at the task's end, and only saves time.
 
 Defined results: NULL and empty texts have no tokens (the digests are those of
 the empty string); the split needs no special tokens, their strings are
@@ -206,7 +206,7 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-#: One encoder per worker process and vocabulary, so that its memory outlives a batch.
+#: One encoder per worker process and vocabulary: its tables are made once.
 _ENCODERS: dict[tuple[bytes, str], Bpe] = {}
 
 
@@ -223,10 +223,13 @@ class Encoder:
         return _ENCODERS[at]
 
     def parts(self, batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for part in slices(batch, "data", BATCH_BYTES):
-                yield part.column("doc_id"), [x.decode("utf-8", "replace")
-                                              for x in part.column("data").to_pylist()]
+        try:
+            for batch in batches:
+                for part in slices(batch, "data", BATCH_BYTES):
+                    yield part.column("doc_id"), [x.decode("utf-8", "replace")
+                                                  for x in part.column("data").to_pylist()]
+        finally:
+            self.bpe().known.clear()        # a worker lives on; what it remembered need not
 
     @no_cycle_collection
     def tokens(self, batches):
