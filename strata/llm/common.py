@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import checkpoint_root
@@ -71,6 +71,22 @@ def long_array(col: pa.Array) -> pa.Array:
     return col.cast(pa.int64())
 
 
+SALTS = 256
+
+
+def least_of_each(rows: DataFrame, key: str, order: list, limit: int, rank: str = "r") -> DataFrame:
+    """The ``limit`` first rows of each key by a hash of ``order``, with their rank.
+    A rank over salted keys comes first: what the partitions' own limits let
+    through of a hot key is dealt over ``SALTS`` tasks, and at most ``SALTS * limit``
+    rows of a key meet in the last rank."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(F.lit(1), *order), F.lit(SALTS)))
+    by = [F.xxhash64(*order), *order]
+    for keys in ([key, "__salt"], [key]):
+        window = Window.partitionBy(*keys).orderBy(*by)
+        salted = salted.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
+    return salted.drop("__salt")
+
+
 def no_cycle_collection(generator):
     """For generators that make many small tuples and lists, none of them in a
     cycle: Python's cycle collector would walk them again and again."""

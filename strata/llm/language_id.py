@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ids_and_bytes, joined_bytes, offsets, slices
+from strata.llm.common import ids_and_bytes, joined_bytes, least_of_each, offsets, slices
 
 SIZES = (2, 3, 4)
 SLOTS = 1 << 18
@@ -150,15 +150,14 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("data"),
                        docs["lang"].alias("lang"))
     known = rows.filter(F.col("lang").isNotNull() & F.col("data").isNotNull() & ~held_out(F.col("doc_id")))
-    # a partial limit runs before the shuffle, so a language of most rows is no hot spot
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("lang", "doc_id").withColumn("r", rank).filter(F.col("r") <= sample_rows)
+    chosen = least_of_each(known.select("lang", "doc_id"), "lang", ["doc_id"], sample_rows)
     chosen = chosen.select(F.col("doc_id").alias("chosen_id")).distinct()
     sample = known.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("lang", "data")
     counted = (sample.mapInArrow(_sample_counts, COUNTS).groupBy("lang", "gram")
                .agg(F.sum("n").alias("n")))
-    every = Window.partitionBy("lang")
-    counted = counted.withColumn("share", F.col("n") / F.sum("n").over(every))
+    total = counted.groupBy(F.col("lang").alias("tl")).agg(F.sum("n").alias("total"))
+    counted = counted.join(F.broadcast(total), F.col("lang") == F.col("tl"))    # a row a language
+    counted = counted.withColumn("share", F.col("n") / F.col("total"))
     best = F.max("share").over(Window.partitionBy("gram"))
     kept = (counted.withColumn("best", best).filter((F.col("n") >= LEAST) & (F.col("share") * RATIO >= F.col("best")))
             .groupBy("lang").agg(F.sum("n").alias("n"), F.collect_list("gram").alias("grams"))).collect()
