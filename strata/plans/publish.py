@@ -14,6 +14,7 @@ a half-written swap.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +23,24 @@ from strata.operators.flatten import (array_columns, child_table_name, drop_arra
                                       explode_child, flatten_structs, tombstones)
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, check_layout, merge_newest,
-                                     read_buckets, replace_children, touched_buckets, upsert_main)
+                                     read_buckets, replace_children, stored_layout, touched_buckets, upsert_main)
 from strata.plans.spec import EntitySpec
 from strata.sources.tables import remove_path
 
 STAGING = "_staging"
 QUERY_ID_PROPERTY = "sql.streaming.queryId"   # set by Spark while a micro-batch runs
 QUARANTINE = "_quarantine"
+MOST_BUCKETS = 100_000        # an estimate that is far off must not make millions of folders
+
+
+def sized(spark: SparkSession, spec: EntitySpec, root: str, batch: DataFrame) -> EntitySpec:
+    """The spec with a bucket count: its own, the table's, or for a new table one
+    from the batch's size as Spark estimates it."""
+    if spec.buckets is not None:
+        return spec
+    stored = stored_layout(spark, f"{root.rstrip('/')}/{spec.name}").get("buckets")
+    size = int(str(batch._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return replace(spec, buckets=stored or min(MOST_BUCKETS, max(1, -(-size // spec.bucket_bytes))))
 
 
 def main_table(spec: EntitySpec, root: str) -> BucketedTable:
@@ -99,6 +111,7 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
         raise ValueError(f"business key {spec.key!r} is not a top-level column of the batch "
                          f"(columns: {batch.columns})")
     root = root.rstrip("/")
+    spec = sized(spark, spec, root, batch)
     query = spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
     if batch_id is not None:
         # the streaming query's id survives restarts from the same checkpoint and

@@ -20,7 +20,9 @@ class EntitySpec:
     ties: tuple[str, ...] = ("MetaData_BronzeCreatedAt", "MetaData_SourcePartition",
                              "MetaData_SourceSequenceNumber")
     parse_order: bool = True                   # string order columns are stamps: parsed first
-    buckets: int = 16                          # main table key buckets
+    buckets: int | None = None                 # main table key buckets; None: from the first batch's
+                                               # size (``bucket_bytes`` each), then fixed with the table
+    bucket_bytes: int = 256 << 20
     child_buckets: int | None = None           # child tables (default: same as main)
     child_files_per_bucket: int = 1            # writers per child bucket (heavy parents)
     delete_when: str | None = None             # SQL predicate on the flattened batch
