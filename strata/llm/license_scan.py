@@ -5,13 +5,17 @@ lines. A unit is normalised (A-Z lower-cased, words of letters, digits and
 non-ASCII characters) to its set U of word bigrams; with a template's set T its
 Dice coefficient is 2|U and T| / (|U| + |T|). As |U and T| is at most the smaller
 size, only templates of sizes from |U| t/(2-t) to |U| (2-t)/t can reach t: the
-templates lie sorted by size and these bounds cut out the candidates. A unit that
-shares no bigram with any template has no candidate at all, which for nearly
-all documents ends the scan at the whole text.
+templates lie sorted by size and these bounds cut out the candidates. A unit is left
+at once if the bigrams that it shares with all templates together are too few for
+the least candidate, and a document if they are too few for each template.
 
 Each unit names its best template (the first by name among equals) if that reaches
-``THRESHOLD``. Texts are read in one map without a shuffle; the templates are a
-few kilobytes, fixed.
+``THRESHOLD``. The templates are short notices, standard file headers and full texts,
+fixed (150 kB); marks of comments are no words, so that they don't count. Texts are
+read in one map without a shuffle.
+
+A unit is a whole text, paragraph or line: of a notice within a longer line or
+paragraph, or of several in one line, each is not looked for.
 
 Defined results: NULL and empty texts, and units of fewer than two words, match
 nothing; without a match ``licenses`` and ``best`` are empty and ``best_dice`` is 0;
@@ -30,13 +34,14 @@ from pyspark.sql import DataFrame
 
 from strata.llm.common import ids_and_bytes
 from strata.llm.decontaminate import words_of
+from strata.llm.license_texts import TEXTS
 
 THRESHOLD = 0.8
 FOUND = "doc_id long, n_units long, licenses string, best string, best_dice double"
 PARAGRAPH = re.compile(rb"\n[ \t\r]*\n")
 
 # Notices of common licences, by SPDX name.
-TEMPLATES = {
+NOTICES = {
     "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.",
                  "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                  "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
@@ -77,6 +82,8 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+TEMPLATES = {name: notices + TEXTS.get(name, []) for name, notices in NOTICES.items()}
+
 
 def bigrams(words: list[bytes]) -> set[tuple[bytes, bytes]]:
     return set(zip(words, words[1:]))
@@ -89,6 +96,8 @@ class Scan:
         self.templates = sorted(((len(b), name, b) for b, name in own), key=lambda t: t[:2])
         self.sizes = [size for size, _, _ in self.templates]
         self.every = frozenset().union(*(b for _, _, b in self.templates))
+        #: so many of a template's bigrams are in every unit that reaches the threshold
+        self.least = [size * threshold / (2 - threshold) - 1e-9 for size in self.sizes]
 
     def best(self, unit: bytes) -> tuple[float, str] | None:
         """(Dice, name) of the best template that reaches the threshold."""
@@ -99,12 +108,16 @@ class Scan:
         size, t = len(bigrams(words)), self.threshold
         low = bisect_left(self.sizes, size * t / (2 - t) - 1e-9)
         high = bisect_right(self.sizes, size * (2 - t) / t + 1e-9)
+        if low >= high or 2.0 * len(shared) / (size + self.sizes[low]) < t:
+            return None
         dice = [(2.0 * len(shared & b) / (size + n), name) for n, name, b in self.templates[low:high]]
         return min((d for d in dice if d[0] >= t), key=lambda d: (-d[0], d[1]), default=None)
 
     def document(self, data: bytes) -> list[tuple[float, str]]:
         words = words_of(data)
-        if self.every.isdisjoint(zip(words, words[1:])):
+        shared = self.every.intersection(zip(words, words[1:]))
+        fit = self.templates[:bisect_right(self.least, len(shared))]
+        if not any(len(shared & b) >= least for (_, _, b), least in zip(fit, self.least)):
             return []
         lines, paragraphs = data.split(b"\n"), PARAGRAPH.split(data)
         units = [data] + (paragraphs if len(paragraphs) > 1 else []) + (lines if len(lines) > 1 else [])

@@ -33,5 +33,21 @@ def test_matches_brute_force(spark):
     assert all(n > 0 for i, n, *_ in got if i is not None and 1000 <= i < 3000)
 
 
+def test_full_texts_and_commented_file_headers(spark):
+    from strata.llm.license_texts import TEXTS
+    lines = lambda t, k: [" ".join(t.split()[i: i + k]) for i in range(0, len(t.split()), k)]
+    rows, names = [], {}
+    for name, texts in TEXTS.items():
+        for text in texts:
+            for form in ("Copyright (c) 2020 A. Holder\n\n" + "\n".join(lines(text, 11)),
+                         "# Copyright 2020 A. Holder\n#\n" + "\n".join("# " + x for x in lines(text, 11)) + "\n\nimport os\n\nprint(os.name)\n"):
+                names[len(rows)] = name
+                rows.append((len(rows), form))
+    got = {r["doc_id"]: r for r in S.scan(frame(spark, rows)).collect()}
+    assert {i: r["best"] for i, r in got.items()} == names
+    headers = {"Apache-2.0", "GPL-3.0", "BSD-3-Clause", "MIT", "MPL-2.0"}
+    assert headers <= {r["best"] for r in got.values() if r["best_dice"] > 0.8}
+
+
 def test_empty_table(spark):
     assert collected(S.scan(frame(spark, []))) == []
