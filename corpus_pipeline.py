@@ -6,7 +6,7 @@ writes every stage's result to the shared checkpoint folder and reads it again,
 so a lost executor costs a stage's tasks and not the pipeline.
 
 A quality model without labels rejects nothing; of exact copies the row with the
-largest doc_id stays, of near copies the one with the smallest; documents that
+largest doc_id stays (one of rows that repeat it with that text), of near copies the one with the smallest; documents that
 hold a passage of the benchmark go as a whole. Empty tables give empty results.
 """
 
@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_one(docs, exact_dedup.exact_dedup(docs, keep="largest"))
+    return exact_dedup.keep_rows(docs, exact_dedup.exact_dedup(docs, keep="largest"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -142,3 +142,20 @@ def keep_one(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     dropped = (verdicts.groupBy(F.col("doc_id").alias("__dropped")).agg(F.max("kept").alias("__kept"))
                .filter(~F.col("__kept")))
     return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("__dropped")), "left_anti")
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``docs`` (all columns) without the rows that a verdict table (doc_id, text_sha256,
+    kept) drops, told by id and text; of rows that repeat a kept id and text, one
+    stays (the least by its columns)."""
+    judged = (verdicts.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+              .agg(F.max("kept").alias("__kept"), F.count("*").alias("__n")))
+    judged = materialise(judged.filter(~F.col("__kept") | (F.col("__n") > 1)), "judged")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    digest = F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), upper, upper.lower()).cast("binary"), 256)
+    rows = docs.select("*", digest.alias("__digest"))
+    same = rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha"))
+    once = rows.join(judged, same, "left_anti").select(*docs.columns)
+    repeated = rows.join(judged.filter("__kept"), same, "left_semi")
+    least = repeated.groupBy("doc_id", "__digest").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return once.union(least.select("__row.*"))

@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from strata.llm import exact_dedup as X
-from tests.llm.helpers import by_text, collected, edge_rows, frame, lower
+from tests.llm.helpers import SF, by_text, collected, edge_rows, frame, lower
 
 
 def brute(rows, largest=True):
@@ -45,6 +45,15 @@ def test_an_id_with_a_kept_row_stays(spark):
     assert sorted(r["doc_id"] for r in X.keep_one(df, X.exact_dedup(df)).collect()) == [1, 1, 2]
 
 
+def test_the_pipeline_keeps_one_row_a_text_where_ids_are_repeated(spark):
+    import corpus_pipeline
+    rows = [(5, "A text"), (5, "b"), (9, "B"), (7, "c"), (7, "c"), (7, "C"), (None, "d"), (None, "d"), (3, None), (3, ""), (4, "é")]
+    left = corpus_pipeline.exact(spark, frame(spark, rows).repartition(3), SF)
+    assert left.columns == frame(spark, []).columns
+    assert by_text((r["doc_id"], lower(r["text"] or "")) for r in left.collect()) == by_text(
+        [(5, "a text"), (9, "b"), (7, "c"), (None, "d"), (3, ""), (4, "é")])
+
+
 def test_empty_table(spark):
     assert collected(X.exact_dedup(frame(spark, []))) == []
 
