@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import byte_bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan, minhash, pii, quality_fm, suffix_dedup
+from strata.llm import (byte_bpe, decontaminate, exact_dedup, filter_audit, html_extract, language_id, license_scan, minhash,
+                        piece_bpe, pii, quality_fm, spelling, suffix_dedup)
 from strata.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +143,84 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# The checksum's table follows from its rule (CRC-32, reflected polynomial 0xEDB88320).
+OP11_SQL = rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+                              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS c
+         FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+               FROM documents) GROUP BY doc_id, run),
+bytes AS (SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+sums AS (SELECT run, c, xor(4294967295, list_reduce(
+             list_concat([4294967295], list_transform(range(len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+             lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h FROM bytes, crc),
+written AS (SELECT CASE WHEN h % {spelling.NOISE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+            FROM sums),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM written GROUP BY word
+          HAVING length(word) >= {spelling.LEAST_LENGTH} AND sum(c) >= {spelling.LEAST_COUNT}),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest WHERE a.word <> b.word
+          UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+near AS (SELECT p.word, count(*) AS n_near, (array_agg(p.other ORDER BY o.n DESC, p.other))[1] AS best, max(o.n) AS best_n
+         FROM pairs p JOIN words o ON p.other = o.word GROUP BY p.word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= {spelling.RATIO} * w.n THEN best END AS form,
+                 CASE WHEN best_n >= {spelling.RATIO} * w.n THEN best_n END AS form_n
+          FROM words w LEFT JOIN near ON w.word = near.word),
+chain AS (SELECT word, word AS last, 0 AS depth FROM forms
+          UNION ALL SELECT c.word, f.form, c.depth + 1 FROM chain c JOIN forms f ON c.last = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, max_by(last, depth) AS root FROM chain GROUP BY word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r ON f.word = r.word
+"""
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT doc_id, part, CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+             + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS INT)
+             + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+             + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS mask FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+counts AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+           FROM m LEFT JOIN l ON m.doc_id = l.doc_id GROUP BY part, mask),
+bits AS (SELECT unnest(range(5)) AS i),
+orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM bits a JOIN bits b ON b.i <> a.i JOIN bits c ON c.i NOT IN (a.i, b.i)
+           JOIN bits d ON d.i NOT IN (a.i, b.i, c.i) JOIN bits e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+steps AS (SELECT list_aggregate(list_transform(o, lambda x: chr(CAST(65 + x AS INT))), 'string_agg', '') AS filter_order, step,
+                 CAST(1 << o[step] AS INT) AS bit,
+                 CAST(coalesce(list_sum(list_transform(o[1:step - 1], lambda x: 1 << x)), 0) AS INT) AS before
+          FROM (SELECT o, unnest(range(1, 6)) AS step FROM orders)),
+told AS (SELECT part, filter_order, step, bit,
+                sum(CASE WHEN mask & (before + bit) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+         FROM counts, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM told
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -152,6 +232,9 @@ QUERIES = {
     "op8_quality_fm": op8_quality_fm,
     "op9_html_extract": op9_html_extract,
     "op10_near_dedup": op10_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
@@ -159,4 +242,6 @@ ORACLES = {
     "op2_suffix_dedup": OP2_SQL,
     "op4_license_scan": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

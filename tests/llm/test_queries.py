@@ -33,7 +33,7 @@ def test_all_are_registered():
     import __spark_entry__ as E
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLES) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
