@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import ids_and_bytes, materialise
@@ -136,26 +136,22 @@ def exact_dedup(docs: DataFrame, keep: str = "largest", fan_in: int = FAN_IN) ->
         F.lower(F.hex(F.col("d.digest"))).alias("text_sha256"))
 
 
-def keep_one(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` (all columns) without the documents of which a verdict table
-    (doc_id, kept) keeps no row. An id that has a kept row stays."""
-    dropped = (verdicts.groupBy(F.col("doc_id").alias("__dropped")).agg(F.max("kept").alias("__kept"))
-               .filter(~F.col("__kept")))
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("__dropped")), "left_anti")
-
-
 def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the rows that a verdict table (doc_id, text_sha256,
-    kept) drops, told by id and text; of rows that repeat a kept id and text, one
-    stays (the least by its columns)."""
-    judged = (verdicts.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-              .agg(F.max("kept").alias("__kept"), F.count("*").alias("__n")))
-    judged = materialise(judged.filter(~F.col("__kept") | (F.col("__n") > 1)), "judged")
+    kept) drops, told by id and by the digest of the text with A-Z lower-cased; of
+    rows that repeat an id and a text one stays (by a hash of its other columns).
+
+    The texts are dealt once, by id and digest: the rank among repeated rows and the
+    join with the dropped ones use the same deal. A row that repeats very often
+    reaches it once a task. The columns travel in one struct, so any names and types
+    may be among them; a NULL id is an id of its own and a NULL text an empty one."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    digest = F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), upper, upper.lower()).cast("binary"), 256)
-    rows = docs.select("*", digest.alias("__digest"))
-    same = rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha"))
-    once = rows.join(judged, same, "left_anti").select(*docs.columns)
-    repeated = rows.join(judged.filter("__kept"), same, "left_semi")
-    least = repeated.groupBy("doc_id", "__digest").agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return once.union(least.select("__row.*"))
+    who = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("who")
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), upper, upper.lower())
+    others = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != "text"]))
+    rows = docs.select(who, F.sha2(text.cast("binary"), 256).alias("sha"),
+                       F.xxhash64(others).alias("tie"), F.struct("*").alias("row"))
+    first = F.row_number().over(Window.partitionBy("who", "sha").orderBy("tie"))
+    rows = rows.withColumn("first", first).filter("first = 1")
+    dropped = verdicts.filter(~F.col("kept")).select(who, F.col("text_sha256").alias("sha")).distinct()
+    return rows.join(dropped, ["who", "sha"], "left_anti").select("row.*")

@@ -49,7 +49,7 @@ SEED = 41
 BLOCK = 100_000
 BATCH_BYTES = 2_000_000
 REMEMBERED = 100_000
-SIGNED = "doc_id long, n_shingles long, digest binary, sig binary"
+SIGNED = "doc_id long, n_shingles long, digest binary, sig binary, sha binary"
 KEYS = "key long, cid long"
 LINKS = "a long, b long"
 
@@ -124,7 +124,8 @@ class Sign:
         words = _Words()
         for batch in batches:
             for part in slices(batch, "data", BATCH_BYTES):
-                sets = [shingle_set(x, self.size, words) for x in part.column("data").to_pylist()]
+                texts = part.column("data").to_pylist()
+                sets = [shingle_set(x, self.size, words) for x in texts]
                 sizes = np.array([len(s) for s in sets], np.int64)
                 sigs: list[bytes | None] = [None] * len(sets)
                 some = np.flatnonzero(sizes)
@@ -138,7 +139,9 @@ class Sign:
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(sizes),
                     pa.array([set_digest(s) for s in sets], pa.binary()),
-                    pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig"])
+                    pa.array(sigs, pa.binary()),
+                    pa.array([hashlib.sha256(x.lower()).digest() for x in texts], pa.binary())],
+                    names=["doc_id", "n_shingles", "digest", "sig", "sha"])
 
 
 class IndexKeys:
@@ -238,13 +241,18 @@ def tasks_of(members: DataFrame, percent: int, block: int) -> DataFrame:
     return whole.select("task", "cid", "rep", "digest").union(split.select("task", "cid", "rep", "digest"))
 
 
-def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+def judged_rows(docs: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
+    """doc_id, sha, n_shingles, component_id, leads: one row per document. ``leads``
+    marks the one (id, text) that stands for its component: of its least id the text
+    of least digest, so that an id with several texts leads with one."""
     data = ids_and_bytes(docs)
     chunks = chunks_for(percent)
     signed = materialise(data.mapInArrow(Sign(shingle, chunks), SIGNED), "signatures")
+    last = F.lit((1 << 63) - 1)
+    own = F.struct(F.coalesce("doc_id", last).alias("id"), F.col("sha"))
     classes = (signed.filter("n_shingles > 0").groupBy("digest", "n_shingles")
-               .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.count("*").alias("copies"))
+               .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.count("*").alias("copies"),
+                    F.min(own).alias("lead"))
                .withColumn("cid", F.monotonically_increasing_id()))
     classes = materialise(classes, "classes")       # the class numbers are fixed by being written
     groups = candidate_groups(classes, chunks)
@@ -257,12 +265,26 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int
     linked = connected_components(links)
     found = classes.join(linked, F.col("cid") == F.col("node"), "left")
     least = (found.filter("label is not null").groupBy(F.col("label").alias("cl"))
-             .agg(F.min("rep").alias("component_id")))
+             .agg(F.min("rep").alias("component_id"), F.min("lead").alias("first")))
     named = (found.filter("label is not null or copies > 1")
              .join(least, F.col("label") == F.col("cl"), "left")
              .select(F.col("digest").alias("cd"), F.col("n_shingles").alias("cn"),
-                     F.coalesce("component_id", "rep").alias("component")))
-    component = F.when(F.col("cd").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+                     F.coalesce("component_id", "rep").alias("component"), F.coalesce("first", "lead").alias("first")))
+    alone = F.col("cd").isNull()
     return (signed.join(named, (F.col("digest") == F.col("cd")) & (F.col("n_shingles") == F.col("cn")), "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(component).alias("kept")))
+            .select("doc_id", "sha", "n_shingles",
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+                    (alone | (own == F.col("first"))).alias("leads")))
+
+
+def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document."""
+    return judged_rows(docs, shingle, percent, block).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_verdicts(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_sha256, kept: one (id, text) of each component is kept; what
+    ``exact_dedup.keep_rows`` asks for."""
+    return judged_rows(docs, shingle, percent, block).select(
+        "doc_id", F.lower(F.hex("sha")).alias("text_sha256"), F.col("leads").alias("kept"))

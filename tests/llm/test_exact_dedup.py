@@ -32,17 +32,28 @@ def test_rounds_do_not_change_the_result(spark):
     assert by_text(collected(X.exact_dedup(df, fan_in=2))) == by_text(collected(X.exact_dedup(df, fan_in=64)))
 
 
-def test_keep_one_keeps_all_columns_and_one_row_a_text(spark):
+def test_keep_rows_keeps_all_columns_and_one_row_a_text(spark):
     rows = [(1, "a"), (2, "A"), (3, "b"), (5, "a")]
     df = frame(spark, rows)
-    left = X.keep_one(df, X.exact_dedup(df))
+    left = X.keep_rows(df, X.exact_dedup(df))
     assert left.columns == df.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [3, 5]
 
 
-def test_an_id_with_a_kept_row_stays(spark):
+def test_an_id_is_judged_text_by_text(spark):
     df = frame(spark, [(1, "a"), (1, "other"), (2, "a")])
-    assert sorted(r["doc_id"] for r in X.keep_one(df, X.exact_dedup(df)).collect()) == [1, 1, 2]
+    assert sorted((r["doc_id"], r["text"]) for r in X.keep_rows(df, X.exact_dedup(df)).collect()) == [(1, "other"), (2, "a")]
+
+
+def test_columns_of_any_name_and_type_travel_along(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, 'a', map('k', 1), parse_json('{"x": 1}'), array(2), 'w', 's', 1, 'd', true),
+                                           (1, 'a', map('k', 2), parse_json('3'), null, 'w', 's', 1, 'd', true),
+                                           (4, 'A', null, null, null, null, null, null, null, null)
+                      t(doc_id, text, m, v, arr, who, sha, tie, row, first)""")
+    left = X.keep_rows(df, X.exact_dedup(df, keep="smallest"))
+    assert left.columns == df.columns
+    got = left.select("doc_id", "text", "who", "row").collect()
+    assert [tuple(r) for r in got] == [(1, "a", "w", "d")]
 
 
 def test_the_pipeline_keeps_one_row_a_text_where_ids_are_repeated(spark):

@@ -99,3 +99,16 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     want = {x: find(x) for e in edges for x in e if e[0] != e[1]}
     assert dict(collected(connected_components(spark.createDataFrame(edges, "a long, b long")))) == want
+
+
+def test_one_id_and_text_of_a_component_stays_in_the_pipeline(spark):
+    import corpus_pipeline
+    from tests.llm.helpers import SF
+    t = " ".join(f"word{i}" for i in range(60))
+    u = " ".join(f"other{i}" for i in range(60))
+    rows = [(3, t), (3, t + " tail"), (5, t), (5, u), (9, u), (9, u), (None, "one"), (None, "two"), (None, "two"), (7, None), (7, "")]
+    df = frame(spark, rows).repartition(4)
+    left = corpus_pipeline.near(spark, df, SF)
+    assert left.columns == df.columns
+    got = by_text((r["doc_id"], (r["text"] or "").removesuffix(" tail")) for r in left.collect())
+    assert got == by_text([(3, t), (5, u), (None, "one"), (None, "two"), (7, "")])
