@@ -6,8 +6,10 @@ writes every stage's result to the shared checkpoint folder and reads it again,
 so a lost executor costs a stage's tasks and not the pipeline.
 
 A quality model without labels rejects nothing; of exact copies the row with the
-largest doc_id stays (one of rows that repeat it with that text), of near copies the one with the smallest; documents that
-hold a passage of the benchmark go as a whole. Empty tables give empty results.
+largest doc_id stays, of near copies the one with the smallest, both told by id and
+text: an id with several texts is judged text by text, and of rows that repeat an id
+and a text one stays. Documents that hold a passage of the benchmark go as a whole.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_one(docs, minhash.near_dedup(docs))
+    return exact_dedup.keep_rows(docs, minhash.near_verdicts(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
