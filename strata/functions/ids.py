@@ -24,3 +24,19 @@ def row_uid(*parts) -> Column:
 def key_bucket(key, buckets: int) -> Column:
     """Bucket of a business key: ``pmod(xxhash64(key), buckets)``."""
     return F.pmod(F.xxhash64(_c(key)), F.lit(buckets)).cast("int")
+
+
+def linear_bucket(key, buckets: int) -> Column:
+    """Bucket of a business key by linear hashing: the hash's low bits, one bit
+    more for buckets that have been split already. From one count to a larger one,
+    a key stays where it is or moves to one of the buckets that are new."""
+    low = 1 << (buckets.bit_length() - 1)
+    at = F.xxhash64(_c(key)).bitwiseAND(F.lit(2 * low - 1))
+    return F.when(at < buckets, at).otherwise(at - low).cast("int")
+
+
+def split_source(bucket: int, buckets: int) -> int:
+    """The bucket, of ``buckets`` in all, whose keys a later bucket takes."""
+    while bucket >= buckets:
+        bucket -= 1 << (bucket.bit_length() - 1)
+    return bucket

@@ -1,7 +1,7 @@
 """Replay-safe upsert of serving tables on plain Parquet.
 
 No row-level table format is assumed. A serving table is partitioned by
-``_bucket = pmod(xxhash64(key), B)``. A batch touches the buckets of its keys;
+``_bucket``, a hash of the key. A batch touches the buckets of its keys;
 only those are read (partition pruning), the new content of each touched
 bucket is ``old rows whose key is not in the batch`` + ``batch rows``, it is
 written to a staging folder (this cuts lineage, so the target is never read
@@ -11,6 +11,14 @@ delete by key); when the staged copy of a batch is complete it is committed
 again as it is, so a failure in the middle of the swap is repaired by the
 replay.
 
+The number of buckets is fixed with the table (``pmod(xxhash64(key), B)``), or it
+grows with the table's bytes by linear hashing (``bucket_bytes``): when a batch's
+new content is staged, the written bytes tell how many buckets the table needs;
+the next buckets in line are split, and only their rows, staged as well, get another
+address in the same swap. A table that began with one row is a table of any size
+later, no estimate is asked, and no key moves but into a new bucket. The plan of a
+growth lies with the staged copy, so a replay commits the very same one.
+
 Children keep one tombstone row per parent (position NULL) so that no touched
 bucket is ever empty (dynamic overwrite leaves an empty partition's old files
 in place); ``read_children`` hides them.
@@ -20,23 +28,25 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from strata.functions.ids import key_bucket
+from strata.functions.ids import key_bucket, linear_bucket, split_source
 
 from strata.operators.flatten import POSITION_COL, UID_COL
-from strata.sources.tables import (path_exists, read_small_text, read_table, table_exists,
+from strata.operators.monitor import list_files
+from strata.sources.tables import (path_exists, read_small_text, read_table, remove_path, table_exists,
                                    write_small_text)
 
 BUCKET_COL = "_bucket"
 DELETED_COL = "MetaData_Deleted"
 SCHEMA_FILE = "_schema.json"   # hidden from the Parquet reader (leading underscore)
 LAYOUT_FILE = "_layout.json"
+GROWTH_FILE = "_growth.json"
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
@@ -51,18 +61,29 @@ def stored_layout(spark: SparkSession, path: str) -> dict:
     return json.loads(text) if text else {}
 
 
-def check_layout(spark: SparkSession, table: BucketedTable, arrays: list[str] = ()) -> list[str]:
-    """Refuse a table whose stored key or bucket count is another one (rows of a
-    key would lie in two buckets); remember both, and the arrays that ever had a
-    child table, which are returned."""
+def remember_layout(spark: SparkSession, path: str, layout: dict) -> None:
+    write_small_text(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}", json.dumps(layout))
+
+
+def open_table(spark: SparkSession, table: BucketedTable, arrays: list[str] = ()) -> tuple[BucketedTable, list[str]]:
+    """The table with its stored bucket count, and the arrays that ever had a child
+    table. Refuses another key, and another fixed count (rows of a key would lie in
+    two buckets). A table that was made with a fixed count keeps it."""
     old = stored_layout(spark, table.path)
-    for name, now in (("key", table.key), ("buckets", table.buckets)):
-        if old.get(name, now) != now:
-            raise ValueError(f"{table.path}: made with {name} {old[name]!r}, not {now!r}")
+    if old.get("key", table.key) != table.key:
+        raise ValueError(f"{table.path}: made with key {old['key']!r}, not {table.key!r}")
+    if table.bucket_bytes is not None:
+        growing = not old or old.get("growing", False)
+        table = replace(table, buckets=old.get("buckets", 1), bucket_bytes=table.bucket_bytes if growing else None)
+    elif old.get("growing") or old.get("buckets", table.buckets) != table.buckets:
+        made = "a growing number of" if old.get("growing") else old["buckets"]
+        raise ValueError(f"{table.path}: made with {made} buckets, not {table.buckets}")
     new = {"key": table.key, "buckets": table.buckets, "arrays": sorted({*old.get("arrays", []), *arrays})}
+    if table.bucket_bytes is not None:
+        new["growing"] = True
     if new != old:
-        write_small_text(spark, f"{table.path.rstrip('/')}/{LAYOUT_FILE}", json.dumps(new))
-    return new["arrays"]
+        remember_layout(spark, table.path, new)
+    return table, new["arrays"]
 
 
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
@@ -113,9 +134,11 @@ class BucketedTable:
     buckets: int = 16
     files_per_bucket: int = 1  # >1 spreads a heavy bucket over several writers
     spread_col: str | None = None  # column hashed to pick the file inside a bucket
+    bucket_bytes: int | None = None  # the table grows by a bucket for each so many bytes
 
     def bucket_of(self, key_col: Column | None = None) -> Column:
-        return key_bucket(F.col(self.key) if key_col is None else key_col, self.buckets)
+        key = F.col(self.key) if key_col is None else key_col
+        return (key_bucket if self.bucket_bytes is None else linear_bucket)(key, self.buckets)
 
 
 def touched_buckets(batch: DataFrame, table: BucketedTable) -> list[int]:
@@ -151,24 +174,59 @@ def _write_partitioned(df: DataFrame, table: BucketedTable, path: str, mode_dyna
     w.parquet(path)
 
 
+def bucket_sizes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Bytes of every bucket's files, from a listing (one row a bucket)."""
+    if not table_exists(spark, path):
+        return {}
+    bucket = F.regexp_extract("path", f"/{BUCKET_COL}=(\\d+)/[^/]*$", 1)
+    sizes = (list_files(spark, path, glob="*.parquet").groupBy(bucket.alias("b")).agg(F.sum("length").alias("bytes"))
+             .where("b <> ''").collect())
+    return {int(r["b"]): r["bytes"] for r in sizes}
+
+
 def commit_buckets(spark: SparkSession, new_content: DataFrame, table: BucketedTable,
-                   staging: str) -> None:
-    """Stage the full new content of the touched buckets, then swap it in."""
+                   staging: str, touched: list[int]) -> None:
+    """Stage the full new content of the touched buckets, then swap it in. A growing
+    table stages the buckets that are split along with it."""
     _write_partitioned(new_content, table, staging, mode_dynamic=False)
     # the schema first: a stored superset only reads as NULLs, never hides data
     remember_schema(spark, table.path, new_content.schema, stored_schema(spark, table.path))
+    if table.bucket_bytes is not None:
+        stored, staged = bucket_sizes(spark, table.path), bucket_sizes(spark, staging)
+        total = sum(n for b, n in stored.items() if b not in touched) + sum(staged.values())
+        grown = max(table.buckets, -(-total // table.bucket_bytes))
+        split = {split_source(b, table.buckets) for b in range(table.buckets, grown)}
+        others = sorted(split.intersection(stored).difference(touched))
+        if others:
+            read_buckets(spark, table, others).write.mode("append").partitionBy(BUCKET_COL).parquet(staging)
+        plan = {"from": table.buckets, "to": grown, "rewritten": sorted({*touched, *others})}
+        write_small_text(spark, f"{staging.rstrip('/')}/{GROWTH_FILE}", json.dumps(plan))
     recommit_staged(spark, table, staging)
 
 
 def recommit_staged(spark: SparkSession, table: BucketedTable, staging: str) -> None:
-    staged = spark.read.parquet(staging)
-    # files are already one bucket each: no shuffle, one writer per file
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-          .partitionBy(BUCKET_COL).parquet(table.path)
+    """Swap a complete staged copy in; doing it again changes nothing."""
+    plan = json.loads(read_small_text(spark, f"{staging.rstrip('/')}/{GROWTH_FILE}") or "null")
+    if plan is None or plan["from"] == plan["to"]:
+        staged = spark.read.parquet(staging)
+        # files are already one bucket each: no shuffle, one writer per file
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+              .partitionBy(BUCKET_COL).parquet(table.path)
+        return
+    grown = replace(table, buckets=plan["to"])
+    staged = spark.read.schema(stored_schema(spark, table.path)).parquet(staging)
+    staged = staged.withColumn(BUCKET_COL, grown.bucket_of())
+    _write_partitioned(staged, grown, table.path, mode_dynamic=True)
+    # a split may leave its old bucket without rows: an overwrite by partition doesn't see that
+    filled = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
+    for bucket in set(plan["rewritten"]) - filled:
+        remove_path(spark, f"{table.path.rstrip('/')}/{BUCKET_COL}={bucket}")
+    remember_layout(spark, table.path, {**stored_layout(spark, table.path), "buckets": plan["to"]})
 
 
-def staged_complete(spark: SparkSession, staging: str) -> bool:
-    return path_exists(spark, staging.rstrip("/") + "/_SUCCESS")
+def staged_complete(spark: SparkSession, table: BucketedTable, staging: str) -> bool:
+    mark = "_SUCCESS" if table.bucket_bytes is None else GROWTH_FILE
+    return path_exists(spark, f"{staging.rstrip('/')}/{mark}")
 
 
 def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
@@ -185,9 +243,10 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
     given, is a superset of the batch's buckets (saves one pass over the keys).
     ``keys_unique`` skips the ``distinct`` (and its shuffle) when the caller
     knows each key occurs once, as after ``latest_per_key``."""
-    if reuse_staged and staged_complete(spark, staging):
-        remember_schema(spark, table.path, spark.read.parquet(staging).schema,
-                        stored_schema(spark, table.path))
+    if reuse_staged and staged_complete(spark, table, staging):
+        if table.bucket_bytes is None:
+            remember_schema(spark, table.path, spark.read.parquet(staging).schema,
+                            stored_schema(spark, table.path))
         recommit_staged(spark, table, staging)
         return
     keys = batch_keys.select(table.key)
@@ -198,6 +257,9 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
     if not buckets:
         return
     current = read_buckets(spark, table, buckets)
+    if current is None and table.bucket_bytes is not None:
+        commit_buckets(spark, rows, table, staging, buckets)     # its size tells the first bucket count
+        return
     if current is None:
         # First commit: nothing is read while the target is written, and a
         # half-done first commit holds batch rows only, which a replay deletes
@@ -207,7 +269,7 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
         return
     kept = current.join(keys, on=table.key, how="left_anti")
     new_content = kept.unionByName(rows, allowMissingColumns=True)
-    commit_buckets(spark, new_content, table, staging)
+    commit_buckets(spark, new_content, table, staging, buckets)
 
 
 def upsert_main(spark: SparkSession, main_rows: DataFrame, table: BucketedTable,
@@ -224,7 +286,7 @@ def merge_newest(spark: SparkSession, rows: DataFrame, table: BucketedTable, sta
                  buckets: list[int]) -> None:
     """K1 with the guard: the newest of the stored rows of the touched buckets and
     the batch's rows, by one ranking. ``newest(rows, last)`` keeps a row a key."""
-    if reuse_staged and staged_complete(spark, staging):
+    if reuse_staged and staged_complete(spark, table, staging):
         recommit_staged(spark, table, staging)
         return
     if not buckets:
@@ -233,12 +295,15 @@ def merge_newest(spark: SparkSession, rows: DataFrame, table: BucketedTable, sta
     batch = rows.withColumn(BUCKET_COL, table.bucket_of())
     if current is None:
         content = newest(batch, [])
+        if table.bucket_bytes is not None:
+            commit_buckets(spark, content, table, staging, buckets)
+            return
         remember_schema(spark, table.path, content.schema, None)
         _write_partitioned(content, table, table.path, mode_dynamic=True)
         return
     both = (current.withColumn("__new", F.lit(0))
             .unionByName(batch.withColumn("__new", F.lit(1)), allowMissingColumns=True))
-    commit_buckets(spark, newest(both, [F.col("__new")]).drop("__new"), table, staging)
+    commit_buckets(spark, newest(both, [F.col("__new")]).drop("__new"), table, staging, buckets)
 
 
 def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: DataFrame,
@@ -269,4 +334,4 @@ def read_children(spark: SparkSession, path: str) -> DataFrame | None:
 
 __all__ = ["BucketedTable", "BUCKET_COL", "DELETED_COL", "UID_COL", "upsert_main",
            "replace_children", "read_main", "read_children", "touched_buckets",
-           "commit_buckets", "replace_by_key", "merge_newest", "check_layout"]
+           "commit_buckets", "replace_by_key", "merge_newest", "open_table", "bucket_sizes"]

@@ -14,44 +14,35 @@ a half-written swap.
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.flatten import (array_columns, child_table_name, drop_arrays,
+from strata.operators.flatten import (UID_COL, array_columns, child_table_name, drop_arrays,
                                       explode_child, flatten_structs, tombstones)
 from strata.operators.latest import latest_per_key, split_null_keys
-from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, check_layout, merge_newest,
-                                     read_buckets, replace_children, stored_layout, touched_buckets, upsert_main)
+from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, merge_newest, open_table,
+                                     read_buckets, replace_children, touched_buckets, upsert_main)
 from strata.plans.spec import EntitySpec
 from strata.sources.tables import remove_path
 
 STAGING = "_staging"
 QUERY_ID_PROPERTY = "sql.streaming.queryId"   # set by Spark while a micro-batch runs
 QUARANTINE = "_quarantine"
-MOST_BUCKETS = 100_000        # an estimate that is far off must not make millions of folders
-
-
-def sized(spark: SparkSession, spec: EntitySpec, root: str, batch: DataFrame) -> EntitySpec:
-    """The spec with a bucket count: its own, the table's, or for a new table one
-    from the batch's size as Spark estimates it."""
-    if spec.buckets is not None:
-        return spec
-    stored = stored_layout(spark, f"{root.rstrip('/')}/{spec.name}").get("buckets")
-    size = int(str(batch._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return replace(spec, buckets=stored or min(MOST_BUCKETS, max(1, -(-size // spec.bucket_bytes))))
 
 
 def main_table(spec: EntitySpec, root: str) -> BucketedTable:
-    return BucketedTable(f"{root.rstrip('/')}/{spec.name}", spec.key, spec.buckets)
+    """A fixed number of buckets, or one that grows where the spec names none."""
+    return BucketedTable(f"{root.rstrip('/')}/{spec.name}", spec.key, spec.buckets or 1,
+                         bucket_bytes=None if spec.buckets else spec.bucket_bytes)
 
 
 def child_table(spec: EntitySpec, root: str, array_col: str) -> BucketedTable:
-    from strata.operators.flatten import UID_COL
+    buckets = spec.child_buckets or spec.buckets
     return BucketedTable(f"{root.rstrip('/')}/{child_table_name(spec.name, array_col)}",
-                         f"{spec.name}_{spec.key}", spec.child_buckets or spec.buckets,
-                         files_per_bucket=spec.child_files_per_bucket, spread_col=UID_COL)
+                         f"{spec.name}_{spec.key}", buckets or 1,
+                         files_per_bucket=spec.child_files_per_bucket, spread_col=UID_COL,
+                         bucket_bytes=None if buckets else spec.bucket_bytes)
 
 
 def _as_json(rows: DataFrame) -> Column:
@@ -76,17 +67,15 @@ def split_batch(batch: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFram
     return flat.where(~unread), rejects
 
 
-def guard_newer(spark: SparkSession, ranked: DataFrame, spec: EntitySpec, root: str,
-                keys: DataFrame | None = None, buckets: list[int] | None = None) -> DataFrame:
+def guard_newer(spark: SparkSession, ranked: DataFrame, spec: EntitySpec, table: BucketedTable,
+                buckets: list[int] | None = None) -> DataFrame:
     """Q3: drop batch rows whose order tuple is below the stored row's; equal
     tuples pass, so a replay passes. The stored side is read for the touched
-    buckets only (``keys``: the batch keys, cheaper to scan than ``ranked``)."""
+    buckets only."""
     if spec.guard == "none":
         return ranked
-    table = main_table(spec, root)
     if buckets is None:
-        keys = ranked.select(spec.key) if keys is None else keys
-        buckets = touched_buckets(keys, table)
+        buckets = touched_buckets(ranked.select(spec.key), table)
     stored = read_buckets(spark, table, buckets)
     if stored is None:
         return ranked
@@ -111,7 +100,6 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
         raise ValueError(f"business key {spec.key!r} is not a top-level column of the batch "
                          f"(columns: {batch.columns})")
     root = root.rstrip("/")
-    spec = sized(spark, spec, root, batch)
     query = spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
     if batch_id is not None:
         # the streaming query's id survives restarts from the same checkpoint and
@@ -126,8 +114,7 @@ def publish_entity(spark: SparkSession, batch: DataFrame, spec: EntitySpec, root
     flat, rejects = split_batch(batch, spec)
     if not spec.present_order_names(flat):
         raise ValueError(f"{spec.name}: none of the order columns {spec.order + spec.ties} is in the batch")
-    main_t = main_table(spec, root)
-    arrays = check_layout(spark, main_t, array_columns(flat))
+    main_t, arrays = open_table(spark, main_table(spec, root), array_columns(flat))
     # one pass over the key column: the touched buckets, and -1 when any row is rejected
     marks = (flat.select(main_t.bucket_of().alias("b"))
              .union(rejects.select(F.lit(-1).alias("b"))).distinct().collect())
@@ -159,13 +146,12 @@ def _publish_with_children(spark: SparkSession, flat: DataFrame, spec: EntitySpe
                            deleted: Column, reuse: bool, buckets: list[int]) -> None:
     """Rank, guard, then replace the children of each array the table ever had and
     the main rows; all read one written copy of the survivors."""
-    survivors = guard_newer(spark, newest(flat, spec), spec, root, buckets=buckets)
+    survivors = guard_newer(spark, newest(flat, spec), spec, main_t, buckets)
     survivors.withColumn(DELETED_COL, deleted).write.mode("overwrite").parquet(f"{staging}/survivors")
     staged = spark.read.parquet(f"{staging}/survivors")
     uid_parts = tuple(c for c in spec.order if c in staged.columns)
     for a in arrays:
-        table = child_table(spec, root, a)
-        check_layout(spark, table)
+        table, _ = open_table(spark, child_table(spec, root, a))
         if a in staged.columns:
             src = staged.withColumn(a, F.when(~F.col(DELETED_COL), F.col(a)))
             children = explode_child(src, spec.key, a, spec.name, tombstones=True, uid_parts=uid_parts)
@@ -173,7 +159,7 @@ def _publish_with_children(spark: SparkSession, flat: DataFrame, spec: EntitySpe
             # the batch's documents lack the array: the parents have no children any more
             children = tombstones(staged, spec.key, a, spec.name, uid_parts)
         parents = staged.select(F.col(spec.key).alias(table.key))
-        same = table.buckets == main_t.buckets
+        same = (table.buckets, table.bucket_bytes) == (main_t.buckets, main_t.bucket_bytes)
         replace_children(spark, children, parents, table, f"{staging}/{a}", reuse_staged=reuse,
                          buckets=buckets if same else None, parents_unique=True)
     main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)

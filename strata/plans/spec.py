@@ -20,8 +20,8 @@ class EntitySpec:
     ties: tuple[str, ...] = ("MetaData_BronzeCreatedAt", "MetaData_SourcePartition",
                              "MetaData_SourceSequenceNumber")
     parse_order: bool = True                   # string order columns are stamps: parsed first
-    buckets: int | None = None                 # main table key buckets; None: from the first batch's
-                                               # size (``bucket_bytes`` each), then fixed with the table
+    buckets: int | None = None                 # main table key buckets, fixed with the table; None: they
+                                               # grow with it, one for each ``bucket_bytes`` written
     bucket_bytes: int = 256 << 20
     child_buckets: int | None = None           # child tables (default: same as main)
     child_files_per_bucket: int = 1            # writers per child bucket (heavy parents)
