@@ -105,3 +105,10 @@ def observe_rows(df: DataFrame, name: str = "batch") -> tuple[DataFrame, Observa
     """Count rows while the frame is written, without a second pass."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def observed_rows(obs: Observation) -> int:
+    """The rows that ``observe_rows`` counted; 0 where Spark found at run time that the
+    frame is empty and left the counter out of the plan."""
+    row = obs._jo.getRow()
+    return row.getLong(0) if row.length() else 0

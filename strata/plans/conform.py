@@ -8,6 +8,8 @@ which the conformed table is partitioned (A8).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, LongType, StringType, StructField, StructType,
@@ -16,6 +18,9 @@ from pyspark.sql.types import (DateType, LongType, StringType, StructField, Stru
 from strata.functions.docs import STAMP_KEY, parse_stamp
 from strata.operators.contract import CORRUPT, REASON, parse_documents, reject_reason, relax
 from strata.operators.envelope import META, split_envelope
+from strata.operators.intervals import not_in
+from strata.operators.monitor import observe_rows, observed_rows
+from strata.plans.ledger import IdentityLedger
 from strata.sources.tables import append_table, read_table, table_exists
 
 IDENTITY = ("partition", "sequenceNumber")
@@ -54,6 +59,11 @@ def drop_seen(raw: DataFrame, seen: DataFrame | None) -> DataFrame:
     return raw.join(seen, list(IDENTITY), "left_anti")
 
 
+def drop_seen_runs(raw: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Q7 across batches: drop events whose number is in the ledger's runs."""
+    return raw if seen is None else not_in(raw, seen)
+
+
 def seen_conformed(spark: SparkSession, path: str | None) -> DataFrame | None:
     """Identities of a conformed table; only those two fields are read."""
     if not path or not table_exists(spark, path):
@@ -74,10 +84,11 @@ def tag(parsed: DataFrame, contract: StructType) -> DataFrame:
 
 
 def conform_tagged(raw: DataFrame, contract: StructType, seen: DataFrame | None = None,
-                   dedupe: bool = True) -> DataFrame:
-    """Raw rows -> first landings not seen before, parsed and tagged."""
+                   dedupe: bool = True, seen_runs: DataFrame | None = None) -> DataFrame:
+    """Raw rows -> first landings not seen before, parsed and tagged. What was seen comes
+    as identities (``seen``) or as the ledger's runs; those rows go before the ranking."""
     if dedupe:
-        raw = drop_seen(first_landing(raw), seen)
+        raw = first_landing(drop_seen_runs(drop_seen(raw, seen), seen_runs))
     keep = [c for c in ("partition", "sequenceNumber", "document", "source_file") if c in raw.columns]
     return tag(parse_documents(raw.select(*keep), contract, keep=keep), contract)
 
@@ -111,6 +122,40 @@ def conform(spark: SparkSession, raw: DataFrame, contract: StructType, payload:
     return conformed_rows(tagged, payload, stamp), rejected_rows(tagged)
 
 
+def write_conformed(tagged: DataFrame, payload: str, stamp: Column | None, conformed_path: str,
+                    quarantine: str, query: str, batch: str) -> int:
+    """Both routes of one parsed and tagged batch, which is computed once. Rejects
+    replace the folder of their query and batch, so a replay doesn't add to them."""
+    tagged = tagged.persist()
+    try:
+        good, obs = observe_rows(conformed_rows(tagged, payload, stamp), f"conform-{query}-{batch}")  # E7
+        append_conformed(good, conformed_path)
+        bad = rejected_rows(tagged)
+        if bad.take(1):
+            (bad.withColumn("query", F.lit(query)).withColumn("batch", F.lit(batch))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("query", "batch").parquet(quarantine))
+        return observed_rows(obs)
+    finally:
+        tagged.unpersist()
+
+
+def conform_batch(spark: SparkSession, raw: DataFrame, contract: StructType, payload: str, conformed_path: str,
+                  stamp: Column | None = None, query: str = "batch", batch: str | int | None = None) -> int:
+    """K4 in whole: raw rows that the table hasn't taken yet are conformed and appended,
+    rejects quarantined, both entered in the identity ledger; the rows appended. The
+    ledger says what was taken, so no stored row is read, however long the history.
+    The same ``query`` and ``batch`` again is a replay."""
+    run = f"{query}-{uuid.uuid4().hex[:12] if batch is None else batch}"
+    ledger = IdentityLedger(spark, conformed_path)
+    begun = ledger.begin(raw.select(*IDENTITY), run)
+    tagged = conform_tagged(raw, contract, seen_runs=begun.seen)
+    rows = write_conformed(tagged, payload, stamp, conformed_path, ledger.quarantine, query, run.rsplit("-", 1)[-1])
+    begun.release()
+    ledger.commit(run)
+    return rows
+
+
 def conform_documents(parsed: DataFrame, contract: StructType, payload: str,
                       stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """K4 for documents read straight from a JSON folder (``json_documents``):

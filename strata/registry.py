@@ -25,10 +25,12 @@ from strata.operators import serve as S
 from strata.operators.contract import (REASON, conformance_counts, contract_report, enforce, infer_contract,
                                        load_contract, parse_documents, save_contract)
 from strata.operators.envelope import event_columns, land_events, split_envelope
+from strata.operators.intervals import BLOCK_BITS, merged, size
 from strata.operators.latest import latest_per_key, split_null_keys
-from strata.operators.upsert import read_children, read_main
+from strata.operators.upsert import bucket_sizes, read_children, read_main, stored_layout
 from strata.pipeline import BUCKETS, EVENT_SPEC, finish, run_event_streams
-from strata.plans.conform import append_conformed, conform, conform_tagged, conformed_schema, tag
+from strata.plans.conform import append_conformed, conform, conform_batch, conform_tagged, conformed_schema, tag
+from strata.plans.ledger import IdentityLedger
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
@@ -409,9 +411,7 @@ def q_dedupe_replayed_events(spark, sf):
     again = _landed(spark, sf, day2, F.pmod(F.col("sequenceNumber"), F.lit(3)) == 0)
     batch1 = first.unionByName(again.where(F.pmod(F.col("sequenceNumber"), F.lit(2)) == 0))
     for batch in (batch1, again):
-        good, _ = conform(spark, batch, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP),
-                          conformed_path=conformed_path)
-        append_conformed(good, conformed_path)
+        conform_batch(spark, batch, I.EVENT_CONTRACT, I.EVENT_PAYLOAD, conformed_path, F.lit(FIXED_STAMP))
     flat = FL.flatten_structs(read_table(spark, conformed_path, schema=CONFORMED_EVENTS))
     return flat.select("event_id", "user_id", "event_type", "value", "props",
                        "MetaData_BronzeCreatedAt", "MetaData_SourceSequenceNumber")
@@ -423,6 +423,48 @@ SELECT event_id, user_id, event_type, value, props,
 FROM events
 """
 
+
+def _numbered_messages(spark, sf):
+    """Hub messages as a hub numbers them: 0, 1, 2 ... in each partition; every 13th
+    body is cut short."""
+    msgs = I.event_messages(I.table(spark, sf, "events"))
+    body = F.when(F.pmod("sequenceNumber", F.lit(13)) == 0, F.substring("body", 1, 20)).otherwise(F.col("body"))
+    return msgs.select(body.alias("body"), "partition", F.floor(F.col("sequenceNumber") / 4).alias("sequenceNumber"))
+
+
+def q_replay_whole_history(spark, sf):
+    """Q7, K4, A2: a history with holes is conformed in three batches, then all of it is
+    replayed a day later: only the holes land, and every number is in the ledger, as
+    maximal runs. Each event's route and landing, and its partition's ledger."""
+    work = work_dir(spark, "history")
+    conformed_path = f"{work}/conformed"
+    msgs = _numbered_messages(spark, sf)
+    number, part = F.col("sequenceNumber"), F.pmod(F.xxhash64(F.shiftright("sequenceNumber", 5)), F.lit(3))
+    hole = F.pmod(number, F.lit(10)) == 3
+    landed = lambda df, days: land_events(event_columns(df), F.lit(FIXED_STAMP + _dt.timedelta(days=days)))
+    for b in range(3):
+        conform_batch(spark, landed(msgs.where(~hole & (part == b)), 0), I.EVENT_CONTRACT, I.EVENT_PAYLOAD, conformed_path,
+                      F.lit(FIXED_STAMP))
+    conform_batch(spark, landed(msgs, 1), I.EVENT_CONTRACT, I.EVENT_PAYLOAD, conformed_path, F.lit(FIXED_STAMP))
+    known = merged(IdentityLedger(spark, conformed_path).read())
+    known = known.groupBy(F.col("partition").alias("p")).agg(size(known).alias("seen"), F.count("*").alias("runs"))
+    good = read_table(spark, conformed_path, schema=CONFORMED_EVENTS).select(
+        F.col("MetaData.SourcePartition").alias("partition"), F.col("MetaData.SourceSequenceNumber").alias("sequenceNumber"),
+        F.lit("conformed").alias("route"), F.col("ingest_date").alias("landed"))
+    bad = spark.read.parquet(f"{conformed_path}_quarantine").select("partition", "sequenceNumber", F.lit("quarantine"),
+                                                                    F.lit(None).cast("date"))
+    return good.union(bad).join(known, F.col("partition") == F.col("p")).drop("p")
+
+
+SQL_REPLAY_WHOLE_HISTORY = f"""
+WITH e AS (SELECT event_id % 4 AS partition, event_id // 4 AS n, event_id % 13 = 0 AS broken FROM events)
+SELECT partition, CAST(n AS BIGINT) AS sequenceNumber, CASE WHEN broken THEN 'quarantine' ELSE 'conformed' END AS route,
+       CASE WHEN broken THEN NULL WHEN n % 10 = 3 THEN DATE '2031-07-05' ELSE DATE '2031-07-04' END AS landed,
+       CAST(count(*) OVER (PARTITION BY partition) AS BIGINT) AS seen,
+       CAST(max(n >> {BLOCK_BITS}) OVER (PARTITION BY partition) + 1 AS BIGINT) AS runs
+FROM e
+"""
+
 # A contract stricter than the data: value must be integral, props an object,
 # and a required channel field that no document has.
 STRICT_EVENT_CONTRACT = StructType([
@@ -547,6 +589,44 @@ SELECT user_id, event_id, t FROM (SELECT user_id, event_id, date_trunc('minute',
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY t DESC, event_id DESC) = 1
 """
 
+GROWING_SPEC = EntitySpec(name="Growing", key="event_id", bucket_bytes=64 << 10)
+
+
+def q_growing_serving_table(spark, sf):
+    """K1, A10: a table that begins with a tiny batch, then takes the rest of the
+    events in two batches and newer versions of a third of them. Its content after
+    every batch, and whether its buckets fit its bytes by then."""
+    work = work_dir(spark, "growing")
+    ev = I.table(spark, sf, "events")
+    stamped = lambda df, later: df.select(
+        F.struct((F.col("ts") + F.expr(f"INTERVAL {later} DAYS")).alias("PublicationDate")).alias("MetaData"),
+        "event_id", "user_id", "event_type", (F.col("value") + later).alias("value"), "props")
+    k = F.pmod("event_id", F.lit(500))
+    batches = [stamped(ev.where(k == 0), 0), stamped(ev.where(k >= 250), 0), stamped(ev.where(k.between(1, 249)), 0),
+               stamped(ev.where(F.pmod("event_id", F.lit(3)) == 0), 1)]
+    path = f"{work}/serving/{GROWING_SPEC.name}"
+    for step, batch in enumerate(batches):
+        publish_entity(spark, batch, GROWING_SPEC, f"{work}/serving", stamp=F.lit(FIXED_STAMP))
+        sizes = bucket_sizes(spark, path)
+        # linear hashing: a bucket that isn't split yet holds two units, files' own bytes aside
+        fits = (max(sizes.values()) <= 3 * GROWING_SPEC.bucket_bytes
+                and sum(sizes.values()) <= 1.5 * stored_layout(spark, path)["buckets"] * GROWING_SPEC.bucket_bytes)
+        (read_main(spark, path).groupBy("event_type")
+         .agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"), F.sum(F.floor("value")).alias("whole_values"))
+         .withColumn("fits", F.lit(fits)).write.parquet(f"{work}/states/step={step}"))
+    return spark.read.parquet(f"{work}/states").select(F.col("step").cast("int").alias("step"), "event_type", "rows", "ids",
+                                                       "whole_values", "fits")
+
+
+SQL_GROWING_SERVING_TABLE = """
+WITH steps AS (SELECT unnest(range(4)) AS step),
+stored AS (SELECT step, event_type, event_id, value + CASE WHEN step = 3 AND event_id % 3 = 0 THEN 1 ELSE 0 END AS value
+           FROM events JOIN steps ON event_id % 500 = 0 OR (step >= 1 AND event_id % 500 >= 250) OR step >= 2)
+SELECT CAST(step AS INTEGER) AS step, event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids,
+       CAST(sum(floor(value)) AS BIGINT) AS whole_values, true AS fits
+FROM stored GROUP BY step, event_type
+"""
+
 DOCUMENT_SPEC = EntitySpec(name="Documents", key="doc_id", buckets=BUCKETS, ties=())
 
 
@@ -841,9 +921,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_facts": q_stream_facts,
     "bad_document_quarantine": q_bad_document_quarantine,
     "dedupe_replayed_events": q_dedupe_replayed_events,
+    "replay_whole_history": q_replay_whole_history,
     "contract_conformance": q_contract_conformance,
     "json_document_folder": q_json_document_folder,
     "upsert_main": q_upsert_main,
+    "growing_serving_table": q_growing_serving_table,
     "replace_children": q_replace_children,
     "stream_raw_to_serving": q_stream_raw_to_serving,
     "raw_rows_per_folder": q_raw_rows_per_folder,
@@ -884,9 +966,11 @@ ORACLES: dict[str, str] = {
     "files_per_folder": SQL_FILES_PER_FOLDER,
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
     "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,
+    "replay_whole_history": SQL_REPLAY_WHOLE_HISTORY,
     "contract_conformance": SQL_CONTRACT_CONFORMANCE,
     "json_document_folder": SQL_JSON_DOCUMENT_FOLDER,
     "upsert_main": SQL_LATEST_MAIN,
+    "growing_serving_table": SQL_GROWING_SERVING_TABLE,
     "replace_children": SQL_REPLACE_CHILDREN,
     "stream_raw_to_serving": SQL_LATEST_MAIN,
     "raw_rows_per_folder": SQL_RAW_ROWS_PER_FOLDER,

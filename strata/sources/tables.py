@@ -64,6 +64,24 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of a folder's folders, sorted; none where it is absent."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f"{path.rstrip('/')}/{st.getPath().getName()}" for st in fs.listStatus(p) if st.isDirectory())
+
+
+def move_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder this package wrote; one that lies at the new place is replaced."""
+    p, fs = _fs(spark, old)
+    q, _ = _fs(spark, new)
+    fs.mkdirs(q.getParent())
+    fs.delete(q, True)
+    if not fs.rename(p, q):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: the folder exists and holds data or a commit marker."""
     if not path_exists(spark, path):

@@ -17,15 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.operators.envelope import land_events
-from strata.operators.monitor import observe_rows
+from strata.operators.monitor import observe_rows, observed_rows
 from strata.operators.contract import CORRUPT, load_contract
-from strata.plans.conform import (append_conformed, conform_tagged, conformed_rows,  # noqa: F401
-                                  conformed_schema, rejected_rows, seen_conformed, tag)
+from strata.plans.conform import conform_batch, conformed_schema, tag, write_conformed  # noqa: F401
 from strata.plans.publish import QUERY_ID_PROPERTY, publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
 from strata.sources.raw import json_documents, raw_stream, write_raw
-from strata.sources.tables import table_exists, table_stream
+from strata.sources.tables import table_stream
 
 log = logging.getLogger("strata.streaming")
 
@@ -77,7 +76,7 @@ def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
     def fn(batch, batch_id):
         landed, obs = observe_rows(land_events(batch, stamp), f"raw-{batch_id}")
         write_raw(landed, raw_root)
-        log.info("raw batch %s: %s events landed", batch_id, obs.get.get("rows"))
+        log.info("raw batch %s: %s events landed", batch_id, observed_rows(obs))
     return _start(events, _skip_empty(fn, "raw"), checkpoint, trigger or {}, name)
 
 
@@ -86,33 +85,6 @@ def _contract(spark: SparkSession, contract: StructType | str) -> StructType:
     return load_contract(spark, contract) if isinstance(contract, str) else contract
 
 
-def _write_conformed(tagged: DataFrame, payload: str, stamp: Column | None, conformed_path: str,
-                     quarantine: str, query: str, batch_id: int) -> int:
-    """Both routes of one parsed and tagged batch, which is computed once. Rejects
-    replace the folder of their query and batch, so a replay doesn't add to them."""
-    tagged = tagged.persist()
-    try:
-        good, obs = observe_rows(conformed_rows(tagged, payload, stamp), f"conform-{query}-{batch_id}")  # E7
-        append_conformed(good, conformed_path)
-        bad = rejected_rows(tagged)
-        if bad.take(1):
-            (bad.withColumn("query", F.lit(query)).withColumn("batch", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("query", "batch").parquet(quarantine))
-        return obs.get.get("rows")
-    finally:
-        tagged.unpersist()
-
-
-def seen_rejects(spark: SparkSession, quarantine: str, query: str, batch_id: int) -> DataFrame | None:
-    """Identities quarantined by other batches (a replay of this one sees its own anew)."""
-    if not table_exists(spark, quarantine):
-        return None
-    stored = spark.read.parquet(quarantine)
-    return stored.where((F.col("query") != query) | (F.col("batch") != batch_id)) \
-                 .select("partition", "sequenceNumber")
-
-
 def _query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty(QUERY_ID_PROPERTY) or "batch"
 
@@ -125,14 +97,9 @@ def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contrac
     """Conform job: raw files -> contract -> conformed table (+ quarantine)."""
     contract = _contract(spark, contract)
     src = raw_stream(spark, raw_root, event_type, max_files_per_trigger, archive_dir=archive_dir)
-    quarantine = conformed_path.rstrip("/") + "_quarantine"
 
     def fn(batch, batch_id):
-        query = _query_id(spark)
-        seen, rejects = seen_conformed(spark, conformed_path), seen_rejects(spark, quarantine, query, batch_id)
-        seen = rejects if seen is None else seen if rejects is None else seen.union(rejects)
-        rows = _write_conformed(conform_tagged(batch, contract, seen), payload, stamp, conformed_path,
-                                quarantine, query, batch_id)
+        rows = conform_batch(spark, batch, contract, payload, conformed_path, stamp, _query_id(spark), batch_id)
         log.info("conform batch %s: %s rows conformed", batch_id, rows)
     return _start(src, _skip_empty(fn, "conform"), checkpoint, trigger or {}, name)
 
@@ -150,7 +117,7 @@ def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str,
 
     def fn(batch, batch_id):
         tagged = tag(batch, contract).withColumn("document", F.col(CORRUPT))
-        rows = _write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
+        rows = write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
         log.info("document batch %s: %s rows conformed", batch_id, rows)
     return _start(src, _skip_empty(fn, "documents"), checkpoint, trigger or {}, name)
 
