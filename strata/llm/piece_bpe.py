@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 import struct
 from collections.abc import Iterator
 from itertools import chain
@@ -49,8 +50,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 LONGEST = 4096
-REMEMBERED = 200_000
-BATCH_BYTES = 2_000_000
+REMEMBERED = 400_000
+BATCH_BYTES = 4_000_000
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS = "doc_id long, ids array<int>"
 NO_PAIR = np.iinfo(np.int32).max
@@ -110,11 +111,43 @@ class Model:
         self.end = trainer.get(42, 2)
 
 
+class KeyTable:
+    """Places of 64-bit keys in an open-addressed table, for many keys at a time."""
+
+    EMPTY = np.iinfo(np.int64).min
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: list[int]):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full((1 << bits) + len(keys) + 1, self.EMPTY, np.int64)      # no chain wraps round
+        self.place = []
+        home = self._home(np.array(keys, np.int64)).tolist() if keys else []
+        for key, at in zip(keys, home):
+            while self.keys[at] != self.EMPTY:
+                at += 1
+            self.keys[at] = key
+            self.place.append(at)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether the key is there)."""
+        at = self._home(keys)
+        held = self.keys[at]
+        other = np.flatnonzero((held != keys) & (held != self.EMPTY))
+        while len(other):
+            at[other] += 1
+            held[other] = self.keys[at[other]]
+            other = other[(held[other] != keys[other]) & (held[other] != self.EMPTY)]
+        return at, held == keys
+
+
 class Pieces:
     """Encoder and decoder of one model."""
 
     def __init__(self, model: Model):
-        import regex
         self.model = model
         ids = {p: i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == NORMAL}
         self.byte = [0] * 256
@@ -142,15 +175,13 @@ class Pieces:
                 self.pair[a << 32 | b] = i
                 early.update(part for part, text in ((a, piece[:cut]), (b, piece[cut:]))
                              if len(text) > 1 and self.rank[part] >= self.rank[i])
-        keys = np.fromiter(self.pair.keys(), np.int64, len(self.pair))
-        order = np.argsort(keys)
-        self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
-        self.pair_to = np.append(np.fromiter(self.pair.values(), np.int64, len(self.pair))[order], 0).astype(np.int32)
+        self.pairs = KeyTable(list(self.pair))
+        self.pair_to = np.zeros(len(self.pairs.keys), np.int32)
+        self.pair_to[self.pairs.place] = list(self.pair.values())
         self.early = np.zeros(len(self.rank) + 1, bool)
         self.early[list(early)] = True
         # no cut is needed between characters that some piece holds side by side
-        self.beside = np.append(np.sort(np.array([ord(a) << 21 | ord(b) for a, b in beside], np.int64)),
-                                np.iinfo(np.int64).max)
+        self.beside = KeyTable([ord(a) << 21 | ord(b) for a, b in beside])
         self.of_char = np.full(0x110000, -1, np.int32)
         for c, i in symbol.items():
             if len(c) == 1:
@@ -159,21 +190,23 @@ class Pieces:
         # nor before a space after another character, where none holds such a pair
         apart = lonely if any(b == SPACE != a for a, b in beside) else SPACE + lonely
         word = f"{SPACE}*[^{apart}]+|{SPACE}+" if apart else "(?s:.+)"
-        self.split = regex.compile(f"[{lonely}]|{word}" if lonely else word).findall
+        self.split = re.compile(f"[{lonely}]|{word}" if lonely else word).findall
         self.known: dict[str, tuple[int, ...]] = {}
         self.texts = [p.replace(SPACE, " ") if k == NORMAL else "" for p, k in zip(model.pieces, model.kinds)]
         self.texts[model.kinds.index(UNKNOWN)] = model.unknown
-        self.value = {i: v for v, i in enumerate(self.byte)}
+        # an ASCII byte is a character by itself, whatever stands beside it
+        for v in range(0x80):
+            self.texts[self.byte[v]] = chr(v)
+        self.value = {i: v for v, i in enumerate(self.byte) if v >= 0x80}
 
     # -- merge rounds ------------------------------------------------------------
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece that each pair makes and its rank (``NO_PAIR`` where none)."""
         key = left.astype(np.int64) << 32 | (right.astype(np.int64) & 0xFFFFFFFF)
-        at = np.searchsorted(self.pair_keys, key)
+        at, found = self.pairs.find(key)
         to = self.pair_to[at]
-        found = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
-        return to, np.where(found, self.rank[to], NO_PAIR).astype(np.int32)
+        return to, np.where(found, self.rank[to], NO_PAIR)
 
     def rounds(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge the words that begin at ``starts`` of a flat symbol array; the array
@@ -210,9 +243,10 @@ class Pieces:
             keep[at + 1] = False
             place = np.cumsum(keep) - 1
             symbols, word, to, rank = symbols[keep], word[keep], to[keep], rank[keep]
-            changed = place[at]
-            changed = np.union1d(changed, changed[changed > 0] - 1)
-            self._renew(symbols, word, to, rank, changed)
+            changed = np.zeros(len(symbols) + 1, bool)
+            changed[place[at]] = True
+            changed[place[at] - 1] = True                   # the last one stands for "before the first"
+            self._renew(symbols, word, to, rank, np.flatnonzero(changed[:-1]))
         if not done:
             return symbols, np.zeros(n_words, np.int64)
         flat, of = (np.concatenate(x) for x in zip(*done))
@@ -267,7 +301,7 @@ class Pieces:
         """Merge the words that aren't remembered."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
-        new = sorted(words.difference(self.known))
+        new = list(words.difference(self.known))
         if not new:
             return
         chars = np.frombuffer("".join(new).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -276,7 +310,7 @@ class Pieces:
         # words are cut further between characters that no piece holds side by side
         pair = chars[:-1] << 21 | chars[1:]
         cut = np.ones(len(chars), bool)
-        cut[1:] = self.beside[np.searchsorted(self.beside, pair)] != pair
+        cut[1:] = ~self.beside.find(pair)[1]
         cut[ends[:-1]] = True
         starts = np.flatnonzero(cut)
         sizes = np.diff(starts, append=len(chars))
@@ -292,25 +326,18 @@ class Pieces:
         for i in long.tolist():
             by_long[i] = self.merge_long(told[starts[i]: starts[i] + sizes[i]].tolist())
             piece_ends[i] = len(by_long[i])
-        flat = flat.tolist()
         if by_long:
-            merged, at = [], 0
-            for i, n in enumerate(piece_ends.tolist()):
-                if i in by_long:
-                    merged += by_long[i]
-                else:
-                    merged += flat[at: at + n]
-                    at += n
-            flat = merged
+            short_parts = iter(np.split(flat, own_ends))
+            flat = np.concatenate([by_long[i] if i in by_long else next(short_parts) for i in range(len(starts))])
         # the parts of a word together again
         last = np.searchsorted(starts, ends) - 1
-        word_ends = np.cumsum(piece_ends)[last].tolist()
-        n_pieces = len(self.model.pieces)
-        for w, a, b in zip(new, [0, *word_ends[:-1]], word_ends):
-            own = flat[a:b]
-            if min(own) < 0 or max(own) >= n_pieces:
-                own = list(chain.from_iterable(map(self._spelled, own)))
-            self.known[w] = tuple(own)
+        word_ends = np.cumsum(piece_ends)[last]
+        odd = np.flatnonzero((flat < 0) | (flat >= len(self.model.pieces)))
+        at, flat = [0, *word_ends.tolist()], flat.tolist()
+        self.known.update(zip(new, [tuple(flat[a:b]) for a, b in zip(at, at[1:])]))
+        # words with characters that are no pieces
+        for i in np.unique(np.searchsorted(word_ends, odd, side="right")).tolist():
+            self.known[new[i]] = tuple(chain.from_iterable(map(self._spelled, self.known[new[i]])))
 
     def _spelled(self, symbol: int) -> list[int]:
         if 0 <= symbol < len(self.model.pieces):
@@ -337,16 +364,18 @@ class Pieces:
                 out[shows] = out[shows].removeprefix(" ")
         value = self.value
         if not value.keys().isdisjoint(ids):
-            at = 0
-            while at < len(ids):
-                stop = at
-                while stop < len(ids) and ids[stop] in value:
-                    stop += 1
-                if stop > at:
-                    out[at] = _utf8(bytes(value[x] for x in ids[at:stop]))
-                at = stop + 1
+            run: list[int] = []
+            for at in [i for i, x in enumerate(ids) if x in value]:
+                if run and at != run[-1] + 1:
+                    self._spell_run(out, ids, run)
+                    run = []
+                run.append(at)
+            self._spell_run(out, ids, run)
         return "".join(out)
 
+    def _spell_run(self, out: list[str], ids: list[int], run: list[int]) -> None:
+        out[run[0]] = _utf8(bytes(self.value[ids[i]] for i in run))
+
 
 def _utf8(data: bytes) -> str:
     try:
