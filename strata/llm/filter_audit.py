@@ -81,9 +81,12 @@ def masked(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
                        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
     own = materialise(data.mapInArrow(mask_rows, MASKED), "masks")
-    # minima are combined before the shuffle; a text with one row needs no partner
+    # minima are combined before the shuffle; a text with one row needs no partner. They
+    # are written, so that both sides of the join are read from a shuffle and Spark may
+    # split the rows of a text with very many copies
     first = (own.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
              .filter("copies > 1").select(F.col("digest").alias("of"), "first"))
+    first = materialise(first, "copies")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return (own.join(first, F.col("digest") == F.col("of"), "left")
             .select("doc_id", "part", F.when(copy, F.col("mask") + COPY).otherwise(F.col("mask")).alias("mask")))
