@@ -35,6 +35,7 @@ from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
 from strata.sources.events import event_stream, file_events
+from strata.sources.hub import append_log, hub_messages, hub_stream, log_positions
 from strata.sources.raw import json_documents, read_raw, write_raw
 from strata.sources.tables import path_exists, read_table, register_view
 from strata.streaming.jobs import run_conform, run_conform_documents, run_raw, stop_all, trigger_options
@@ -465,6 +466,36 @@ SELECT partition, CAST(n AS BIGINT) AS sequenceNumber, CASE WHEN broken THEN 'qu
 FROM e
 """
 
+HUB_START = {"0": 10, "1": 20, "2": 30, "3": 0}
+
+
+def q_replay_from_positions(spark, sf):
+    """A1, A2: a hub log grows by three captures; a stream begins at a position of each
+    partition, is stopped after the first, restarts twice and reads up to "now", and
+    the same span is read as a batch. How often each message landed and was read."""
+    work = work_dir(spark, "positions")
+    log, msgs = f"{work}/hub", _numbered_messages(spark, sf).persist()
+    top = msgs.agg(F.max("sequenceNumber")).first()[0]
+    cuts = [0, top // 3, top // 2, top + 1]
+    for lo, hi in zip(cuts, cuts[1:]):
+        append_log(spark, msgs.where(F.col("sequenceNumber").between(lo, hi - 1)), log)
+        src = event_stream(hub_stream(spark, log, HUB_START, log_positions(log)))
+        finish(run_raw(src, f"{work}/raw", f"{work}/chk", trigger_options(available_now=True), stamp=F.lit(FIXED_STAMP), name=None))
+    msgs.unpersist()
+    landed = read_raw(spark, f"{work}/raw").groupBy("partition", "sequenceNumber").agg(F.count("*").alias("landed"))
+    read = (hub_messages(spark, log, HUB_START, {p: top // 2 for p in HUB_START})
+            .groupBy(F.col("partition").alias("p"), F.col("sequenceNumber").alias("s")).agg(F.count("*").alias("read")))
+    same = (F.col("partition") == F.col("p")) & (F.col("sequenceNumber") == F.col("s"))
+    return landed.join(read, same, "left").select("partition", "sequenceNumber", "landed", F.coalesce("read", F.lit(0)).alias("read"))
+
+
+SQL_REPLAY_FROM_POSITIONS = f"""
+WITH e AS (SELECT event_id % 4 AS partition, event_id // 4 AS n, max(event_id // 4) OVER () AS top FROM events),
+s AS (SELECT partition, n, top FROM e JOIN (VALUES {", ".join(f"({p}, {at})" for p, at in HUB_START.items())}) v(p, begins) ON partition = p AND n >= begins)
+SELECT partition, CAST(n AS BIGINT) AS sequenceNumber, CAST(1 AS BIGINT) AS landed, CAST(CASE WHEN n < top // 2 THEN 1 ELSE 0 END AS BIGINT) AS read
+FROM s
+"""
+
 # A contract stricter than the data: value must be integral, props an object,
 # and a required channel field that no document has.
 STRICT_EVENT_CONTRACT = StructType([
@@ -922,6 +953,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bad_document_quarantine": q_bad_document_quarantine,
     "dedupe_replayed_events": q_dedupe_replayed_events,
     "replay_whole_history": q_replay_whole_history,
+    "replay_from_positions": q_replay_from_positions,
     "contract_conformance": q_contract_conformance,
     "json_document_folder": q_json_document_folder,
     "upsert_main": q_upsert_main,
@@ -967,6 +999,7 @@ ORACLES: dict[str, str] = {
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
     "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,
     "replay_whole_history": SQL_REPLAY_WHOLE_HISTORY,
+    "replay_from_positions": SQL_REPLAY_FROM_POSITIONS,
     "contract_conformance": SQL_CONTRACT_CONFORMANCE,
     "json_document_folder": SQL_JSON_DOCUMENT_FOLDER,
     "upsert_main": SQL_LATEST_MAIN,
