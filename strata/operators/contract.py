@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DateType, IntegralType, MapType, NumericType,
                                StringType, StructField, StructType, TimestampType)
 
+from strata.operators.widen import upper_bound
+
 CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
 
@@ -138,34 +140,37 @@ def _diff(expected: StructType, actual: StructType, prefix: str = "") -> list[tu
     for f in expected.fields:
         p = prefix + f.name
         if f.name not in a_by:
-            rows.append((p, "missing", f.dataType.simpleString(), None))
+            rows.append((p, "missing", f.dataType.simpleString(), None, None))
             continue
         g = a_by[f.name]
         if isinstance(f.dataType, StructType) and isinstance(g.dataType, StructType):
             rows += _diff(f.dataType, g.dataType, p + ".")
         elif f.dataType != g.dataType:
-            rows.append((p, "type", f.dataType.simpleString(), g.dataType.simpleString()))
+            wide = upper_bound(f.dataType, g.dataType)
+            rows.append((p, "type", f.dataType.simpleString(), g.dataType.simpleString(),
+                         None if wide is None else wide.simpleString()))
         if f.nullable != g.nullable:
-            rows.append((p, "nullability", str(f.nullable).lower(), str(g.nullable).lower()))
+            rows.append((p, "nullability", str(f.nullable).lower(), str(g.nullable).lower(), None))
         if f.metadata != g.metadata:
             rows.append((p, "metadata", json.dumps(f.metadata, sort_keys=True),
-                         json.dumps(g.metadata, sort_keys=True)))
+                         json.dumps(g.metadata, sort_keys=True), None))
     for g in actual.fields:
         if g.name not in e_names:
-            rows.append((prefix + g.name, "extra", None, g.dataType.simpleString()))
+            rows.append((prefix + g.name, "extra", None, g.dataType.simpleString(), None))
     common_e = [n for n in e_names if n in a_names]
     common_a = [n for n in a_names if n in e_names]
     if common_e != common_a:
-        rows.append((prefix.rstrip(".") or "<root>", "order", ",".join(common_e), ",".join(common_a)))
+        rows.append((prefix.rstrip(".") or "<root>", "order", ",".join(common_e), ",".join(common_a), None))
     return rows
 
 
 def contract_report(spark: SparkSession, actual: StructType, contract: StructType) -> DataFrame:
-    """One row per difference (path, issue, expected, actual), recursive
+    """One row per difference (path, issue, expected, actual, widened), recursive
     into structs; empty when the schemas match in names, types, nullability,
-    metadata and order."""
+    metadata and order. ``widened`` is the type that would hold both sides of a type
+    difference; NULL there means that none does, and a table of that column refuses the other."""
     return spark.createDataFrame(_diff(contract, actual),
-                                 "path string, issue string, expected string, actual string")
+                                 "path string, issue string, expected string, actual string, widened string")
 
 
 def _json_kind(dtype) -> str:

@@ -39,6 +39,7 @@ from strata.functions.ids import key_bucket, linear_bucket, split_source
 
 from strata.operators.flatten import POSITION_COL, UID_COL
 from strata.operators.monitor import list_files
+from strata.operators.widen import lifted_by_reader, union, without_void
 from strata.sources.tables import (path_exists, read_small_text, read_table, remove_path, table_exists,
                                    write_small_text)
 
@@ -87,25 +88,22 @@ def open_table(spark: SparkSession, table: BucketedTable, arrays: list[str] = ()
 
 
 def merge_schemas(old: StructType | None, new: StructType) -> StructType:
-    """Top-level union by name: existing columns keep their place and type,
-    new columns are appended; a changed type is refused (no type evolution)."""
+    """Top-level union by name: existing columns keep their place, new ones are appended,
+    types are widened (``operators/widen``); a pair of types without an upper bound is
+    refused. Columns that are only known to be null are left out until they have a type."""
+    new = without_void(new) or StructType([])
     if old is None:
         return new
-    fields = list(old.fields)
-    have = {f.name.lower(): f for f in old.fields}
-    for f in new.fields:
-        o = have.get(f.name.lower())
-        if o is None:
-            fields.append(StructField(f.name, f.dataType, True, f.metadata))
-        elif o.dataType != f.dataType:
-            raise ValueError(f"column {f.name}: type {f.dataType.simpleString()} does not match "
-                             f"the table's {o.dataType.simpleString()}")
-    return StructType(fields)
+    merged, conflicts = union(old, new)
+    if conflicts:
+        raise ValueError("; ".join(f"column {path}: type {now} does not match the table's {was}"
+                                   for path, was, now in conflicts))
+    return merged
 
 
 def remember_schema(spark: SparkSession, path: str, written: StructType,
                     old: StructType | None = None) -> None:
-    """Store the merged schema when a commit added columns (a tiny write)."""
+    """Store the merged schema when a commit added or widened columns (a tiny write)."""
     data = StructType([f for f in written.fields if f.name != BUCKET_COL])
     merged = merge_schemas(old, data)
     merged = StructType([f for f in merged.fields if f.name != BUCKET_COL]
@@ -114,6 +112,27 @@ def remember_schema(spark: SparkSession, path: str, written: StructType,
         write_small_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", merged.json())
 
 
+def _current_and_batch(spark: SparkSession, rows: DataFrame, table: BucketedTable, buckets: list[int]
+                       ) -> tuple[DataFrame | None, DataFrame, list[int]]:
+    """The stored rows of the buckets and the batch's rows, both under the merged schema.
+    Old files are read under a wider one later on; where Parquet's reader can't lift a type,
+    all buckets are taken along, so that none of their files stay."""
+    batch = rows.withColumn(BUCKET_COL, table.bucket_of())
+    stored = stored_schema(spark, table.path)
+    if stored is None and table_exists(spark, table.path):
+        return read_buckets(spark, table, buckets), batch, buckets      # made without a stored schema
+    data = StructType([f for f in stored.fields if f.name != BUCKET_COL]) if stored else None
+    merged = merge_schemas(data, StructType([f for f in batch.schema.fields if f.name != BUCKET_COL]))
+    if data is not None and data[table.key].dataType != batch.schema[table.key].dataType:
+        raise ValueError(f"{table.path}: the key {table.key} is {data[table.key].dataType.simpleString()}; "
+                         "its rows are placed by that type's hash")
+    if data is not None and not lifted_by_reader(data, merged):
+        buckets = list(range(table.buckets))
+    whole = StructType(merged.fields + [StructField(BUCKET_COL, IntegerType(), True)])
+    current = read_buckets(spark, table, buckets)
+    return None if current is None else current.to(whole), batch.to(whole), buckets
+
+
 def read_serving(spark: SparkSession, path: str) -> DataFrame | None:
     """Read a serving table under its stored schema: no footer scan for
     schema inference, however many files the table has; columns added
@@ -189,8 +208,6 @@ def commit_buckets(spark: SparkSession, new_content: DataFrame, table: BucketedT
     """Stage the full new content of the touched buckets, then swap it in. A growing
     table stages the buckets that are split along with it."""
     _write_partitioned(new_content, table, staging, mode_dynamic=False)
-    # the schema first: a stored superset only reads as NULLs, never hides data
-    remember_schema(spark, table.path, new_content.schema, stored_schema(spark, table.path))
     if table.bucket_bytes is not None:
         stored, staged = bucket_sizes(spark, table.path), bucket_sizes(spark, staging)
         total = sum(n for b, n in stored.items() if b not in touched) + sum(staged.values())
@@ -199,7 +216,8 @@ def commit_buckets(spark: SparkSession, new_content: DataFrame, table: BucketedT
         others = sorted(split.intersection(stored).difference(touched))
         if others:
             read_buckets(spark, table, others).write.mode("append").partitionBy(BUCKET_COL).parquet(staging)
-        plan = {"from": table.buckets, "to": grown, "rewritten": sorted({*touched, *others})}
+        plan = {"from": table.buckets, "to": grown, "rewritten": sorted({*touched, *others}),
+                "schema": new_content.schema.jsonValue()}
         write_small_text(spark, f"{staging.rstrip('/')}/{GROWTH_FILE}", json.dumps(plan))
     recommit_staged(spark, table, staging)
 
@@ -207,14 +225,16 @@ def commit_buckets(spark: SparkSession, new_content: DataFrame, table: BucketedT
 def recommit_staged(spark: SparkSession, table: BucketedTable, staging: str) -> None:
     """Swap a complete staged copy in; doing it again changes nothing."""
     plan = json.loads(read_small_text(spark, f"{staging.rstrip('/')}/{GROWTH_FILE}") or "null")
+    staged = spark.read.parquet(staging) if plan is None else \
+        spark.read.schema(StructType.fromJson(plan["schema"])).parquet(staging)
+    # the schema first: a stored superset only reads as NULLs, never hides data
+    remember_schema(spark, table.path, staged.schema, stored_schema(spark, table.path))
     if plan is None or plan["from"] == plan["to"]:
-        staged = spark.read.parquet(staging)
         # files are already one bucket each: no shuffle, one writer per file
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
               .partitionBy(BUCKET_COL).parquet(table.path)
         return
     grown = replace(table, buckets=plan["to"])
-    staged = spark.read.schema(stored_schema(spark, table.path)).parquet(staging)
     staged = staged.withColumn(BUCKET_COL, grown.bucket_of())
     _write_partitioned(staged, grown, table.path, mode_dynamic=True)
     # a split may leave its old bucket without rows: an overwrite by partition doesn't see that
@@ -244,19 +264,15 @@ def replace_by_key(spark: SparkSession, batch: DataFrame, batch_keys: DataFrame,
     ``keys_unique`` skips the ``distinct`` (and its shuffle) when the caller
     knows each key occurs once, as after ``latest_per_key``."""
     if reuse_staged and staged_complete(spark, table, staging):
-        if table.bucket_bytes is None:
-            remember_schema(spark, table.path, spark.read.parquet(staging).schema,
-                            stored_schema(spark, table.path))
         recommit_staged(spark, table, staging)
         return
     keys = batch_keys.select(table.key)
     if not keys_unique:
         keys = keys.distinct()
-    rows = batch.withColumn(BUCKET_COL, table.bucket_of())
     buckets = touched_buckets(keys, table) if buckets is None else buckets
     if not buckets:
         return
-    current = read_buckets(spark, table, buckets)
+    current, rows, buckets = _current_and_batch(spark, batch, table, buckets)
     if current is None and table.bucket_bytes is not None:
         commit_buckets(spark, rows, table, staging, buckets)     # its size tells the first bucket count
         return
@@ -291,8 +307,7 @@ def merge_newest(spark: SparkSession, rows: DataFrame, table: BucketedTable, sta
         return
     if not buckets:
         return
-    current = read_buckets(spark, table, buckets)
-    batch = rows.withColumn(BUCKET_COL, table.bucket_of())
+    current, batch, buckets = _current_and_batch(spark, rows, table, buckets)
     if current is None:
         content = newest(batch, [])
         if table.bucket_bytes is not None:
