@@ -21,6 +21,7 @@ from strata.session import work_dir
 from strata.sources.events import event_stream, file_events
 from strata.streaming.jobs import (conformed_schema, run_conform, run_raw, run_serving,
                                    trigger_options)
+from strata.streaming.progress import ProgressTable
 
 # buckets of the registered queries' small serving tables; a real entity sizes them by its bytes
 BUCKETS = 8
@@ -60,7 +61,7 @@ def landing_stamp():
 
 
 def run_event_streams(spark: SparkSession, sf_dir: str, upto: str = "serving",
-                      timeout_s: float | None = None) -> PipelineRun:
+                      timeout_s: float | None = None, progress: ProgressTable | None = None) -> PipelineRun:
     """Hub files -> raw -> conformed -> serving with ``availableNow`` streams, up
     to the named layer. Every call is a run of its own."""
     last = LAYERS.index(upto)
@@ -71,17 +72,17 @@ def run_event_streams(spark: SparkSession, sf_dir: str, upto: str = "serving",
 
     once = trigger_options(available_now=True)
     src = event_stream(file_events(spark, run.hub, msgs.schema, max_files_per_trigger=4))
-    q = run_raw(src, run.raw, f"{root}/_chk/raw", once, stamp=landing_stamp(), name=None)
+    q = run_raw(src, run.raw, f"{root}/_chk/raw", once, stamp=landing_stamp(), name=None, progress=progress)
     finish(q, timeout_s)
     if last == 0:
         return run
     q = run_conform(spark, run.raw, run.conformed, I.EVENT_CONTRACT, I.EVENT_PAYLOAD,
-                    f"{root}/_chk/conform", trigger=once, max_files_per_trigger=CONFORM_FILES, name=None)
+                    f"{root}/_chk/conform", trigger=once, max_files_per_trigger=CONFORM_FILES, name=None, progress=progress)
     finish(q, timeout_s)
     if last == 1:
         return run
     schema = conformed_schema(I.EVENT_CONTRACT, I.EVENT_PAYLOAD)
     q = run_serving(spark, run.conformed, schema, run.serving, EVENT_SPEC, f"{root}/_chk/serving",
-                    trigger=once, max_files_per_trigger=SERVING_FILES, name=None)
+                    trigger=once, max_files_per_trigger=SERVING_FILES, name=None, progress=progress)
     finish(q, timeout_s)
     return run

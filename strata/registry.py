@@ -12,6 +12,7 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
@@ -39,6 +40,7 @@ from strata.sources.hub import append_log, hub_messages, hub_stream, log_positio
 from strata.sources.raw import json_documents, read_raw, write_raw
 from strata.sources.tables import path_exists, read_table, register_view
 from strata.streaming.jobs import run_conform, run_conform_documents, run_raw, stop_all, trigger_options
+from strata.streaming.progress import ProgressTable, read_progress
 
 # Fixed parameters of the registered queries (no wall clock in a compared result).
 FIXED_STAMP = _dt.datetime(2031, 7, 4, 5, 6, 7)
@@ -620,6 +622,43 @@ SELECT user_id, event_id, t FROM (SELECT user_id, event_id, date_trunc('minute',
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY t DESC, event_id DESC) = 1
 """
 
+WIDENED_SPEC = EntitySpec(name="Widened", key="event_id", buckets=BUCKETS, ties=())
+
+
+def q_widened_serving_table(spark, sf):
+    """The even events are published with narrow types (whole numbers, float,
+    date, a column without a type, a struct and an array of whole numbers), the odd ones
+    with wider types and one more field. Old files are read under the widened schema;
+    the date, which Parquet's reader can't lift, is rewritten."""
+    root = f"{work_dir(spark, 'widened')}/serving"
+    ev = I.table(spark, sf, "events")
+    small, odd = F.pmod("event_id", F.lit(1000)).cast("int"), F.pmod("event_id", F.lit(2)) == 1
+    meta = F.struct(F.date_format("ts", I.PUBLICATION_FORMAT).alias("PublicationDate")).alias("MetaData")
+    narrow = ev.where(~odd).select(
+        meta, "event_id", small.alias("n"), (small / 8).cast("float").alias("x"), F.to_date("ts").alias("at"),
+        F.lit(None).alias("extra"), F.struct(small.alias("a")).alias("s"), F.array(small, small + 1).alias("xs"))
+    big = F.col("event_id").cast("long") + F.lit(1 << 40)
+    wide = ev.where(odd).select(
+        meta, "event_id", big.alias("n"), (small / 7).alias("x"), F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("extra"),
+        F.struct(big.alias("a"), F.col("event_type").alias("b")).alias("s"), F.array(big).alias("xs"))
+    for batch in (narrow, wide):
+        publish_entity(spark, batch, WIDENED_SPEC, root, stamp=F.lit(FIXED_STAMP))
+    xs = read_children(spark, f"{root}/Widened_xs").groupBy("Widened_event_id").agg(F.sum("xs").alias("xs"))
+    main = read_main(spark, f"{root}/Widened").select("event_id", "n", "x", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"),
+                                                      "extra", "s_a", "s_b")
+    return main.join(xs, F.col("event_id") == F.col("Widened_event_id")).drop("Widened_event_id")
+
+
+SQL_WIDENED_SERVING_TABLE = f"""
+WITH e AS (SELECT *, event_id % 2 = 1 AS odd, event_id % 1000 AS small, event_id + {1 << 40} AS big FROM events)
+SELECT event_id, CAST(CASE WHEN odd THEN big ELSE small END AS BIGINT) AS n,
+       CASE WHEN odd THEN small / 7.0::DOUBLE ELSE small / 8.0::DOUBLE END AS x,
+       strftime(CASE WHEN odd THEN ts ELSE date_trunc('day', ts) END, '%Y-%m-%d %H:%M:%S') AS at,
+       CASE WHEN odd THEN event_type END AS extra, CAST(CASE WHEN odd THEN big ELSE small END AS BIGINT) AS s_a,
+       CASE WHEN odd THEN event_type END AS s_b, CAST(CASE WHEN odd THEN big ELSE 2 * small + 1 END AS BIGINT) AS xs
+FROM e
+"""
+
 GROWING_SPEC = EntitySpec(name="Growing", key="event_id", bucket_bytes=64 << 10)
 
 
@@ -805,6 +844,31 @@ WHERE CAST(ts AS DATE) = DATE '{DUP_DAY}' GROUP BY user_id HAVING count(*) > 1
 """
 
 
+def q_stream_progress(spark, sf):
+    """The three layers as streams, each batch entered in the progress table; then
+    the raw job once more over a broken folder, which fails. Rows and failures by job."""
+    root = work_dir(spark, "progress")
+    table = ProgressTable(spark, f"{root}/progress")
+    run = run_event_streams(spark, sf, progress=table)
+    hub = file_events(spark, run.hub, I.event_messages(I.table(spark, sf, "events")).schema)
+    broken = event_stream(hub.withColumn("body", F.when(F.raise_error(F.lit("hub lost")).isNull(), F.col("body"))))
+    try:
+        finish(run_raw(broken, f"{root}/raw", f"{root}/chk", trigger_options(available_now=True), name=None, progress=table))
+    except StreamingQueryException:
+        pass
+    table.close()
+    entries = read_progress(spark, f"{root}/progress")
+    timed = F.count_if(F.col("rows").isNotNull() & (F.col("millis").isNull() | (F.col("input_rows") < 1)))
+    return entries.groupBy(F.coalesce("name", F.lit("raw")).alias("job")).agg(
+        F.sum("rows").alias("rows"), F.count("failure").alias("failures"), timed.alias("untimed"))
+
+
+SQL_STREAM_PROGRESS = """
+SELECT unnest(['raw', 'conform', 'serving']) AS job, n AS rows, CAST(unnest([1, 0, 0]) AS BIGINT) AS failures, CAST(0 AS BIGINT) AS untimed
+FROM (SELECT count(*) AS n FROM events)
+"""
+
+
 def q_stream_bad_documents(spark, sf):
     """Hub events of which every 13th body is cut short, landed
     twice in batches of their own: the conformed table and the quarantine hold
@@ -946,6 +1010,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "import_detail": q_import_detail,
     "expand_struct": q_expand_struct,
     "latest_text_stamps": q_latest_text_stamps,
+    "stream_progress": q_stream_progress,
     "stream_bad_documents": q_stream_bad_documents,
     "multiline_documents": q_multiline_documents,
     "contract_report": q_contract_report,
@@ -958,6 +1023,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_document_folder": q_json_document_folder,
     "upsert_main": q_upsert_main,
     "growing_serving_table": q_growing_serving_table,
+    "widened_serving_table": q_widened_serving_table,
     "replace_children": q_replace_children,
     "stream_raw_to_serving": q_stream_raw_to_serving,
     "raw_rows_per_folder": q_raw_rows_per_folder,
@@ -991,6 +1057,7 @@ ORACLES: dict[str, str] = {
     "import_detail": SQL_IMPORT_DETAIL,
     "expand_struct": SQL_EXPAND_STRUCT,
     "latest_text_stamps": SQL_LATEST_TEXT_STAMPS,
+    "stream_progress": SQL_STREAM_PROGRESS,
     "stream_bad_documents": SQL_STREAM_BAD_DOCUMENTS,
     "multiline_documents": SQL_MULTILINE_DOCUMENTS,
     "contract_report": SQL_CONTRACT_REPORT,
@@ -1004,6 +1071,7 @@ ORACLES: dict[str, str] = {
     "json_document_folder": SQL_JSON_DOCUMENT_FOLDER,
     "upsert_main": SQL_LATEST_MAIN,
     "growing_serving_table": SQL_GROWING_SERVING_TABLE,
+    "widened_serving_table": SQL_WIDENED_SERVING_TABLE,
     "replace_children": SQL_REPLACE_CHILDREN,
     "stream_raw_to_serving": SQL_LATEST_MAIN,
     "raw_rows_per_folder": SQL_RAW_ROWS_PER_FOLDER,

@@ -23,6 +23,7 @@ from strata.plans.conform import conform_batch, conformed_schema, tag, write_con
 from strata.plans.publish import QUERY_ID_PROPERTY, publish_entity
 from strata.plans.spec import EntitySpec
 from strata.session import work_dir
+from strata.streaming.progress import ProgressTable
 from strata.sources.raw import json_documents, raw_stream, write_raw
 from strata.sources.tables import table_stream
 
@@ -59,25 +60,32 @@ def _start(df: DataFrame, handler, checkpoint: str | None, trigger: dict,
     return w.start()                                # L6 (caller awaits)
 
 
-def _skip_empty(fn, what: str):
+def _handler(fn, what: str, progress: ProgressTable | None = None):
+    """The callback around ``fn(batch, batch_id) -> rows written``."""
     def handler(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                         # L8
             log.info("%s: skipping empty batch %s", what, batch_id)
             return
-        fn(batch, batch_id)
+        query = _query_id(batch.sparkSession)
+        if progress is not None:
+            progress.note(query, what, batch_id, None)
+        rows = fn(batch, batch_id)
+        log.info("%s batch %s: %s rows", what, batch_id, rows)
+        if progress is not None:
+            progress.note(query, what, batch_id, rows)
     return handler
 
 
 def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
             trigger: dict | None = None, stamp: Column | None = None,
-            name: str | None = "raw") -> StreamingQuery:
+            name: str | None = "raw", progress: ProgressTable | None = None) -> StreamingQuery:
     """Raw job: hub events (``decoded_body``, ``partition``, ``sequenceNumber``)
     are stamped and appended to the raw zone."""
     def fn(batch, batch_id):
         landed, obs = observe_rows(land_events(batch, stamp), f"raw-{batch_id}")
         write_raw(landed, raw_root)
-        log.info("raw batch %s: %s events landed", batch_id, observed_rows(obs))
-    return _start(events, _skip_empty(fn, "raw"), checkpoint, trigger or {}, name)
+        return observed_rows(obs)
+    return _start(events, _handler(fn, "raw", progress), checkpoint, trigger or {}, name)
 
 
 def _contract(spark: SparkSession, contract: StructType | str) -> StructType:
@@ -93,21 +101,21 @@ def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contrac
                 payload: str, checkpoint: str | None, event_type: str | None = None,
                 trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
                 stamp: Column | None = None, name: str | None = "conform",
-                archive_dir: str | None = None) -> StreamingQuery:
+                archive_dir: str | None = None, progress: ProgressTable | None = None) -> StreamingQuery:
     """Conform job: raw files -> contract -> conformed table (+ quarantine)."""
     contract = _contract(spark, contract)
     src = raw_stream(spark, raw_root, event_type, max_files_per_trigger, archive_dir=archive_dir)
 
     def fn(batch, batch_id):
-        rows = conform_batch(spark, batch, contract, payload, conformed_path, stamp, _query_id(spark), batch_id)
-        log.info("conform batch %s: %s rows conformed", batch_id, rows)
-    return _start(src, _skip_empty(fn, "conform"), checkpoint, trigger or {}, name)
+        return conform_batch(spark, batch, contract, payload, conformed_path, stamp, _query_id(spark), batch_id)
+    return _start(src, _handler(fn, "conform", progress), checkpoint, trigger or {}, name)
 
 
 def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str, contract: StructType | str,
                           payload: str, checkpoint: str | None, multi_line: bool = True,
                           trigger: dict | None = None, max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
-                          stamp: Column | None = None, name: str | None = "conform-documents") -> StreamingQuery:
+                          stamp: Column | None = None, name: str | None = "conform-documents",
+                          progress: ProgressTable | None = None) -> StreamingQuery:
     """Conform job over a folder of JSON documents (A4-A7, A15): each file's name
     goes into the rows' lineage and the rejects."""
     contract = _contract(spark, contract)
@@ -117,15 +125,14 @@ def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str,
 
     def fn(batch, batch_id):
         tagged = tag(batch, contract).withColumn("document", F.col(CORRUPT))
-        rows = write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
-        log.info("document batch %s: %s rows conformed", batch_id, rows)
-    return _start(src, _skip_empty(fn, "documents"), checkpoint, trigger or {}, name)
+        return write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
+    return _start(src, _handler(fn, "documents", progress), checkpoint, trigger or {}, name)
 
 
 def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, serving_root: str,
                 spec: EntitySpec, checkpoint: str | None, trigger: dict | None = None,
                 max_files_per_trigger: int | None = DEFAULT_MAX_FILES, stamp: Column | None = None,
-                name: str | None = "serving") -> StreamingQuery:
+                name: str | None = "serving", progress: ProgressTable | None = None) -> StreamingQuery:
     """Serving job: conformed table stream -> ``publish_entity`` per batch."""
     src = table_stream(spark, conformed_path, schema, max_files_per_trigger=max_files_per_trigger)
 
@@ -135,9 +142,10 @@ def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, se
         batch = batch.persist()
         try:
             publish_entity(spark, batch, spec, serving_root, stamp=stamp, batch_id=batch_id)
+            return batch.count()                    # from what is kept
         finally:
             batch.unpersist()
-    return _start(src, _skip_empty(fn, "serving"), checkpoint, trigger or {}, name)
+    return _start(src, _handler(fn, "serving", progress), checkpoint, trigger or {}, name)
 
 
 def stop_all(spark: SparkSession) -> int:
