@@ -84,12 +84,13 @@ def tag(parsed: DataFrame, contract: StructType) -> DataFrame:
 
 
 def conform_tagged(raw: DataFrame, contract: StructType, seen: DataFrame | None = None,
-                   dedupe: bool = True, seen_runs: DataFrame | None = None) -> DataFrame:
+                   dedupe: bool = True, seen_runs: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Raw rows -> first landings not seen before, parsed and tagged. What was seen comes
-    as identities (``seen``) or as the ledger's runs; those rows go before the ranking."""
+    as identities (``seen``) or as the ledger's runs; those rows go before the ranking.
+    ``carry`` names further columns to keep."""
     if dedupe:
         raw = first_landing(drop_seen_runs(drop_seen(raw, seen), seen_runs))
-    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file") if c in raw.columns]
+    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file", *carry) if c in raw.columns]
     return tag(parse_documents(raw.select(*keep), contract, keep=keep), contract)
 
 
@@ -107,9 +108,9 @@ def conformed_rows(tagged: DataFrame, payload: str, stamp: Column | None = None)
     return split_envelope(good, payload).withColumn(INGEST_DAY, day.cast("date"))
 
 
-def rejected_rows(tagged: DataFrame) -> DataFrame:
+def rejected_rows(tagged: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The rows that don't: their identity, document and file, with the reason."""
-    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file") if c in tagged.columns]
+    keep = [c for c in ("partition", "sequenceNumber", "document", "source_file", *carry) if c in tagged.columns]
     return tagged.where(F.col(REASON).isNotNull()).select(*keep, F.col(REASON).alias("reason"))
 
 

@@ -34,6 +34,7 @@ from strata.plans.conform import append_conformed, conform, conform_batch, confo
 from strata.plans.ledger import IdentityLedger
 from strata.plans.publish import publish_entity
 from strata.plans.spec import EntitySpec
+from strata.plans.workoff import closed_rejects, work_off
 from strata.session import work_dir
 from strata.sources.events import event_stream, file_events
 from strata.sources.hub import append_log, hub_messages, hub_stream, log_positions
@@ -762,21 +763,26 @@ FROM events GROUP BY 1
 """
 
 
-def q_files_per_folder(spark, sf):
-    """Raw folders that a file listing finds (contents never
-    read), whether each has files, and how many folders there are in all."""
-    run = run_event_streams(spark, sf, upto="raw")
-    files = M.list_files(spark, run.raw, glob="*.parquet")
-    folders = M.files_per_folder(files, root=run.raw)
-    total = M.total_files(folders.select("folder"))
-    return folders.crossJoin(F.broadcast(total)).select(
-        "folder", (F.col("files") > 0).alias("has_files"), F.col("total_files").alias("folders"))
+FILE_ROWS = 40
 
 
-SQL_FILES_PER_FOLDER = """
-WITH f AS (SELECT DISTINCT '/event_type=' || lower(event_type) || '/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder
-           FROM events)
-SELECT folder, true AS has_files, count(*) OVER () AS folders FROM f
+def q_files_per_folder(spark, sf):
+    """Events kept as files of at most 40 rows, a folder for each type and
+    day; a file listing (contents never read) counts the files of every folder and of all."""
+    root = f"{work_dir(spark, 'files')}/raw"
+    ev = I.table(spark, sf, "events")
+    # one writer a folder, so that the rows alone say how many files it has
+    (ev.select("event_id", F.lower("event_type").alias("event_type"), F.to_date("ts").alias("ingest_date"))
+     .repartition("event_type", "ingest_date").sortWithinPartitions("event_type", "ingest_date")
+     .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("event_type", "ingest_date").parquet(root))
+    files = M.list_files(spark, root, glob="*.parquet")
+    return M.files_per_folder(files, root=root).crossJoin(F.broadcast(M.total_files(files)))
+
+
+SQL_FILES_PER_FOLDER = f"""
+WITH f AS (SELECT '/event_type=' || lower(event_type) || '/ingest_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder,
+                  CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT) AS files FROM events GROUP BY 1)
+SELECT folder, files, CAST(sum(files) OVER () AS BIGINT) AS total_files FROM f
 """
 
 
@@ -898,32 +904,67 @@ FROM events
 """
 
 
+def q_quarantine_worked_off(spark, sf):
+    """Documents cut short and documents without a publication date are
+    quarantined by the conform stream; a newer contract, in which the date is optional,
+    works the quarantine off, and a second call finds nothing to do. Where each event is
+    in the end, and the reason it once had."""
+    root = work_dir(spark, "workoff")
+    k = F.pmod(F.col("sequenceNumber"), F.lit(11))
+    docs = I.event_document(I.table(spark, sf, "events"))
+    doc = (F.when(k == 0, F.substring("doc", 1, 25)).when(k == 5, F.regexp_replace("doc", '"PublicationDate":"[^"]*",', ""))
+           .otherwise(F.col("doc")))
+    msgs = docs.select(F.encode(doc, "UTF-8").alias("body"), "partition", "sequenceNumber")
+    write_raw(land_events(event_columns(msgs), F.lit(FIXED_STAMP)), f"{root}/raw")
+    finish(run_conform(spark, f"{root}/raw", f"{root}/conformed", I.EVENT_CONTRACT, I.EVENT_PAYLOAD, f"{root}/chk",
+                       trigger=trigger_options(available_now=True), name=None))
+    newer = StructType([StructField(f.name, f.dataType, f.nullable or f.name == "PublicationDate") for f in I.EVENT_CONTRACT.fields])
+    done = [work_off(spark, f"{root}/conformed", newer, I.EVENT_PAYLOAD, F.lit(FIXED_STAMP)) for _ in range(2)]
+    good = read_table(spark, f"{root}/conformed", schema=CONFORMED_EVENTS).select(
+        F.col("MetaData.SourceSequenceNumber").alias("sequenceNumber"), F.lit("conformed").alias("route"))
+    bad = spark.read.parquet(f"{root}/conformed_quarantine").select("sequenceNumber", F.lit("quarantine"))
+    was = closed_rejects(spark, f"{root}/conformed").select(F.col("sequenceNumber").alias("s"), "was")
+    return (good.union(bad).join(was, F.col("sequenceNumber") == F.col("s"), "left").drop("s")
+            .withColumn("moved", F.lit(done[0]["moved"]).cast("long")).withColumn("moved_again", F.lit(done[1]["moved"]).cast("long")))
+
+
+SQL_QUARANTINE_WORKED_OFF = """
+SELECT event_id AS sequenceNumber, CASE WHEN event_id % 11 = 0 THEN 'quarantine' ELSE 'conformed' END AS route,
+       CASE WHEN event_id % 11 = 5 THEN 'required field missing: PublicationDate' END AS was,
+       CAST(count(*) FILTER (event_id % 11 = 5) OVER () AS BIGINT) AS moved, CAST(0 AS BIGINT) AS moved_again
+FROM events
+"""
+
+
 def q_multiline_documents(spark, sf):
-    """One document per file, pretty-printed over several
-    lines, streamed through the document job; its rows name their files, of which
-    the distinct ones and the first are reported."""
+    """Every customer is a pretty-printed document of its own file,
+    streamed through the document job; the rows name their files, of which the
+    distinct ones and the first are reported."""
     root = work_dir(spark, "multiline")
-    nation = I.table(spark, sf, "nation")
-    docs = nation.select(F.to_json(F.struct(F.lit("Nation").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
-                                            F.struct("n_nationkey", "n_name").alias("Nation")), {"pretty": "true"}).alias("value"),
-                         "n_regionkey")
-    docs.repartition(5, "n_regionkey").select("value").limit(25).write.option("lineSep", "\n").text(f"{root}/lines")
-    one = docs.repartitionByRange(25, "value").select("value")
-    one.write.option("maxRecordsPerFile", "1").text(f"{root}/docs")
+    docs = I.table(spark, sf, "customer").select(F.to_json(F.struct(
+        F.lit("Customer").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
+        F.struct("c_custkey", "c_name", "c_nationkey").alias("Customer")), {"pretty": "true"}).alias("value"))
+    docs.write.option("maxRecordsPerFile", "1").text(f"{root}/docs")
     contract = StructType([StructField("Type", StringType()), StructField("BronzeCreatedAt", StringType()),
-                           StructField("Nation", StructType([StructField("n_nationkey", LongType(), False),
-                                                             StructField("n_name", StringType())]), False)])
-    finish(run_conform_documents(spark, f"{root}/docs/*.txt", f"{root}/conformed", contract, "Nation", f"{root}/chk",
-                                 trigger=trigger_options(available_now=True), name=None))
-    got = read_table(spark, f"{root}/conformed", schema=conformed_schema(contract, "Nation"))
-    named = got.select("n_nationkey", "n_name", F.col("MetaData.SourceFile").alias("source_file"))
-    files = M.distinct_files(named).agg(F.count("*").alias("files"))
-    first = M.first_file(named).select(F.endswith("first_file", F.lit(".txt")).alias("first_named"))
-    return named.select("n_nationkey", "n_name").crossJoin(F.broadcast(files)).crossJoin(F.broadcast(first))
+                           StructField("Customer", StructType([StructField("c_custkey", LongType(), False), StructField("c_name", StringType()),
+                                                               StructField("c_nationkey", LongType())]), False)])
+    finish(run_conform_documents(spark, f"{root}/docs/*.txt", f"{root}/conformed", contract, "Customer", f"{root}/chk",
+                                 trigger=trigger_options(available_now=True), max_files_per_trigger=20_000, name=None))
+    got = read_table(spark, f"{root}/conformed", schema=conformed_schema(contract, "Customer"))
+    named = got.select("c_custkey", "c_name", "c_nationkey", F.col("MetaData.SourceFile").alias("source_file"))
+    by_nation = named.groupBy("c_nationkey").agg(F.count("*").alias("documents"), F.sum("c_custkey").alias("keys"),
+                                                 F.max(F.length("c_name")).alias("longest"))
+    # one row each: the count of distinct files, and the first of them
+    files = M.distinct_files(named).agg(F.count("*").alias("files"), F.min("source_file").alias("least"))
+    first = M.first_file(named).select("first_file")
+    facts = files.join(first, F.col("least") == F.col("first_file")).select("files")
+    return by_nation.crossJoin(F.broadcast(facts))
 
 
 SQL_MULTILINE_DOCUMENTS = """
-SELECT n_nationkey, n_name, count(*) OVER () AS files, true AS first_named FROM nation
+SELECT c_nationkey, count(*) AS documents, CAST(sum(c_custkey) AS BIGINT) AS keys, CAST(max(length(c_name)) AS INTEGER) AS longest,
+       (SELECT count(*) FROM customer) AS files
+FROM customer GROUP BY c_nationkey
 """
 
 
@@ -1012,6 +1053,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_text_stamps": q_latest_text_stamps,
     "stream_progress": q_stream_progress,
     "stream_bad_documents": q_stream_bad_documents,
+    "quarantine_worked_off": q_quarantine_worked_off,
     "multiline_documents": q_multiline_documents,
     "contract_report": q_contract_report,
     "stream_facts": q_stream_facts,
@@ -1059,6 +1101,7 @@ ORACLES: dict[str, str] = {
     "latest_text_stamps": SQL_LATEST_TEXT_STAMPS,
     "stream_progress": SQL_STREAM_PROGRESS,
     "stream_bad_documents": SQL_STREAM_BAD_DOCUMENTS,
+    "quarantine_worked_off": SQL_QUARANTINE_WORKED_OFF,
     "multiline_documents": SQL_MULTILINE_DOCUMENTS,
     "contract_report": SQL_CONTRACT_REPORT,
     "stream_facts": SQL_STREAM_FACTS,

@@ -82,6 +82,21 @@ def move_path(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"could not rename {old} to {new}")
 
 
+def move_files(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder's data files into another folder (one call a file, within a file
+    system); files that are there no more were moved before."""
+    p, fs = _fs(spark, old)
+    q, _ = _fs(spark, new)
+    if not fs.exists(p):
+        return
+    fs.mkdirs(q)
+    jvm = spark.sparkContext._jvm
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")) and not fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(q, name)):
+            raise OSError(f"could not rename {old}/{name} to {new}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A committed table: the folder exists and holds data or a commit marker."""
     if not path_exists(spark, path):
