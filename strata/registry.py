@@ -28,6 +28,7 @@ from strata.operators.contract import (REASON, conformance_counts, contract_repo
 from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.intervals import BLOCK_BITS, merged, size
 from strata.operators.latest import latest_per_key, split_null_keys
+from strata.operators.model import Model, measures
 from strata.operators.upsert import bucket_sizes, read_children, read_main, stored_layout
 from strata.pipeline import BUCKETS, EVENT_SPEC, finish, run_event_streams
 from strata.plans.conform import append_conformed, conform, conform_batch, conform_tagged, conformed_schema, tag
@@ -325,6 +326,33 @@ FROM lineitem GROUP BY 1, 2
 """
 
 
+def q_model_measures(spark, sf):
+    """Customers with two child tables that are measured (their orders, the
+    lines of these) and a third that is filtered (lines sent back), by market segment; no child
+    multiplies another's rows, and both filters hold for all tables."""
+    orders, lines = I.table(spark, sf, "orders"), I.table(spark, sf, "lineitem")
+    owned = lines.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    model = Model(I.table(spark, sf, "customer"), "c_custkey",
+                  {"orders": (orders, "o_custkey"), "lines": (owned, "o_custkey"), "returns": (owned.where("l_returnflag = 'R'"), "o_custkey")})
+    got = measures(model, ["c_mktsegment"],
+                   {"main": {"customers": F.count("*"), "balance": F.sum("c_acctbal")},
+                    "orders": {"orders": F.count("*"), "total": F.sum("o_totalprice")},
+                    "lines": {"lines": F.count("*"), "quantity": F.sum("l_quantity")}},
+                   {"main": F.col("c_acctbal") > 0, "returns": F.col("l_quantity") >= 45})
+    return got.select("c_mktsegment", "customers", "orders", "lines", *[F.round(c, 2).alias(c) for c in ("balance", "total", "quantity")])
+
+
+SQL_MODEL_MEASURES = """
+WITH owned AS (SELECT l.*, o_custkey FROM lineitem l JOIN orders ON l_orderkey = o_orderkey),
+kept AS (SELECT * FROM customer WHERE c_acctbal > 0
+         AND c_custkey IN (SELECT o_custkey FROM owned WHERE l_returnflag = 'R' AND l_quantity >= 45)),
+m AS (SELECT c_mktsegment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM kept GROUP BY 1),
+o AS (SELECT c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN kept ON o_custkey = c_custkey GROUP BY 1),
+l AS (SELECT c_mktsegment, count(*) AS lines, round(sum(l_quantity), 2) AS quantity FROM owned JOIN kept ON o_custkey = c_custkey GROUP BY 1)
+SELECT c_mktsegment, customers, orders, lines, balance, total, quantity FROM m JOIN o USING (c_mktsegment) JOIN l USING (c_mktsegment)
+"""
+
+
 def q_imports_by_change_type(spark, sf):
     return S.imports_by_change_type(q_latest_per_key(spark, sf), col="event_type")
 
@@ -1045,6 +1073,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_nested_arrays": q_explode_nested_arrays,
     "model_view": q_model_view,
     "default_measures": q_default_measures,
+    "model_measures": q_model_measures,
     "imports_by_change_type": q_imports_by_change_type,
     "total_imports": q_total_imports,
     "import_timeline": q_import_timeline,
@@ -1093,6 +1122,7 @@ ORACLES: dict[str, str] = {
     "explode_nested_arrays": SQL_EXPLODE_NESTED_ARRAYS,
     "model_view": SQL_MODEL_VIEW,
     "default_measures": SQL_DEFAULT_MEASURES,
+    "model_measures": SQL_MODEL_MEASURES,
     "imports_by_change_type": SQL_IMPORTS_BY_CHANGE_TYPE,
     "total_imports": SQL_TOTAL_IMPORTS,
     "import_timeline": SQL_IMPORT_TIMELINE,
