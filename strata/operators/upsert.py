@@ -27,7 +27,7 @@ in place); ``read_children`` hides them.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,6 +154,7 @@ class BucketedTable:
     files_per_bucket: int = 1  # >1 spreads a heavy bucket over several writers
     spread_col: str | None = None  # column hashed to pick the file inside a bucket
     bucket_bytes: int | None = None  # the table grows by a bucket for each so many bytes
+    lookups: tuple[str, ...] = ()   # columns, besides the key, that are looked up by value
 
     def bucket_of(self, key_col: Column | None = None) -> Column:
         key = F.col(self.key) if key_col is None else key_col
@@ -187,12 +188,21 @@ def _write_partitioned(df: DataFrame, table: BucketedTable, path: str, mode_dyna
                .drop("__spread")
     else:
         df = df.hint("rebalance", BUCKET_COL)
-    w = df.write.mode("overwrite").partitionBy(BUCKET_COL)
+    w = _with_filters(df.write, df.columns, table).mode("overwrite").partitionBy(BUCKET_COL)
     if mode_dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
+def _with_filters(writer, columns: list[str], table: BucketedTable):
+    """Bloom filters on the key and the lookup columns, sized by what a row group holds: a
+    read by value skips the row groups that don't have it. (A column that Parquet keeps
+    as a dictionary gets none; its dictionary says the same.)"""
+    for c in {table.key, *table.lookups}.intersection(columns):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def bucket_sizes(spark: SparkSession, path: str) -> dict[int, int]:
     """Bytes of every bucket's files, from a listing (one row a bucket)."""
     if not table_exists(spark, path):
@@ -231,8 +241,8 @@ def recommit_staged(spark: SparkSession, table: BucketedTable, staging: str) ->
     remember_schema(spark, table.path, staged.schema, stored_schema(spark, table.path))
     if plan is None or plan["from"] == plan["to"]:
         # files are already one bucket each: no shuffle, one writer per file
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-              .partitionBy(BUCKET_COL).parquet(table.path)
+        _with_filters(staged.write, staged.columns, table).mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(table.path)
         return
     grown = replace(table, buckets=plan["to"])
     staged = staged.withColumn(BUCKET_COL, grown.bucket_of())
@@ -330,6 +340,25 @@ def replace_children(spark: SparkSession, child_rows: DataFrame, parent_keys: Da
                    keys_unique=parents_unique)
 
 
+def lookup(spark: SparkSession, table: BucketedTable, keys: Sequence, **where: Sequence) -> DataFrame | None:
+    """The rows of some keys (none: of any key) with some values in other columns (none:
+    any value). The keys' buckets are the only folders read, and in them the row groups
+    whose Bloom filters may hold a wanted key and value."""
+    table, _ = open_table(spark, table)
+    df = read_serving(spark, table.path)
+    if df is None:
+        return None
+    if keys:
+        kind = df.schema[table.key].dataType
+        wanted = [F.lit(k).cast(kind) for k in keys]
+        at = spark.range(1).select(F.array_distinct(F.array(*[table.bucket_of(k) for k in wanted]))).first()[0]
+        df = df.where(F.col(BUCKET_COL).isin(at) & F.col(table.key).isin(*wanted))
+    for column, values in where.items():
+        if values:
+            df = df.where(F.col(column).isin(list(values)))
+    return df.drop(BUCKET_COL)
+
+
 def read_main(spark: SparkSession, path: str, keep_deleted: bool = False) -> DataFrame | None:
     df = read_serving(spark, path)
     if df is None:
@@ -349,4 +378,4 @@ def read_children(spark: SparkSession, path: str) -> DataFrame | None:
 
 __all__ = ["BucketedTable", "BUCKET_COL", "DELETED_COL", "UID_COL", "upsert_main",
            "replace_children", "read_main", "read_children", "touched_buckets",
-           "commit_buckets", "replace_by_key", "merge_newest", "open_table", "bucket_sizes"]
+           "commit_buckets", "replace_by_key", "merge_newest", "open_table", "bucket_sizes", "lookup"]

@@ -34,7 +34,7 @@ QUARANTINE = "_quarantine"
 def main_table(spec: EntitySpec, root: str) -> BucketedTable:
     """A fixed number of buckets, or one that grows where the spec names none."""
     return BucketedTable(f"{root.rstrip('/')}/{spec.name}", spec.key, spec.buckets or 1,
-                         bucket_bytes=None if spec.buckets else spec.bucket_bytes)
+                         bucket_bytes=None if spec.buckets else spec.bucket_bytes, lookups=spec.lookups)
 
 
 def child_table(spec: EntitySpec, root: str, array_col: str) -> BucketedTable:

@@ -23,6 +23,7 @@ class EntitySpec:
     buckets: int | None = None                 # main table key buckets, fixed with the table; None: they
                                                # grow with it, one for each ``bucket_bytes`` written
     bucket_bytes: int = 256 << 20
+    lookups: tuple[str, ...] = ()              # columns looked up by value, besides the key (C6)
     child_buckets: int | None = None           # child tables (default: same as main)
     child_files_per_bucket: int = 1            # writers per child bucket (heavy parents)
     delete_when: str | None = None             # SQL predicate on the flattened batch

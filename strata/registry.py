@@ -29,11 +29,11 @@ from strata.operators.envelope import event_columns, land_events, split_envelope
 from strata.operators.intervals import BLOCK_BITS, merged, size
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.model import Model, measures
-from strata.operators.upsert import bucket_sizes, read_children, read_main, stored_layout
+from strata.operators.upsert import bucket_sizes, lookup, read_children, read_main, stored_layout
 from strata.pipeline import BUCKETS, EVENT_SPEC, finish, run_event_streams
 from strata.plans.conform import append_conformed, conform, conform_batch, conform_tagged, conformed_schema, tag
 from strata.plans.ledger import IdentityLedger
-from strata.plans.publish import publish_entity
+from strata.plans.publish import main_table, publish_entity
 from strata.plans.spec import EntitySpec
 from strata.plans.workoff import closed_rejects, work_off
 from strata.session import work_dir
@@ -353,6 +353,31 @@ SELECT c_mktsegment, customers, orders, lines, balance, total, quantity FROM m J
 """
 
 
+LOOKUP_KEYS = [0, 7, 77, 777, 999, -5, 10**9]
+LOOKUP_SPEC = EntitySpec(name="Found", key="event_id", bucket_bytes=64 << 10, ties=(), lookups=("user_id",))
+
+
+def q_lookup_by_value(spark, sf):
+    """All events in a serving table with Bloom filters on its key and users; the events
+    of some keys, some of them unknown, and those of the busiest user."""
+    root = f"{work_dir(spark, 'lookup')}/serving"
+    ev = I.table(spark, sf, "events")
+    publish_entity(spark, ev.select(F.struct(F.col("ts").alias("PublicationDate")).alias("MetaData"), "event_id", "user_id", "event_type"),
+                   LOOKUP_SPEC, root, stamp=F.lit(FIXED_STAMP))
+    busiest = ev.groupBy("user_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "user_id").first()["user_id"]
+    table = main_table(LOOKUP_SPEC, root)
+    by_key = lookup(spark, table, LOOKUP_KEYS).withColumn("by", F.lit("key"))
+    by_user = lookup(spark, table, [], user_id=[busiest]).withColumn("by", F.lit("user"))
+    return by_key.union(by_user).select("by", "event_id", "user_id", "event_type")
+
+
+SQL_LOOKUP_BY_VALUE = f"""
+WITH busiest AS (SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT 'key' AS by, event_id, user_id, event_type FROM events WHERE event_id IN {tuple(LOOKUP_KEYS)}
+UNION ALL SELECT 'user', event_id, user_id, event_type FROM events WHERE user_id = (SELECT user_id FROM busiest)
+"""
+
+
 def q_imports_by_change_type(spark, sf):
     return S.imports_by_change_type(q_latest_per_key(spark, sf), col="event_type")
 
@@ -1074,6 +1099,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_view": q_model_view,
     "default_measures": q_default_measures,
     "model_measures": q_model_measures,
+    "lookup_by_value": q_lookup_by_value,
     "imports_by_change_type": q_imports_by_change_type,
     "total_imports": q_total_imports,
     "import_timeline": q_import_timeline,
@@ -1123,6 +1149,7 @@ ORACLES: dict[str, str] = {
     "model_view": SQL_MODEL_VIEW,
     "default_measures": SQL_DEFAULT_MEASURES,
     "model_measures": SQL_MODEL_MEASURES,
+    "lookup_by_value": SQL_LOOKUP_BY_VALUE,
     "imports_by_change_type": SQL_IMPORTS_BY_CHANGE_TYPE,
     "total_imports": SQL_TOTAL_IMPORTS,
     "import_timeline": SQL_IMPORT_TIMELINE,
