@@ -26,6 +26,7 @@ from strata.operators import serve as S
 from strata.operators.contract import (REASON, conformance_counts, contract_report, enforce, infer_contract,
                                        load_contract, parse_documents, save_contract)
 from strata.operators.envelope import event_columns, land_events, split_envelope
+from strata.operators.inference import as_contract, keep_day_schemas, kept_kind, leaves
 from strata.operators.intervals import BLOCK_BITS, merged, size
 from strata.operators.latest import latest_per_key, split_null_keys
 from strata.operators.model import Model, measures
@@ -1044,6 +1045,36 @@ UNION ALL SELECT '<root>', 'order'
 """
 
 
+def q_contract_by_day(spark, sf):
+    """Stamped documents, of which every seventh has one field more, in the raw zone; the
+    first days' schemas are kept, then the other days', and merged: every field of the
+    contract, its type, and the days that have it."""
+    root = work_dir(spark, "contract-days")
+    ev = I.table(spark, sf, "events")
+    more = F.when(F.pmod("event_id", F.lit(7)) == 0, F.col("event_type"))
+    doc = F.to_json(F.struct(F.lit("Event").alias("Type"), F.struct("event_id", "user_id", "value", more.alias("more")).alias("Event"),
+                             F.array("event_id", "user_id").alias("ids")))
+    ev.select(doc.alias("document"), F.to_date("ts").alias("ingest_date")).write.partitionBy("ingest_date").parquet(f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
+    keep_day_schemas(spark, raw.where(F.col("ingest_date") < F.lit(DUP_DAY).cast("date")), f"{root}/kept")
+    keep_day_schemas(spark, raw, f"{root}/kept")
+    fields = spark.createDataFrame(leaves(as_contract(kept_kind(spark, f"{root}/kept"))), "path string, type string")
+    kept = spark.read.parquet(f"{root}/kept")
+    # a day has a field if its schema names it
+    last = F.concat(F.regexp_extract("path", "([^.]+)$", 1), F.lit(": "))
+    return (fields.join(kept, F.contains("schema", last)).groupBy("path", "type")
+            .agg(F.count("*").alias("days"), F.sum("documents").alias("documents")))
+
+
+SQL_CONTRACT_BY_DAY = """
+WITH f AS (SELECT * FROM (VALUES ('Type', 'string'), ('Event.event_id', 'bigint'), ('Event.user_id', 'bigint'), ('Event.value', 'double'),
+                                 ('ids', 'array<bigint>')) v(path, type)),
+d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, bool_or(event_id % 7 = 0) AS more FROM events GROUP BY 1)
+SELECT path, type, count(*) AS days, CAST(sum(n) AS BIGINT) AS documents FROM f, d GROUP BY path, type
+UNION ALL SELECT 'Event.more', 'string', count(*), CAST(sum(n) AS BIGINT) FROM d WHERE more
+"""
+
+
 def q_stream_facts(spark, sf):
     """The raw job under each trigger over the same hub files:
     its name, the rows that landed, whether an empty batch landed any, and whether
@@ -1111,6 +1142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_worked_off": q_quarantine_worked_off,
     "multiline_documents": q_multiline_documents,
     "contract_report": q_contract_report,
+    "contract_by_day": q_contract_by_day,
     "stream_facts": q_stream_facts,
     "bad_document_quarantine": q_bad_document_quarantine,
     "dedupe_replayed_events": q_dedupe_replayed_events,
@@ -1161,6 +1193,7 @@ ORACLES: dict[str, str] = {
     "quarantine_worked_off": SQL_QUARANTINE_WORKED_OFF,
     "multiline_documents": SQL_MULTILINE_DOCUMENTS,
     "contract_report": SQL_CONTRACT_REPORT,
+    "contract_by_day": SQL_CONTRACT_BY_DAY,
     "stream_facts": SQL_STREAM_FACTS,
     "files_per_folder": SQL_FILES_PER_FOLDER,
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
