@@ -76,13 +76,27 @@ def s_types(text: np.ndarray) -> np.ndarray:
     n = len(text)
     out = np.zeros(n, bool)
     out[-1] = True
-    differs = np.flatnonzero(text[:-1] != text[1:])
+    differ = text[:-1] != text[1:]
+    differs = np.flatnonzero(differ)
     # equal neighbours are of the type of the next differing pair; the end symbol differs from all
-    upto = np.searchsorted(differs, np.arange(n - 1))
+    upto = np.cumsum(differ) - differ
     out[:-1] = text[differs[upto]] < text[differs[upto] + 1]
     return out
 
 
+def _refine(name: np.ndarray, own: np.ndarray, key: np.ndarray) -> None:
+    """Names are ranks (how many are less); those of the members ``own`` of whole groups of
+    equal names are told apart by ``key``."""
+    order = np.argsort(name[own] * (int(key.max()) + 1) + key)
+    who, key = own[order], key[order]
+    old = name[who]
+    group, same = np.ones(len(who), bool), np.ones(len(who), bool)
+    group[1:] = old[1:] != old[:-1]
+    same[1:] = group[1:] | (key[1:] != key[:-1])
+    place = np.arange(len(who))
+    name[who] = old + np.maximum.accumulate(np.where(same, place, 0)) - np.maximum.accumulate(np.where(group, place, 0))
+
+
 def sorted_stars(text: np.ndarray, types: np.ndarray, depth: int) -> np.ndarray:
     """Positions of the S* suffixes, sorted to ``depth`` symbols."""
     star = np.flatnonzero(types[1:] & ~types[:-1]) + 1
@@ -94,46 +108,51 @@ def sorted_stars(text: np.ndarray, types: np.ndarray, depth: int) -> np.ndarray:
     length = np.append(np.diff(star) + 1, 1)                # an S* substring ends with the next one's first symbol
     length = np.minimum(length, depth + 6)
     name = np.zeros(len(star), np.int64)
-    todo, at = np.arange(len(star)), 0
-    while len(todo):                                        # six symbols at a time, for those that go on
-        key = np.zeros(len(todo), np.int64)
+    own, at = np.arange(len(star)), 0
+    while len(own):                                         # six symbols at a time, for groups in which some go on
+        key = np.zeros(len(own), np.int64)
         for k in range(6):
-            inside = length[todo] > at + k
-            key = key << 10 | np.where(inside, coded[np.minimum(star[todo] + at + k, n)], 0)
-        full = np.zeros(len(star), np.int64)
-        full[todo] = key
-        order = np.lexsort((full, name))
-        new = np.concatenate(([False], (np.diff(name[order]) != 0) | (np.diff(full[order]) != 0)))
-        name[order] = np.cumsum(new)
+            key = key << 10 | np.where(length[own] > at + k, coded[np.minimum(star[own] + at + k, n)], 0)
+        _refine(name, own, np.unique(key, return_inverse=True)[1])
         at += 6
-        count = np.bincount(name)
-        todo = np.flatnonzero((length > at) & (count[name] > 1))
+        open_ = np.zeros(len(star), bool)
+        open_[name[length > at]] = True
+        own = np.flatnonzero(open_[name] & (np.bincount(name, minlength=len(star))[name] > 1))
     step = 1
-    while step * 2 < 2 * depth and name.max() < len(star) - 1:     # a name covers two symbols at least
-        after = np.zeros(len(star), np.int64)
-        after[:-step] = name[step:] + 1
-        order = np.lexsort((after, name))
-        new = np.concatenate(([False], (np.diff(name[order]) != 0) | (np.diff(after[order]) != 0)))
-        name[order] = np.cumsum(new)
-        step *= 2
-        if step >= len(star):
+    while step < depth and step < len(star):                # a name covers two symbols at least
+        own = np.flatnonzero(np.bincount(name, minlength=len(star))[name] > 1)
+        if not len(own):
             break
-    return star[np.argsort(name, kind="stable")]
+        after = own + step
+        _refine(name, own, np.where(after < len(star), name[np.minimum(after, len(star) - 1)] + 1, 0))
+        step *= 2
+    return star[np.argsort(name * len(star) + np.arange(len(star)))]
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefixes of pairs of suffixes, capped."""
+def packed(text: np.ndarray) -> np.ndarray:
+    """Four symbols from every place on, the first one in the low bits."""
+    t = np.concatenate((text, np.zeros(3, text.dtype))).astype(np.uint64)
+    return t[:-3] | t[1:-2] << np.uint64(16) | t[2:-1] << np.uint64(32) | t[3:] << np.uint64(48)
+
+
+def common_prefix(fours: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Common prefixes of pairs of different suffixes of a ``packed`` text, capped. The end
+    symbol occurs once, so two suffixes differ before one of them is over."""
     out = np.zeros(len(a), np.int32)
-    todo, n = np.arange(len(a)), len(text)
-    for k in range(depth):
-        x, y = a[todo] + k, b[todo] + k
-        inside = (x < n) & (y < n)
-        same = inside & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])
-        todo = todo[same]
+    todo = np.arange(len(a))
+    for k in range(0, depth, 4):
+        differ = fours[a + k] ^ fours[b + k]
+        same = differ == 0
+        low = differ[~same]
+        one = (low & np.uint64(0xFFFF)) == 0
+        two = one & ((low & np.uint64(0xFFFFFFFF)) == 0)
+        three = two & ((low & np.uint64(0xFFFFFFFFFFFF)) == 0)
+        out[todo[~same]] = k + one + two + three
+        todo, a, b = todo[same], a[same], b[same]
         if not len(todo):
             break
-        out[todo] += 1
-    return out
+    out[todo] = depth
+    return np.minimum(out, depth)
 
 
 class _Scan:
@@ -196,7 +215,8 @@ def sort_suffixes(text: np.ndarray, depth: int, memory: int = MEMORY) -> tuple[n
     stars = sorted_stars(text, types, depth)
     seeds = np.empty(len(stars), TUPLE)
     seeds["at"], seeds["lcp"] = stars, 0
-    seeds["lcp"][1:] = common_prefix(text, stars[:-1], stars[1:], depth)
+    fours = packed(text)
+    seeds["lcp"][1:] = common_prefix(fours, stars[:-1], stars[1:], depth)
     seed_at = np.searchsorted(text[stars], np.arange(N_SYMBOLS + 1))
 
     def meet(tuples: np.ndarray, last: int | None) -> np.ndarray:
@@ -204,7 +224,7 @@ def sort_suffixes(text: np.ndarray, depth: int, memory: int = MEMORY) -> tuple[n
         if len(tuples):
             tuples = tuples.copy()
             tuples["lcp"][0] = 0 if last is None else common_prefix(
-                text, np.array([last]), tuples["at"][:1], depth)[0]
+                fours, np.array([last]), tuples["at"][:1], depth)[0]
         return tuples
 
     large: list[np.ndarray] = []

@@ -197,19 +197,33 @@ def search_shard(h: np.ndarray, ids: np.ndarray, tags: np.ndarray, starts: np.nd
     order, common = sort_suffixes(shard, LENGTH)
     sizes = np.array([len(t) for t in texts], np.int64) + 1         # with the separator
     ends = np.cumsum(sizes)
-    segment = np.minimum(np.searchsorted(ends, order, side="right"), len(texts) - 1)
+    of_place = np.append(np.repeat(np.arange(len(texts)), sizes), len(texts) - 1)
+    segment = of_place[order]
     offset = order - (ends - sizes)[segment]
     window = offset + LENGTH < sizes[segment]                       # a whole window stands there
     # groups: suffixes that share LENGTH symbols; between two windows of a group stand only windows
     group = np.cumsum(common < LENGTH)
     row = np.flatnonzero(window)
+    if not len(row):
+        return row, row
     segment, offset, group = segment[row], offset[row], group[row]
+    # the first of each group by (id, tag, start) stays: segments by id and tag, then a least start among those
+    by_text = np.lexsort((tags, ids))
+    new = np.ones(len(ids), bool)
+    new[1:] = (np.diff(ids[by_text]) != 0) | (np.diff(tags[by_text]) != 0)
+    rank = np.empty(len(ids), np.int64)
+    rank[by_text] = np.cumsum(new)
     start = starts[segment] + offset
-    best = np.lexsort((start, tags[segment], ids[segment], group))
-    first = np.ones(len(best), bool)
-    first[1:] = np.diff(group[best]) != 0
-    gone = best[~first]
-    return segment[gone], offset[gone]
+    at = np.flatnonzero(np.diff(group, prepend=-1))
+    members = np.diff(at, append=len(group))
+    own_rank = rank[segment]
+    least = own_rank == np.repeat(np.minimum.reduceat(own_rank, at), members)
+    start = np.where(least, start, np.iinfo(np.int64).max)
+    first = np.flatnonzero(least & (start == np.repeat(np.minimum.reduceat(start, at), members)))
+    first = first[np.diff(group[first], prepend=-1) != 0]          # one, where a row is repeated
+    stays = np.zeros(len(group), bool)
+    stays[first] = True
+    return segment[~stays], offset[~stays]
 
 
 def search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
