@@ -40,7 +40,7 @@ from strata.plans.workoff import closed_rejects, work_off
 from strata.session import work_dir
 from strata.sources.events import event_stream, file_events
 from strata.sources.hub import append_log, hub_messages, hub_stream, log_positions
-from strata.sources.raw import json_documents, read_raw, write_raw
+from strata.sources.raw import as_text, document_keys, json_documents, read_raw, read_raw_variant, write_raw, write_raw_variant
 from strata.sources.tables import path_exists, read_table, register_view
 from strata.streaming.jobs import run_conform, run_conform_documents, run_raw, stop_all, trigger_options
 from strata.streaming.progress import ProgressTable, read_progress
@@ -820,6 +820,33 @@ FROM events GROUP BY 1
 FILE_ROWS = 40
 
 
+def q_raw_variant_zone(spark, sf):
+    """The raw zone with variant documents (every 13th body is cut short and stays
+    text): keys read back from the shredded columns, and the route each row takes when it is
+    conformed from there."""
+    root = work_dir(spark, "variants")
+    msgs = I.event_messages(I.table(spark, sf, "events"))
+    msgs = msgs.withColumn("body", F.when(F.pmod("sequenceNumber", F.lit(13)) == 0, F.substring("body", 1, 20)).otherwise(F.col("body")))
+    write_raw_variant(land_events(event_columns(msgs), F.lit(FIXED_STAMP)), f"{root}/raw")
+    raw = read_raw_variant(spark, f"{root}/raw")
+    keys = document_keys(raw, {"doc_type": ("$.Type", "string"), "stamp": ("$.BronzeCreatedAt", "string"),
+                               "user_id": (f"$.{I.EVENT_PAYLOAD}.user_id", "long"), "value": (f"$.{I.EVENT_PAYLOAD}.value", "double")},
+                         "partition", "sequenceNumber", "event_type", "ingest_date")
+    tagged = conform_tagged(as_text(raw), I.EVENT_CONTRACT)
+    route = tagged.select(F.col("partition").alias("p"), F.col("sequenceNumber").alias("s"), F.col(REASON).alias("reason"))
+    return keys.join(route, (F.col("partition") == F.col("p")) & (F.col("sequenceNumber") == F.col("s"))).drop("p", "s")
+
+
+SQL_RAW_VARIANT_ZONE = """
+WITH e AS (SELECT *, event_id % 13 = 0 AS broken FROM events)
+SELECT event_id % 4 AS partition, event_id AS sequenceNumber, CASE WHEN broken THEN 'unknown' ELSE lower(event_type) END AS event_type,
+       DATE '2031-07-04' AS ingest_date, CASE WHEN NOT broken THEN upper(substr(event_type, 1, 1)) || substr(event_type, 2) END AS doc_type,
+       CASE WHEN NOT broken THEN '2031-07-04T05:06:07' END AS stamp, CASE WHEN NOT broken THEN user_id END AS user_id,
+       CASE WHEN NOT broken THEN value END AS value, CASE WHEN broken THEN 'malformed or mistyped document' END AS reason
+FROM e
+"""
+
+
 def q_files_per_folder(spark, sf):
     """Events kept as files of at most 40 rows, a folder for each type and
     day; a file listing (contents never read) counts the files of every folder and of all."""
@@ -1156,6 +1183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replace_children": q_replace_children,
     "stream_raw_to_serving": q_stream_raw_to_serving,
     "raw_rows_per_folder": q_raw_rows_per_folder,
+    "raw_variant_zone": q_raw_variant_zone,
     "files_per_folder": q_files_per_folder,
     "layer_reconciliation": q_layer_reconciliation,
     "conformed_rows_per_day_sql": q_conformed_rows_per_day_sql,
@@ -1195,6 +1223,7 @@ ORACLES: dict[str, str] = {
     "contract_report": SQL_CONTRACT_REPORT,
     "contract_by_day": SQL_CONTRACT_BY_DAY,
     "stream_facts": SQL_STREAM_FACTS,
+    "raw_variant_zone": SQL_RAW_VARIANT_ZONE,
     "files_per_folder": SQL_FILES_PER_FOLDER,
     "bad_document_quarantine": SQL_BAD_DOCUMENT_QUARANTINE,
     "dedupe_replayed_events": SQL_DEDUPE_REPLAYED_EVENTS,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, LongType, StringType, StructField,
-                               StructType, TimestampType)
+                               StructType, TimestampType, VariantType)
 
 from strata.operators.contract import parse_documents
 
@@ -51,6 +51,56 @@ def read_raw(spark: SparkSession, root: str, event_type: str | None = None,
     return df
 
 
+#: Spark writes a variant column's common fields as columns of their own, and reads only
+#: the ones a query asks for.
+VARIANT_CONF = {"spark.sql.variant.writeShredding.enabled": "true", "spark.sql.variant.inferShreddingSchema": "true",
+                "spark.sql.variant.allowReadingShredded": "true", "spark.sql.variant.pushVariantIntoScan": "true"}
+RAW_VARIANT_SCHEMA = StructType([
+    StructField("partition", LongType()),
+    StructField("sequenceNumber", LongType()),
+    StructField("BronzeCreatedAt", TimestampType()),
+    StructField("document", VariantType()),
+    StructField("text", StringType()),
+    StructField("event_type", StringType()),
+    StructField("ingest_date", DateType()),
+])
+
+
+def use_variants(spark: SparkSession) -> None:
+    """Set what shredded writes and pruned reads need on a session."""
+    for name, value in VARIANT_CONF.items():
+        spark.conf.set(name, value)
+
+
+def write_raw_variant(landed: DataFrame, root: str) -> None:
+    """A3 with the document as a variant, shredded into columns: a key, a type or a stamp is
+    read without its document's text being read or parsed. What is no JSON object (or has
+    a key twice inside it) keeps its text beside a NULL document."""
+    use_variants(landed.sparkSession)
+    parsed = F.when(F.col("stamped"), F.try_parse_json("document"))
+    rows = landed.withColumn("__v", parsed).withColumn("text", F.when(F.col("__v").isNull(), F.col("document"))) \
+                 .withColumn("document", F.col("__v"))
+    rows.select(*[f.name for f in RAW_VARIANT_SCHEMA.fields]).hint("rebalance", *RAW_PARTITIONS) \
+        .write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(root)
+
+
+def read_raw_variant(spark: SparkSession, root: str) -> DataFrame:
+    use_variants(spark)
+    return spark.read.schema(RAW_VARIANT_SCHEMA).parquet(root)
+
+
+def document_keys(raw: DataFrame, keys: dict[str, tuple[str, str]], *others: str) -> DataFrame:
+    """``name -> (JSON path, type)`` read from variant documents beside some columns; a value of
+    another type is NULL. Only these paths' columns are read."""
+    return raw.select(*others, *[F.try_variant_get("document", path, kind).alias(name) for name, (path, kind) in keys.items()])
+
+
+def as_text(raw: DataFrame) -> DataFrame:
+    """Rows of a variant raw zone as those of the text one: what the conform job reads."""
+    return raw.select("partition", "sequenceNumber", "BronzeCreatedAt", F.coalesce(F.to_json("document"), F.col("text")).alias("document"),
+                      F.col("document").isNotNull().alias("stamped"), "event_type", "ingest_date")
+
+
 def raw_stream(spark: SparkSession, root: str, event_type: str | None = None,
                max_files_per_trigger: int | None = None, fmt: str = "parquet",
                archive_dir: str | None = None) -> DataFrame:

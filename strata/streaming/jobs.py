@@ -60,7 +60,7 @@ def _start(df: DataFrame, handler, checkpoint: str | None, trigger: dict,
     return w.start()                                # L6 (caller awaits)
 
 
-def _handler(fn, what: str, progress: ProgressTable | None = None):
+def _skip_empty(fn, what: str, progress: ProgressTable | None = None):
     """The callback around ``fn(batch, batch_id) -> rows written``."""
     def handler(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                         # L8
@@ -85,7 +85,7 @@ def run_raw(events: DataFrame, raw_root: str, checkpoint: str | None,
         landed, obs = observe_rows(land_events(batch, stamp), f"raw-{batch_id}")
         write_raw(landed, raw_root)
         return observed_rows(obs)
-    return _start(events, _handler(fn, "raw", progress), checkpoint, trigger or {}, name)
+    return _start(events, _skip_empty(fn, "raw", progress), checkpoint, trigger or {}, name)
 
 
 def _contract(spark: SparkSession, contract: StructType | str) -> StructType:
@@ -108,7 +108,7 @@ def run_conform(spark: SparkSession, raw_root: str, conformed_path: str, contrac
 
     def fn(batch, batch_id):
         return conform_batch(spark, batch, contract, payload, conformed_path, stamp, _query_id(spark), batch_id)
-    return _start(src, _handler(fn, "conform", progress), checkpoint, trigger or {}, name)
+    return _start(src, _skip_empty(fn, "conform", progress), checkpoint, trigger or {}, name)
 
 
 def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str, contract: StructType | str,
@@ -126,7 +126,7 @@ def run_conform_documents(spark: SparkSession, folder: str, conformed_path: str,
     def fn(batch, batch_id):
         tagged = tag(batch, contract).withColumn("document", F.col(CORRUPT))
         return write_conformed(tagged, payload, stamp, conformed_path, quarantine, _query_id(spark), batch_id)
-    return _start(src, _handler(fn, "documents", progress), checkpoint, trigger or {}, name)
+    return _start(src, _skip_empty(fn, "documents", progress), checkpoint, trigger or {}, name)
 
 
 def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, serving_root: str,
@@ -145,7 +145,7 @@ def run_serving(spark: SparkSession, conformed_path: str, schema: StructType, se
             return batch.count()                    # from what is kept
         finally:
             batch.unpersist()
-    return _start(src, _handler(fn, "serving", progress), checkpoint, trigger or {}, name)
+    return _start(src, _skip_empty(fn, "serving", progress), checkpoint, trigger or {}, name)
 
 
 def stop_all(spark: SparkSession) -> int:
