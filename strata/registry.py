@@ -43,6 +43,7 @@ from strata.sources.hub import append_log, hub_messages, hub_stream, log_positio
 from strata.sources.raw import as_text, document_keys, json_documents, read_raw, read_raw_variant, write_raw, write_raw_variant
 from strata.sources.tables import path_exists, read_table, register_view
 from strata.streaming.jobs import run_conform, run_conform_documents, run_raw, stop_all, trigger_options
+from strata.streaming.monitors import read_rows_per_day, run_rows_per_day, uncounted
 from strata.streaming.progress import ProgressTable, read_progress
 
 # Fixed parameters of the registered queries (no wall clock in a compared result).
@@ -956,6 +957,38 @@ FROM (SELECT count(*) AS n FROM events)
 """
 
 
+def q_rows_per_day_stream(spark, sf):
+    """Rows per day kept by a stateful stream over three parts of the events, by time;
+    with the last part come events of the first two, of which those that the watermark has
+    passed are in no count, but counted."""
+    root = work_dir(spark, "daily")
+    ev = I.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * x for x in (1 / 3, 2 / 3)]
+    delayed = F.pmod("event_id", F.lit(50)) == 7
+    early, mid = F.col("ts") < F.lit(cuts[0]), F.col("ts") < F.lit(cuts[1])
+    parts = [ev.where(early & ~delayed), ev.where(~early & mid & ~delayed), ev.where(~mid | delayed)]
+    table = ProgressTable(spark, f"{root}/progress")
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = file_events(spark, f"{root}/events", ev.schema)
+        finish(run_rows_per_day(stream, "ts", f"{root}/daily", f"{root}/chk", "1 day", trigger_options(available_now=True), progress=table))
+    table.close()
+    late = uncounted(spark, f"{root}/daily", f"{root}/progress")
+    return read_rows_per_day(spark, f"{root}/daily").withColumn("late", F.lit(late).cast("long"))
+
+
+SQL_ROWS_PER_DAY_STREAM = """
+WITH b AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+e AS (SELECT CAST(ts AS DATE) AS day, event_id % 50 = 7 AS delayed, epoch_us(ts) AS us,
+             epoch_us(ts) < lo + round((hi - lo) * (2.0::DOUBLE / 3)) AS before FROM events, b),
+w AS (SELECT max(us) - 86400000000 AS mark FROM e WHERE before AND NOT delayed),
+t AS (SELECT day, delayed AND epoch_us(CAST(day AS TIMESTAMP)) + 86400000000 <= mark AS late FROM e, w)
+SELECT day, CAST(count(*) FILTER (NOT late) AS BIGINT) AS row_count, (SELECT count(*) FROM t WHERE late) AS late
+FROM t GROUP BY day
+"""
+
+
 def q_stream_bad_documents(spark, sf):
     """Hub events of which every 13th body is cut short, landed
     twice in batches of their own: the conformed table and the quarantine hold
@@ -1165,6 +1198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expand_struct": q_expand_struct,
     "latest_text_stamps": q_latest_text_stamps,
     "stream_progress": q_stream_progress,
+    "rows_per_day_stream": q_rows_per_day_stream,
     "stream_bad_documents": q_stream_bad_documents,
     "quarantine_worked_off": q_quarantine_worked_off,
     "multiline_documents": q_multiline_documents,
@@ -1217,6 +1251,7 @@ ORACLES: dict[str, str] = {
     "expand_struct": SQL_EXPAND_STRUCT,
     "latest_text_stamps": SQL_LATEST_TEXT_STAMPS,
     "stream_progress": SQL_STREAM_PROGRESS,
+    "rows_per_day_stream": SQL_ROWS_PER_DAY_STREAM,
     "stream_bad_documents": SQL_STREAM_BAD_DOCUMENTS,
     "quarantine_worked_off": SQL_QUARANTINE_WORKED_OFF,
     "multiline_documents": SQL_MULTILINE_DOCUMENTS,

@@ -45,11 +45,11 @@ def trigger_options(processing_time: str | None = None, available_now: bool = Fa
 
 
 def _start(df: DataFrame, handler, checkpoint: str | None, trigger: dict,
-           name: str | None) -> StreamingQuery:
+           name: str | None, mode: str = "append") -> StreamingQuery:
     """Start a foreachBatch query. Without a checkpoint (L10, a one-off run)
     a fresh one is taken under the shared checkpoint folder, never a
     machine-local temporary folder."""
-    w = df.writeStream.foreachBatch(handler)
+    w = df.writeStream.outputMode(mode).foreachBatch(handler)
     if name:
         w = w.queryName(name)                       # L5
     if not checkpoint:

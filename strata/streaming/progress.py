@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from strata.sources.tables import path_exists, write_small_text
 
-ENTRY = ("query string, name string, batch long, rows long, input_rows long, millis long, started string, "
+ENTRY = ("query string, name string, batch long, rows long, input_rows long, observed long, millis long, started string, "
          "failure string")
+OBSERVED = "rows_read"              # the name under which a stream observes its rows before it aggregates them
 
 
 class ProgressTable(StreamingQueryListener):
@@ -58,7 +59,9 @@ class ProgressTable(StreamingQueryListener):
         with self._lock:
             own = self._noted.pop((str(p.id), p.batchId), None)
         if own is not None and own["rows"] is not None:     # a trigger without a batch has nothing to say
+            seen = (p.observedMetrics or {}).get(OBSERVED)
             self._write(f"{p.batchId:012d}", {**own, "input_rows": p.numInputRows, "started": p.timestamp,
+                                              "observed": None if seen is None else seen["rows"],
                                               "millis": p.durationMs.get("triggerExecution")})
 
     def onQueryTerminated(self, event) -> None:
