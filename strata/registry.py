@@ -1051,23 +1051,23 @@ FROM events
 
 
 def q_multiline_documents(spark, sf):
-    """Every customer is a pretty-printed document of its own file,
+    """Every supplier is a pretty-printed document of its own file,
     streamed through the document job; the rows name their files, of which the
     distinct ones and the first are reported."""
     root = work_dir(spark, "multiline")
-    docs = I.table(spark, sf, "customer").select(F.to_json(F.struct(
-        F.lit("Customer").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
-        F.struct("c_custkey", "c_name", "c_nationkey").alias("Customer")), {"pretty": "true"}).alias("value"))
+    docs = I.table(spark, sf, "supplier").select(F.to_json(F.struct(
+        F.lit("Supplier").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
+        F.struct("s_suppkey", "s_name", "s_nationkey").alias("Supplier")), {"pretty": "true"}).alias("value"))
     docs.write.option("maxRecordsPerFile", "1").text(f"{root}/docs")
     contract = StructType([StructField("Type", StringType()), StructField("BronzeCreatedAt", StringType()),
-                           StructField("Customer", StructType([StructField("c_custkey", LongType(), False), StructField("c_name", StringType()),
-                                                               StructField("c_nationkey", LongType())]), False)])
-    finish(run_conform_documents(spark, f"{root}/docs/*.txt", f"{root}/conformed", contract, "Customer", f"{root}/chk",
+                           StructField("Supplier", StructType([StructField("s_suppkey", LongType(), False), StructField("s_name", StringType()),
+                                                               StructField("s_nationkey", LongType())]), False)])
+    finish(run_conform_documents(spark, f"{root}/docs/*.txt", f"{root}/conformed", contract, "Supplier", f"{root}/chk",
                                  trigger=trigger_options(available_now=True), max_files_per_trigger=20_000, name=None))
-    got = read_table(spark, f"{root}/conformed", schema=conformed_schema(contract, "Customer"))
-    named = got.select("c_custkey", "c_name", "c_nationkey", F.col("MetaData.SourceFile").alias("source_file"))
-    by_nation = named.groupBy("c_nationkey").agg(F.count("*").alias("documents"), F.sum("c_custkey").alias("keys"),
-                                                 F.max(F.length("c_name")).alias("longest"))
+    got = read_table(spark, f"{root}/conformed", schema=conformed_schema(contract, "Supplier"))
+    named = got.select("s_suppkey", "s_name", "s_nationkey", F.col("MetaData.SourceFile").alias("source_file"))
+    by_nation = named.groupBy("s_nationkey").agg(F.count("*").alias("documents"), F.sum("s_suppkey").alias("keys"),
+                                                 F.max(F.length("s_name")).alias("longest"))
     # one row each: the count of distinct files, and the first of them
     files = M.distinct_files(named).agg(F.count("*").alias("files"), F.min("source_file").alias("least"))
     first = M.first_file(named).select("first_file")
@@ -1076,9 +1076,9 @@ def q_multiline_documents(spark, sf):
 
 
 SQL_MULTILINE_DOCUMENTS = """
-SELECT c_nationkey, count(*) AS documents, CAST(sum(c_custkey) AS BIGINT) AS keys, CAST(max(length(c_name)) AS INTEGER) AS longest,
-       (SELECT count(*) FROM customer) AS files
-FROM customer GROUP BY c_nationkey
+SELECT s_nationkey, count(*) AS documents, CAST(sum(s_suppkey) AS BIGINT) AS keys, CAST(max(length(s_name)) AS INTEGER) AS longest,
+       (SELECT count(*) FROM supplier) AS files
+FROM supplier GROUP BY s_nationkey
 """
 
 

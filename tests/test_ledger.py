@@ -103,8 +103,7 @@ def test_rows_without_an_identity_are_always_taken(spark, work):
     assert named.count() == len(whole(spark)[0])
 
 
-@pytest.mark.parametrize("lost_in", ["append", "after append", "commit"])
-@pytest.mark.parametrize("replayed", [True, False])
+@pytest.mark.parametrize("lost_in, replayed", [("append", True), ("after append", False), ("commit", True), ("commit", False)])
 def test_a_lost_batch_costs_no_event_and_doubles_none(spark, work, monkeypatch, lost_in, replayed):
     """The writer is lost before, between or after its writes; the same batch comes again,
     or another one that holds its events."""
