@@ -11,6 +11,8 @@ There are no alternatives (unions)."""
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from collections.abc import Callable
 
 from strata.llm.html_tree import Node
 
@@ -111,7 +113,24 @@ def join(into: Part, other: Part) -> None:
             p.optional = True
 
 
+class Positions:
+    """Where each signature stands among siblings, listed when it is first asked for."""
+
+    def __init__(self, sigs: Callable[[], list[str]]):
+        self.sigs, self.at = sigs, None
+
+    def next(self, sig: str, start: int) -> int | None:
+        if self.at is None:
+            self.at = {}
+            for k, own in enumerate(self.sigs()):
+                self.at.setdefault(own, []).append(k)
+        places = self.at.get(sig, ())
+        k = bisect_left(places, start)
+        return places[k] if k < len(places) else None
+
+
 def align(parts: list[Part], nodes: list) -> list[Part]:
+    of_nodes, of_parts = Positions(lambda: [sig_of(n) for n in nodes]), Positions(lambda: [first(p) for p in parts])
     done: list[Part] = []
     i = j = 0
     while i < len(parts) or j < len(nodes):
@@ -155,8 +174,8 @@ def align(parts: list[Part], nodes: list) -> list[Part]:
             done.append(group)
             continue
         # else options: skip to the nearest place where both sides go on
-        skip_nodes = next((k for k in range(j, len(nodes)) if part is not None and sig_of(nodes[k]) == first(part)), None)
-        skip_parts = next((k for k in range(i, len(parts)) if j < len(nodes) and first(parts[k]) == sig_of(nodes[j])), None)
+        skip_nodes = of_nodes.next(first(part), j) if part is not None else None
+        skip_parts = of_parts.next(sig_of(nodes[j]), i) if j < len(nodes) else None
         if part is None or (skip_nodes is not None and (skip_parts is None or skip_nodes - j <= skip_parts - i)):
             stop = len(nodes) if part is None else skip_nodes
             for n in nodes[j:stop]:
@@ -279,6 +298,32 @@ def placed_texts(page: Node, places: Places) -> tuple[set[int], dict[int, tuple[
     return set(at), {text: (place, len(own) > 1) for place, own in at.items() for text in own}
 
 
+class Unread(str):
+    """A text of which only the digest and the length are known."""
+
+    def __new__(cls, own: str, size: int):
+        text = super().__new__(cls, own)
+        text.size = size
+        return text
+
+    def __len__(self) -> int:
+        return self.size
+
+
+def packed(node: Node) -> list:
+    """What alignment sees of a page's tree, as nested lists; texts by digest and length."""
+    return [node.sig, int(node.aside), node.link,
+            [[digest(p), len(p)] if isinstance(p, str) else packed(p) for p in node.parts]]
+
+
+def unpacked(own: list) -> Node:
+    sig, aside, link, parts = own
+    node = Node(sig.split(".")[0], sig, bool(aside))
+    node.link = link
+    node.parts = [Unread(str(p[0]), p[1]) if len(p) == 2 else unpacked(p) for p in parts]
+    return node
+
+
 def subject(page: Node) -> int:
     """What a page is about: its title, headings and first other text; all its
     text, if it has no heading. Copies and near copies of a page have the same."""

@@ -1,7 +1,10 @@
 import html
+import json
 import re
 import time
 
+from pyspark.sql import functions as F
+
 from strata.llm import html_extract as H
 from strata.llm import wrappers as W
 from strata.llm.common import table
@@ -123,6 +126,38 @@ def test_pages_that_lack_the_wrapper_s_place_are_read_by_their_own_tree(spark):
     assert W.article(page, ["body", "article"], frozenset()) is None
 
 
+def test_all_pages_of_a_host_say_where_the_article_is(spark):
+    """Of 200 pages, the twelve with the least hashes (once the whole sample) have another layout; the others'
+    articles are shorter than the text around them, which only the host's other pages tell apart."""
+    notice = "What stands around each article of this host and is longer than it"
+    usual = [f"<body><div class=around><p>{notice}</p></div><div class=story><h1>t{i}</h1><p>body {i}</p></div></body>" for i in range(188)]
+    tried = spark.range(40_000).select(F.concat(F.lit("<body><section><p>other "), "id", F.lit("</p></section></body>")).alias("html"))
+    rank = F.xxhash64(F.xxhash64(F.col("html").cast("binary")))
+    odd = [r["html"] for r in tried.orderBy(rank).limit(12).collect()]
+    both = spark.createDataFrame([(x,) for x in usual + odd], "html string")
+    assert {r["html"] for r in both.orderBy(rank).limit(12).collect()} == set(odd)
+    rows = [(i, "http://h.example/a", x) for i, x in enumerate(usual + odd)]
+    for group_pages in (H.GROUP_PAGES, 1000):
+        got = {r["page_id"]: r["text"] for r in H.extract(pages(spark, rows), group_pages).collect()}
+        assert all(got[i] == f"t{i}\nbody {i}" for i in range(188))
+
+
+def test_alignment_sees_the_same_in_packed_trees(spark):
+    texts = ["<body class=x><p>a &amp; b</p><div id=main><h1>t</h1>longer <a href=x>link</a><ul><li>i<li>j</ul></div><footer>f</footer>",
+             "<body class=x><p>a &amp; b</p><div id=main><h1>u</h1>another text<ul><li>i</ul><p>q</p></div><footer>f</footer>"]
+    shape = lambda p: (p.sig, p.tag, p.aside, p.fixed is None, p.optional, p.repeats, p.size, p.seen, [shape(x) for x in p.parts])
+    whole = W.infer([parse(t) for t in texts])
+    again = W.infer([W.unpacked(json.loads(json.dumps(W.packed(parse(t))))) for t in texts])
+    assert shape(whole) == shape(again) and W.content_path(whole) == W.content_path(again)
+
+
+def test_alignment_of_many_different_siblings_takes_linear_time():
+    page = lambda order: parse("".join(f"<div class={''.join(chr(97 + int(d)) for d in str(i))}>x</div>" for i in order))
+    began = time.time()
+    W.infer([page(range(0, 20_000, 2)), page(range(1, 20_000, 2)), page(range(20_000))])
+    assert time.time() - began < 20
+
+
 def test_copies_of_a_page_lose_nothing(spark):
     rows = [(i, "http://h.example/a", "<article><h1>t</h1><p>same</p></article>") for i in range(20)]
     assert {r["text"] for r in H.extract(pages(spark, rows)).collect()} == {"t\nsame"}
