@@ -1050,6 +1050,16 @@ FROM events
 """
 
 
+FILES_PER_TASK = 500
+
+
+def write_each(docs: DataFrame, path: str, files_per_task: int = FILES_PER_TASK) -> None:
+    """Each row (``value``) as a file of its own. A file costs milliseconds however small it is,
+    so rows are dealt by their number, not their bytes: a task writes about as many, whatever the table."""
+    tasks = -(-docs.count() // files_per_task)
+    docs.repartition(max(1, tasks)).write.option("maxRecordsPerFile", "1").text(path)
+
+
 def q_multiline_documents(spark, sf):
     """Every supplier is a pretty-printed document of its own file,
     streamed through the document job; the rows name their files, of which the
@@ -1058,7 +1068,7 @@ def q_multiline_documents(spark, sf):
     docs = I.table(spark, sf, "supplier").select(F.to_json(F.struct(
         F.lit("Supplier").alias("Type"), F.lit("2031-01-01").alias("BronzeCreatedAt"),
         F.struct("s_suppkey", "s_name", "s_nationkey").alias("Supplier")), {"pretty": "true"}).alias("value"))
-    docs.write.option("maxRecordsPerFile", "1").text(f"{root}/docs")
+    write_each(docs, f"{root}/docs")
     contract = StructType([StructField("Type", StringType()), StructField("BronzeCreatedAt", StringType()),
                            StructField("Supplier", StructType([StructField("s_suppkey", LongType(), False), StructField("s_name", StringType()),
                                                                StructField("s_nationkey", LongType())]), False)])

@@ -2,12 +2,14 @@
 
 import json
 import os
+from collections import Counter
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.operators.monitor import distinct_files, first_file
 from strata.plans.conform import conform_documents
+from strata.registry import write_each
 from strata.sources.raw import json_documents
 from strata.sources.tables import append_table, read_table
 from strata.streaming.jobs import stop_all
@@ -76,3 +78,16 @@ def test_multiline_documents_stream_one_file_per_trigger(spark, work):
     stop_all(spark)
     assert len(batches) == 4
     assert sorted(r.GainID for r in read_table(spark, out).collect()) == ["G1", "G2"]
+
+
+def test_files_of_one_document_are_dealt_over_tasks(spark, work):
+    """Rows of one partition: no task writes more files than asked for, but for what dealing is off by."""
+    rows = spark.range(95).coalesce(1).select(F.concat(F.lit("doc\n"), "id").alias("value"))
+    write_each(rows, f"{work}/docs", files_per_task=10)
+    names = [n for n in os.listdir(work.replace("file:", "") + "/docs") if n.endswith(".txt")]
+    by_task = Counter(n.split("-")[1] for n in names)
+    assert len(names) == 95 and len(by_task) == 10 and max(by_task.values()) <= 12
+    got = spark.read.text(f"{work}/docs", wholetext=True).collect()
+    assert sorted(r[0].strip() for r in got) == sorted(f"doc\n{i}" for i in range(95))
+    write_each(rows.where("false"), f"{work}/none")
+    assert spark.read.text(f"{work}/none").count() == 0
