@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators.flatten import (UID_COL, array_columns, child_table_name, drop_arrays,
                                       explode_child, flatten_structs, tombstones)
 from strata.operators.latest import latest_per_key, split_null_keys
-from strata.operators.upsert import (BUCKET_COL, DELETED_COL, BucketedTable, merge_newest, open_table,
+from strata.operators.upsert import (BUCKET_COL, CODEC, DELETED_COL, BucketedTable, deal_parents, merge_newest, open_table,
                                      read_buckets, replace_children, touched_buckets, upsert_main)
 from strata.plans.spec import EntitySpec
 from strata.sources.tables import remove_path
@@ -147,21 +147,24 @@ def _publish_with_children(spark: SparkSession, flat: DataFrame, spec: EntitySpe
     """Rank, guard, then replace the children of each array the table ever had and
     the main rows; all read one written copy of the survivors."""
     survivors = guard_newer(spark, newest(flat, spec), spec, main_t, buckets)
-    survivors.withColumn(DELETED_COL, deleted).write.mode("overwrite").parquet(f"{staging}/survivors")
+    survivors.withColumn(DELETED_COL, deleted).write.mode("overwrite").option("compression", CODEC).parquet(f"{staging}/survivors")
     staged = spark.read.parquet(f"{staging}/survivors")
     uid_parts = tuple(c for c in spec.order if c in staged.columns)
     for a in arrays:
         table, _ = open_table(spark, child_table(spec, root, a))
         if a in staged.columns:
             src = staged.withColumn(a, F.when(~F.col(DELETED_COL), F.col(a)))
+            src = src.select(*[F.col(f"`{c}`") for c in dict.fromkeys([spec.key, a, *uid_parts])])
+            src, dealt = deal_parents(src, spec.key, table)
             children = explode_child(src, spec.key, a, spec.name, tombstones=True, uid_parts=uid_parts)
         else:
             # the batch's documents lack the array: the parents have no children any more
+            dealt = False
             children = tombstones(staged, spec.key, a, spec.name, uid_parts)
         parents = staged.select(F.col(spec.key).alias(table.key))
         same = (table.buckets, table.bucket_bytes) == (main_t.buckets, main_t.bucket_bytes)
         replace_children(spark, children, parents, table, f"{staging}/{a}", reuse_staged=reuse,
-                         buckets=buckets if same else None, parents_unique=True)
+                         buckets=buckets if same else None, parents_unique=True, dealt=dealt)
     main = drop_arrays(staged).withColumn(spec.stamp_col, stamp)
     upsert_main(spark, main, main_t, f"{staging}/main", reuse_staged=reuse, buckets=buckets)
 
